@@ -125,8 +125,13 @@ def start_all(sources: dict[str, Callable[[], DataFrame]], lake: Lake,
 def run_available(sources: dict[str, Callable[[], DataFrame]], lake: Lake,
                   only: tuple[str, ...] | None = None) -> None:
     """Process all input present, then stop. A failed query raises here."""
-    for query in start_all(sources, lake, DRAIN_TRIGGER, only):
-        query.awaitTermination()
+    queries = start_all(sources, lake, DRAIN_TRIGGER, only)
+    try:
+        for query in queries:
+            query.awaitTermination()
+    finally:
+        for query in queries:
+            query.stop()
 
 
 def await_all(queries: list[StreamingQuery]) -> None:
