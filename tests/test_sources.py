@@ -1,0 +1,212 @@
+from __future__ import annotations
+
+import json
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from rows import BASE_MS, feed, ms, order, tick, values
+
+from tidemark import schemas
+from tidemark.sources import (
+    allow_listed,
+    avro_reader_schema,
+    computed_columns,
+    decode_json,
+    file_feed,
+    kafka_options,
+    open_feed,
+    query_batch,
+    read_evolved,
+    route,
+    snapshot_rows,
+    snapshot_then_changes,
+    union_versions,
+    unwrap,
+)
+from tidemark.sources.decode import avro_body, avro_schema_id, decode_framed_avro, require_columns
+
+SMALL = "a BIGINT, b DECIMAL(12,2)"
+
+
+def decoded(spark, *texts):
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    return [tuple(r) for r in decode_json(df, schemas.parse(SMALL)).collect()]
+
+
+def test_bad_field_is_null_and_its_siblings_stay(spark):
+    assert decoded(spark, '{"a":1,"b":"x"}') == [(1, None)]
+    assert decoded(spark, '{"a":"x","b":2}') == [(None, Decimal("2.00"))]
+    assert decoded(spark, '{"a":"x"}') == [(None, None)]
+
+
+def test_records_that_are_not_objects_are_left_out(spark):
+    assert decoded(spark, '{"a":1', "null", "[]", '[{"a":1}]', "3", '"x"', "", None, "{bad") == []
+
+
+def test_empty_object_and_missing_fields_are_null(spark):
+    assert decoded(spark, "{}", '{"a":1}', ' \n{"a":2,"more":[1]}') == [
+        (None, None), (1, None), (2, None)]
+
+
+def test_amounts_round_to_cents_and_overflow_is_null(spark):
+    assert decoded(spark, '{"b":1.005}', '{"b":99999999999.99}', '{"b":89.9}') == [
+        (None, Decimal("1.01")), (None, None), (None, Decimal("89.90"))]
+
+
+def test_binary_messages_decode(spark):
+    df = spark.createDataFrame([(bytearray(b'{"a":5}'),)], "value binary")
+    assert [tuple(r) for r in decode_json(df, schemas.parse(SMALL)).collect()] == [(5, None)]
+
+
+def test_text_is_parsed_once(spark):
+    df = spark.createDataFrame([('{"a":1}',)], "value string")
+    plan = decode_json(df, schemas.parse(SMALL))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_change_feed_opens_with_computed_columns(spark):
+    body = {"order_id": 1, "total_amount": 89.9, "created_at_ms": ms(1), "updated_at_ms": ms(2),
+            "__op": "c"}
+    late = dict(body, order_id=2, __source_ts_ms=ms(3))
+    raw = spark.createDataFrame([(json.dumps(body),), (json.dumps(late),), (None,)], "value string")
+    got = open_feed(raw, "orders").select("order_id", F.unix_millis("event_time"),
+                                          F.unix_millis("created_at"))
+    assert values(got) == [(1, ms(2), ms(1)), (2, ms(3), ms(1))]
+
+
+def test_behaviour_event_time_is_the_record_timestamp(spark):
+    schema = schemas.FEED_DDL["behavior"] + ", event_time BIGINT, timestamp TIMESTAMP"
+    row = ["e1", 1, "s", "CLICK", "home", None, None, None, None, None, None, "mobile", "web", 5]
+    df = spark.createDataFrame([tuple(row) + (None,)], schema).withColumn(
+        "timestamp", F.timestamp_millis(F.lit(BASE_MS)))
+    got = computed_columns(df, "behavior")
+    assert got.columns == [*schemas.feed_schema("behavior").names, "event_time"]
+    assert got.select(F.unix_millis("event_time")).first()[0] == BASE_MS
+
+
+def test_ticks_get_notional_and_instant(spark):
+    got = feed(spark, "ticks", [tick(1, 10, 2, 0.5)])
+    assert values(got.select("trade_notional", F.unix_millis("event_ts"))) == [(20.0, ms(0.5))]
+
+
+def test_missing_required_column_fails_the_job(spark):
+    rows = [tick(1, 1, 1, 0), ("t2", None, "binance", 1.0, 1.0, "BUY", "x", "test", ms(0))]
+    df = require_columns(spark.createDataFrame(rows, schemas.feed_schema("ticks")), "ticks")
+    with pytest.raises(Exception, match="ticks.symbol must not be NULL"):
+        df.collect()
+
+
+def envelope(op, before=None, after=None, table="orders"):
+    return json.dumps({"before": before, "after": after, "op": op,
+                       "source": {"schema": "public", "table": table, "ts_ms": ms(9)}})
+
+
+ROW = "order_id BIGINT, coupon_id STRING, created_at BIGINT"
+
+
+def unwrapped(spark, *texts, **options):
+    messages = spark.createDataFrame([(t,) for t in texts], "value string")
+    return unwrap(messages, schemas.parse(ROW), **options)
+
+
+def test_unwrap_create_update_delete_and_tombstone(spark):
+    a = {"order_id": 1, "coupon_id": "X", "created_at": 5}
+    b = {"order_id": 1, "coupon_id": None, "created_at": 5}
+    df = unwrapped(spark, envelope("c", None, a), envelope("u", a, b), envelope("d", b, None), None)
+    got = df.select("order_id", "coupon_id", "__op", "__table", "__source_ts_ms", "__deleted")
+    assert values(got) == sorted([
+        (1, "X", "c", "orders", ms(9), "false"),
+        (1, None, "u", "orders", ms(9), "false"),  # set to NULL, not the old value
+        (1, None, "d", "orders", ms(9), "true"),
+    ], key=repr)
+
+
+def test_unwrap_with_and_without_rename(spark):
+    text = envelope("c", None, {"order_id": 1, "created_at": ms(4)})
+    plain = unwrapped(spark, text)
+    named = unwrapped(spark, text, rename={"created_at": "created_at_ms"})
+    assert "created_at" in plain.columns and "created_at_ms" in named.columns
+    assert named.select("created_at_ms").first()[0] == ms(4)
+
+
+def test_table_column_names_leave_declared_times_null(spark):
+    """A feed under table names matches none of the ``*_ms`` columns; source time remains."""
+    body = {"order_id": 1, "created_at": ms(4), "updated_at": ms(5), "__source_ts_ms": ms(6)}
+    raw = spark.createDataFrame([(json.dumps(body),)], "value string")
+    row = open_feed(raw, "orders").select("created_at", F.unix_millis("event_time")).first()
+    assert tuple(row) == (None, ms(6))
+
+
+def test_snapshot_rows_come_first_with_op_r(spark):
+    table = spark.sql("SELECT 1L AS order_id, 7L AS user_id, 'CREATED' AS order_status, "
+                      "CAST(5 AS DECIMAL(12,2)) AS total_amount, 'KRW' AS currency, "
+                      "CAST(NULL AS STRING) AS coupon_id, "
+                      f"timestamp_millis({ms(1)}) AS created_at, "
+                      "TIMESTAMP_NTZ '2026-03-13 12:00:02' AS updated_at")
+    snapshot = snapshot_rows(table, "orders", F.lit(ms(60)), zone="Asia/Seoul")
+    changes = spark.createDataFrame([order(2, 5, 70)], schemas.feed_schema("orders"))
+    got = snapshot_then_changes(snapshot, changes)
+    assert got.schema.names == schemas.feed_schema("orders").names
+    assert values(got, "order_id", "created_at_ms", "updated_at_ms", "__op", "__source_ts_ms") == [
+        (1, ms(1), ms(2), "r", ms(60)), (2, ms(70), ms(70), "c", ms(70))]
+
+
+def test_routing_keeps_listed_tables(spark):
+    log = spark.createDataFrame(
+        [("public", "orders", 1), ("public", "refunds", 2), ("public", "users", 3),
+         ("audit", "orders", 4)], "__schema string, __table string, id int")
+    assert values(allow_listed(log), "topic", "id") == [
+        ("raw.cdc.commerce.public.orders", 1), ("raw.cdc.commerce.public.refunds", 2)]
+    branches = route(log)
+    assert {k: v.count() for k, v in branches.items()} == {
+        "public.orders": 1, "public.payments": 0, "public.refunds": 1}
+
+
+def test_kafka_options_start_at_the_earliest_offset():
+    live = kafka_options("ticks", "broker:9092", max_offsets=1000, min_partitions=64)
+    assert live["startingOffsets"] == "earliest"
+    assert live["subscribe"] == "raw.event.market.crypto_ticks_v1"
+    assert live["maxOffsetsPerTrigger"] == "1000" and live["minPartitions"] == "64"
+    bounded = kafka_options("orders", "broker:9092", streaming=False, max_offsets=5)
+    assert bounded["endingOffsets"] == "latest" and "maxOffsetsPerTrigger" not in bounded
+
+
+def test_avro_frame_and_schema(spark):
+    framed = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x01\x02body"),)], "value binary")
+    row = framed.select(avro_body(F.col("value")), avro_schema_id(F.col("value"))).first()
+    assert bytes(row[0]) == b"body" and row[1] == 258
+    behavior = json.loads(avro_reader_schema("behavior"))
+    assert [f["name"] for f in behavior["fields"]][:13] == schemas.feed_schema("behavior").names
+    assert behavior["fields"][5] == {"name": "product_id", "type": ["null", "long"],
+                                     "default": None}
+
+
+def test_avro_needs_its_package(spark):
+    framed = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x00\x01"),)], "value binary")
+    with pytest.raises(AnalysisException, match="(?i)avro"):
+        decode_framed_avro(framed, "ticks").collect()
+
+
+def test_file_feed_as_batch_and_stream(spark, tmp_path):
+    path = str(tmp_path / "ticks")
+    schema = schemas.feed_schema("ticks")
+    spark.createDataFrame([tick(1, 1, 1, 0)], schema).write.json(path)
+    assert file_feed(spark, path, schema, "json", streaming=False).count() == 1
+    assert file_feed(spark, path, schema, "json", max_files=1).isStreaming
+
+
+def test_older_files_read_with_null_for_added_columns(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    schema = schemas.feed_schema("orders")
+    rows = spark.createDataFrame([order(1, 5, 0, coupon="A")], schema)
+    rows.drop("coupon_id").write.parquet(f"{path}/v=1")
+    rows.write.parquet(f"{path}/v=2")
+    assert values(read_evolved(spark, path, schema), "coupon_id") == [("A",), (None,)]
+    assert values(union_versions(rows.drop("coupon_id"), rows), "coupon_id") == [("A",), (None,)]
+
+
+def test_query_result_as_dataset(spark):
+    df = spark.range(5)
+    assert query_batch(spark, "SELECT count(*) AS n FROM {t} WHERE id > 2", t=df).first()["n"] == 2

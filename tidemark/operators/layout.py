@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import cache
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark import schemas
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Columns of ``table`` in declared order and type."""
-    return df.select(*[
-        F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.table_schema(table)
-    ])
+    return df.selectExpr(*_casts(table))
+
+
+@cache
+def _casts(table: str) -> tuple[str, ...]:
+    return tuple(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}"
+                 for f in schemas.table_schema(table))
 
 
 def long_metrics(df: DataFrame, keys: Iterable[str], metrics: Iterable[str]) -> DataFrame:
@@ -24,5 +28,5 @@ def long_metrics(df: DataFrame, keys: Iterable[str], metrics: Iterable[str]) ->
     many metrics there are.
     """
     keys, metrics = list(keys), list(metrics)
-    wide = df.select(*keys, *[F.col(m).cast("double").alias(m) for m in metrics])
+    wide = df.selectExpr(*keys, *[f"CAST({m} AS DOUBLE) AS {m}" for m in metrics])
     return wide.unpivot(keys, metrics, "metric_name", "metric_value")

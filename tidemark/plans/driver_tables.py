@@ -9,29 +9,106 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import to_wall_clock, wall_clock_to_epoch_ms
+from tidemark.functions import to_wall_clock
 from tidemark.sources import computed_columns
 
 ZONE = "UTC"
-MONEY = "decimal(12,2)"
 
-
-def _pick(key: Column, base: int, *values) -> Column:
-    """``values[key % base]``; the last value also stands for the remaining residues."""
-    residue = F.pmod(key, F.lit(base))
-    out = F.lit(values[-1])
-    for i, value in reversed(list(enumerate(values[:-1]))):
-        out = F.when(residue == i, value).otherwise(out)
-    return out
-
-
-def _stamp(start_ms: Column, key: Column, spread: int, missing: int) -> Column:
-    """Time up to ``spread`` seconds after ``start_ms``; NULL on every ``missing``-th key."""
-    later = start_ms + F.pmod(key, F.lit(spread)) * 1000
-    return F.when(F.pmod(key, F.lit(missing)) != 0, later)
+# Layout of the driver's tables, as far as the views use them.
+TABLES = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                "l_quantity DOUBLE, l_extendedprice DOUBLE, l_returnflag STRING, "
+                "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+              "value DOUBLE, props STRING",
+}
+
+# Day and time-of-day parts are read off the wall clock, so the session zone has no say.
+EPOCH_MS = ("unix_date(CAST({0} AS DATE)) * 86400000L + hour({0}) * 3600000L "
+            "+ minute({0}) * 60000L + CAST(floor(extract(SECOND FROM {0}) * 1000) AS BIGINT)")
+
+
+def _log_columns(start: str, key: str, stamp: str) -> list[str]:
+    """Times of a change record; update and source time are missing on some keys."""
+    ms = EPOCH_MS.format(start)
+    return [
+        f"{ms} AS {stamp}_ms",
+        f"IF({key} % 6 <> 0, {ms} + ({key} % 7) * 1000, NULL) AS updated_at_ms",
+        f"IF({key} % 3 <> 0, {ms} + ({key} % 50) * 1000, NULL) AS __source_ts_ms",
+    ]
+
+
+VIEWS = {
+    "orders": ("orders", "true", [
+        "o_orderkey AS order_id", "o_custkey AS user_id", "o_orderstatus AS order_status",
+        "CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount", "'KRW' AS currency",
+        "IF(o_orderkey % 7 = 0, 'FLASH15', NULL) AS coupon_id",
+        "CASE o_orderkey % 10 WHEN 0 THEN 'r' WHEN 1 THEN 'u' WHEN 2 THEN 'd' ELSE 'c' END "
+        "AS __op",
+        *_log_columns("o_orderdate", "o_orderkey", "created_at"),
+    ]),
+    "payments": ("orders", "true", [
+        "o_orderkey AS payment_id", "o_orderkey AS order_id", "o_custkey AS user_id",
+        "CASE o_orderstatus WHEN 'F' THEN 'SUCCEEDED' WHEN 'P' THEN 'PENDING' ELSE 'FAILED' END "
+        "AS payment_status",
+        "IF(o_orderkey % 2 = 0, 'CARD', 'TRANSFER') AS payment_method",
+        "CAST(o_totalprice AS DECIMAL(12,2)) AS amount",
+        "IF(o_orderkey % 4 = 0, 'u', 'c') AS __op",
+        *_log_columns("o_orderdate", "o_orderkey", "paid_at"),
+    ]),
+    "refunds": ("lineitem", "l_returnflag = 'R'", [
+        "l_orderkey * 10 + l_linenumber AS refund_id", "l_orderkey AS order_id",
+        "IF(l_orderkey % 5 <> 0, l_orderkey, NULL) AS payment_id", "l_suppkey AS user_id",
+        "IF(l_linestatus = 'F', 'SUCCEEDED', 'REQUESTED') AS refund_status",
+        "IF(l_linenumber > 3, 'CUSTOMER_CHANGED_MIND', NULL) AS refund_reason",
+        "IF(l_orderkey % 9 <> 0, CAST(l_extendedprice AS DECIMAL(12,2)), NULL) "
+        "AS refund_amount",
+        "IF(l_orderkey % 4 = 0, 'u', 'c') AS __op",
+        *_log_columns("l_shipdate", "l_orderkey", "refunded_at"),
+    ]),
+    # On the 13th of a month nothing trades.
+    "ticks": ("lineitem", "true", [
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS tick_id",
+        "l_returnflag AS symbol", "l_linestatus AS exchange",
+        "CAST(l_extendedprice AS DECIMAL(12,2)) AS price",
+        "CAST(IF(dayofmonth(l_shipdate) = 13, 0, l_quantity) AS DECIMAL(12,2)) AS volume",
+        "CASE l_linenumber % 3 WHEN 0 THEN 'BUY' WHEN 1 THEN 'SELL' ELSE 'CROSS' END AS side",
+        "CAST(l_partkey AS STRING) AS trade_id", "'shipments' AS ingest_source",
+        f"{EPOCH_MS.format('l_shipdate')} + (l_linenumber % 2) * 1000 + l_orderkey % 1000 "
+        "AS event_time",
+    ]),
+    "behavior": ("events", "true", [
+        "CAST(event_id AS STRING) AS event_id", "user_id",
+        "concat_ws('-', user_id, event_id % 16) AS session_id", "event_type",
+        "CASE event_type WHEN 'view' THEN 'search' WHEN 'click' THEN 'product' "
+        "WHEN 'purchase' THEN 'checkout' ELSE 'home' END AS page",
+        "IF(event_type <> 'view', item, NULL) AS product_id",
+        "IF(event_type = 'view', concat('k', item), NULL) AS keyword",
+        "IF(event_type = 'click', concat('cart', user_id), NULL) AS cart_id",
+        "IF(event_type = 'purchase', event_id, NULL) AS order_id",
+        "IF(event_type = 'click', CAST(item % 5 AS INT), NULL) AS quantity",
+        "IF(event_type <> 'view', value, NULL) AS price",
+        "CASE event_id % 3 WHEN 0 THEN 'mobile' WHEN 1 THEN 'desktop' ELSE 'tablet' END "
+        "AS device_type",
+        "'app' AS source",
+        f"timestamp_millis({EPOCH_MS.format('ts')}) AS timestamp",
+    ]),
+}
+
+
+def feed_rows(base: DataFrame, feed: str) -> DataFrame:
+    """Rows of ``feed`` from its base table, or from part of it."""
+    _, condition, columns = VIEWS[feed]
+    if feed == "behavior":
+        base = base.selectExpr("*", "CAST(get_json_object(props, '$.k') AS BIGINT) AS item")
+    elif condition != "true":
+        base = base.where(condition)
+    return base.selectExpr(*columns)
 
 
 @dataclass(frozen=True)
@@ -43,126 +120,20 @@ class DriverTables:
         return f"{self.sf_dir}/{name}.parquet"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return self.spark.read.schema(TABLES[name]).parquet(self.path(name))
 
     def stream(self, name: str) -> DataFrame:
         """The table's files as a stream of rows."""
         # A stream source takes folders or globs; the table may be a single file.
         glob = f"{self.sf_dir}/{name}.parque[t]"
-        return self.spark.readStream.schema(self.table(name).schema).parquet(glob)
-
-    # -- feed rows -------------------------------------------------------
-
-    @staticmethod
-    def orders_rows(orders: DataFrame) -> DataFrame:
-        key = F.col("o_orderkey")
-        placed = wall_clock_to_epoch_ms(F.col("o_orderdate"), ZONE)
-        return orders.select(
-            key.alias("order_id"),
-            F.col("o_custkey").alias("user_id"),
-            F.col("o_orderstatus").alias("order_status"),
-            F.col("o_totalprice").cast(MONEY).alias("total_amount"),
-            F.lit("KRW").alias("currency"),
-            F.when(F.pmod(key, F.lit(7)) == 0, "FLASH15").alias("coupon_id"),
-            placed.alias("created_at_ms"),
-            _stamp(placed, key, 7, 6).alias("updated_at_ms"),
-            _pick(key, 10, "r", "u", "d", "c").alias("__op"),
-            _stamp(placed, key, 50, 3).alias("__source_ts_ms"),
-        )
-
-    @staticmethod
-    def payments_rows(orders: DataFrame) -> DataFrame:
-        key = F.col("o_orderkey")
-        placed = wall_clock_to_epoch_ms(F.col("o_orderdate"), ZONE)
-        status = F.col("o_orderstatus")
-        return orders.select(
-            key.alias("payment_id"),
-            key.alias("order_id"),
-            F.col("o_custkey").alias("user_id"),
-            F.when(status == "F", "SUCCEEDED").when(status == "P", "PENDING")
-            .otherwise("FAILED").alias("payment_status"),
-            _pick(key, 2, "CARD", "TRANSFER").alias("payment_method"),
-            F.col("o_totalprice").cast(MONEY).alias("amount"),
-            placed.alias("paid_at_ms"),
-            _stamp(placed, key, 7, 6).alias("updated_at_ms"),
-            _pick(key, 4, "u", "c").alias("__op"),
-            _stamp(placed, key, 50, 3).alias("__source_ts_ms"),
-        )
-
-    @staticmethod
-    def refunds_rows(lineitem: DataFrame) -> DataFrame:
-        returned = lineitem.where(F.col("l_returnflag") == "R")
-        key = F.col("l_orderkey")
-        sent = wall_clock_to_epoch_ms(F.col("l_shipdate"), ZONE)
-        return returned.select(
-            (key * 10 + F.col("l_linenumber")).alias("refund_id"),
-            key.alias("order_id"),
-            F.when(F.pmod(key, F.lit(5)) != 0, key).alias("payment_id"),
-            F.col("l_suppkey").alias("user_id"),
-            F.when(F.col("l_linestatus") == "F", "SUCCEEDED").otherwise("REQUESTED")
-            .alias("refund_status"),
-            F.when(F.col("l_linenumber") > 3, "CUSTOMER_CHANGED_MIND").alias("refund_reason"),
-            F.when(F.pmod(key, F.lit(9)) != 0, F.col("l_extendedprice").cast(MONEY))
-            .alias("refund_amount"),
-            sent.alias("refunded_at_ms"),
-            _stamp(sent, key, 7, 6).alias("updated_at_ms"),
-            _pick(key, 4, "u", "c").alias("__op"),
-            _stamp(sent, key, 50, 3).alias("__source_ts_ms"),
-        )
-
-    @staticmethod
-    def ticks_rows(lineitem: DataFrame) -> DataFrame:
-        line = F.col("l_linenumber")
-        shipped = wall_clock_to_epoch_ms(F.col("l_shipdate"), ZONE)
-        return lineitem.select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-            .alias("tick_id"),
-            F.col("l_returnflag").alias("symbol"),
-            F.col("l_linestatus").alias("exchange"),
-            F.col("l_extendedprice").cast(MONEY).alias("price"),
-            # Some windows trade nothing at all.
-            F.when(F.dayofmonth("l_shipdate") == 13, 0).otherwise(F.col("l_quantity"))
-            .cast(MONEY).alias("volume"),
-            _pick(line, 3, "BUY", "SELL", "CROSS").alias("side"),
-            F.col("l_partkey").cast("string").alias("trade_id"),
-            F.lit("shipments").alias("ingest_source"),
-            (shipped + F.pmod(line, F.lit(2)) * 1000 + F.pmod("l_orderkey", F.lit(1000)))
-            .alias("event_time"),
-        )
-
-    @staticmethod
-    def behavior_rows(events: DataFrame) -> DataFrame:
-        kind = F.col("event_type")
-        item = F.get_json_object("props", "$.k").cast("bigint")
-        return events.select(
-            F.col("event_id").cast("string").alias("event_id"),
-            "user_id",
-            F.concat_ws("-", "user_id", F.pmod("event_id", F.lit(16))).alias("session_id"),
-            kind.alias("event_type"),
-            F.when(kind == "view", "search").when(kind == "click", "product")
-            .when(kind == "purchase", "checkout").otherwise("home").alias("page"),
-            F.when(kind != "view", item).alias("product_id"),
-            F.when(kind == "view", F.concat(F.lit("k"), item.cast("string"))).alias("keyword"),
-            F.when(kind == "click", F.concat(F.lit("cart"), F.col("user_id").cast("string")))
-            .alias("cart_id"),
-            F.when(kind == "purchase", F.col("event_id")).alias("order_id"),
-            F.when(kind == "click", F.pmod(item, F.lit(5)).cast("int")).alias("quantity"),
-            F.when(kind != "view", F.col("value")).alias("price"),
-            _pick(F.col("event_id"), 3, "mobile", "desktop", "tablet").alias("device_type"),
-            F.lit("app").alias("source"),
-            F.timestamp_micros((wall_clock_to_epoch_ms(F.col("ts"), ZONE) * 1000)).alias("timestamp"),
-        )
+        return self.spark.readStream.schema(TABLES[name]).parquet(glob)
 
     # -- opened feeds ----------------------------------------------------
 
-    _BASE = {"orders": "orders", "payments": "orders", "refunds": "lineitem",
-             "ticks": "lineitem", "behavior": "events"}
-
     def rows(self, feed: str, streaming: bool = False) -> DataFrame:
         """Rows with the columns of the feed."""
-        base = self._BASE[feed]
-        source = self.stream(base) if streaming else self.table(base)
-        return getattr(self, f"{feed}_rows")(source)
+        base = VIEWS[feed][0]
+        return feed_rows(self.stream(base) if streaming else self.table(base), feed)
 
     def feed(self, feed: str, streaming: bool = False) -> DataFrame:
         """Rows of the feed with its computed columns."""
@@ -171,8 +142,7 @@ class DriverTables:
     def messages(self, feed: str) -> DataFrame:
         """Rows of a change feed as JSON messages, beside their key."""
         rows = self.rows(feed)
-        return rows.select(F.col(rows.columns[0]).alias("key"),
-                           F.to_json(F.struct(*rows.columns)).alias("value"))
+        return rows.selectExpr(f"{rows.columns[0]} AS key", "to_json(struct(*)) AS value")
 
 
 def utc(df: DataFrame, *columns: str) -> DataFrame:

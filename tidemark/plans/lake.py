@@ -29,6 +29,16 @@ from tidemark.functions import zoned_instant
 from tidemark.operators.layout import conform
 
 MAX_WRITERS = 1000
+
+# Columns raw-table writes are hashed on. Together they tell records of one entity apart,
+# so an entity, symbol or user with a large share of the rows is still spread over tasks.
+HASH_COLUMNS = {
+    "bronze.orders_cdc": ("order_id", "updated_at", "cdc_source_ts"),
+    "bronze.payments_cdc": ("payment_id", "updated_at", "cdc_source_ts"),
+    "bronze.refunds_cdc": ("refund_id", "updated_at", "cdc_source_ts"),
+    "bronze.user_behavior_events": ("event_id", "event_time"),
+    "bronze.crypto_ticks": ("tick_id", "event_time"),
+}
 BOOKKEEPING = T.StructType([
     T.StructField("writer", T.StringType()),
     T.StructField("batch_id", T.LongType()),
@@ -46,11 +56,24 @@ def _missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
+def distributed(df: DataFrame, table: str, files: int | None) -> DataFrame:
+    """Hash the rows of a raw table over ``files`` tasks before writing; file layout only."""
+    columns = HASH_COLUMNS.get(table)
+    return df if files is None or columns is None else df.repartition(files, *columns)
+
+
 @dataclass(frozen=True)
 class Lake:
+    """Tables under ``root``, with times in ``zone``.
+
+    ``files_per_batch`` spreads each raw batch over that many files. Without it a batch is
+    written as it arrives, one file per task and no shuffle.
+    """
+
     spark: SparkSession
     root: str
     zone: str = schemas.LOCAL_ZONE
+    files_per_batch: int | None = None
 
     # -- folders ---------------------------------------------------------
 
@@ -93,7 +116,8 @@ class Lake:
         if self.is_committed(table, writer, batch_id):
             return False
         leaf = self._leaf(self.data_path(table), writer, batch_id)
-        conform(df, table).write.mode("overwrite").parquet(leaf)
+        rows = distributed(conform(df, table), table, self.files_per_batch)
+        rows.write.mode("overwrite").parquet(leaf)
         # Counted from the footers of the files just written, not by running df again.
         added = self.spark.read.schema(schemas.table_schema(table)).parquet(leaf)
         when = F.current_timestamp() if committed_at is None else committed_at

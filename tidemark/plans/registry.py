@@ -38,7 +38,7 @@ from tidemark.operators import (
 )
 from tidemark.plans import catalog
 from tidemark.plans.backfill import backfill
-from tidemark.plans.driver_tables import ZONE, DriverTables, utc
+from tidemark.plans.driver_tables import ZONE, DriverTables, feed_rows, utc
 from tidemark.plans.lake import Lake
 from tidemark.session import scratch_dir
 from tidemark.sources import (
@@ -175,11 +175,11 @@ def cdc_unwrap(d):
 def snapshot_bootstrap(d):
     """Orders of the first years as an initial snapshot, later ones as changes."""
     placed = F.col("o_orderdate") < F.lit(COMMITS[1][0])
-    table = d.orders_rows(d.table("orders").where(placed)).select(
+    table = feed_rows(d.table("orders").where(placed), "orders").select(
         "order_id", "user_id", "order_status", "total_amount", "currency", "coupon_id",
         epoch_ms_to_ts("created_at_ms").alias("created_at"),
         epoch_ms_to_ts("updated_at_ms").alias("updated_at"))
-    changes = d.orders_rows(d.table("orders").where(~placed))
+    changes = feed_rows(d.table("orders").where(~placed), "orders")
     return snapshot_then_changes(snapshot_rows(table, "orders"), changes)
 
 
@@ -321,9 +321,9 @@ def _commerce_between(d: DriverTables, start: date | None, end: date | None) ->
     from tidemark.sources import computed_columns as with_computed
     orders, lines = sliced("orders", "o_orderdate"), sliced("lineitem", "l_shipdate")
     return commerce_kpis(
-        with_computed(d.orders_rows(orders), "orders"),
-        with_computed(d.payments_rows(orders), "payments"),
-        with_computed(d.refunds_rows(lines), "refunds"),
+        with_computed(feed_rows(orders, "orders"), "orders"),
+        with_computed(feed_rows(orders, "payments"), "payments"),
+        with_computed(feed_rows(lines, "refunds"), "refunds"),
         ZONE)
 
 
@@ -374,8 +374,8 @@ def schema_evolution(d):
     root, cut = scratch_dir(d.spark), F.lit(COMMITS[1][0])
     table = d.table("orders")
     old, new = (table.where(F.col("o_orderdate") < cut), table.where(F.col("o_orderdate") >= cut))
-    d.orders_rows(old).drop("coupon_id").write.parquet(f"{root}/version=1")
-    d.orders_rows(new).write.parquet(f"{root}/version=2")
+    feed_rows(old, "orders").drop("coupon_id").write.parquet(f"{root}/version=1")
+    feed_rows(new, "orders").write.parquet(f"{root}/version=2")
     return read_evolved(d.spark, root, schemas.feed_schema("orders"))
 
 

@@ -5,6 +5,8 @@ Every reader and writer takes its schema from here, so nothing is ever inferred.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import types as T
 
 # --------------------------------------------------------------------------
@@ -153,6 +155,7 @@ AVRO_RECORDS = {
 QUALITY_DDL = "suite STRING, observed_rows BIGINT, success BOOLEAN, checked_at TIMESTAMP_NTZ"
 
 
+@cache
 def parse(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
