@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.plans.lake import BOOKKEEPING, Lake
+from tidemark.plans.lake import BOOKKEEPING, Lake, marks_filter
 
 
 def _columns(table: str) -> str:
@@ -38,13 +38,14 @@ def create_tables(lake: Lake, prefix: str = "") -> None:
 
 def publish(lake: Lake, prefix: str = "", as_of: str | datetime | None = None) -> None:
     """Point every layer view at the batches committed now, or as of a time."""
+    marks = lake.committed_all(as_of)
     for table in schemas.TABLE_DDL:
         files = f"{prefix}lake_files.{table.replace('.', '_')}"
         lake.spark.sql(f"REFRESH TABLE {files}")
         names = ", ".join(schemas.table_schema(table).names)
         lake.spark.sql(
             f"CREATE OR REPLACE VIEW {prefix}{table} AS SELECT {names} FROM {files} "
-            f"WHERE {lake.committed_filter(table, as_of)}")
+            f"WHERE {marks_filter(marks.get(table, {}))}")
 
 
 def layers(spark: SparkSession, prefix: str = "") -> DataFrame:

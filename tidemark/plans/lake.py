@@ -17,7 +17,6 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,12 +49,19 @@ LOG_COLUMNS = T.StructType([
     T.StructField("added_records", T.LongType()),
 ])
 LOG_SCHEMA = T.StructType([*LOG_COLUMNS.fields, *BOOKKEEPING.fields])
+ALL_LOGS_SCHEMA = T.StructType([T.StructField("table_name", T.StringType()), *LOG_SCHEMA.fields])
 
 
 def _missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
+def marks_filter(marks: dict[str, int]) -> str:
+    """Predicate on the partition columns that keeps committed batches only."""
+    terms = [f"(writer = '{w}' AND batch_id <= {n})" for w, n in sorted(marks.items())]
+    return " OR ".join(terms) if terms else "false"
+
+
 def distributed(df: DataFrame, table: str, files: int | None) -> DataFrame:
     """Hash the rows of a raw table over ``files`` tasks before writing; file layout only."""
     columns = HASH_COLUMNS.get(table)
@@ -81,7 +87,7 @@ class Lake:
         return f"{self.root}/{table.replace('.', '/')}"
 
     def log_path(self, table: str) -> str:
-        return f"{self.root}/_snapshots/{table}"
+        return f"{self.root}/_snapshots/table_name={table}"
 
     def checkpoint_path(self, query: str) -> str:
         return f"{self.root}/_checkpoints/{query}"
@@ -138,23 +144,30 @@ class Lake:
         rows = self._read(self.log_path(table), LOG_SCHEMA)
         return rows.orderBy(F.col("committed_at").desc_nulls_last(), "snapshot_id")
 
-    def committed(self, table: str, as_of: str | datetime | None = None) -> dict[str, int]:
-        """Highest committed batch per writer, now or as of a time."""
-        log = self._read(self.log_path(table), LOG_SCHEMA)
+    def _marks(self, log: DataFrame, as_of: str | datetime | None,
+               *keys: str) -> list:
+        """Highest committed batch per writer: as many rows as there are writers."""
         if as_of is not None:
             when = zoned_instant(as_of) if isinstance(as_of, str) else F.lit(as_of)
             log = log.where(F.col("committed_at") <= when.cast("timestamp"))
-        marks = log.groupBy("writer").agg(F.max("batch_id").alias("mark"))
+        marks = log.groupBy(*keys, "writer").agg(F.max("batch_id").alias("mark"))
         rows = marks.limit(MAX_WRITERS + 1).collect()
         if len(rows) > MAX_WRITERS:
-            raise ValueError(f"{table} has more than {MAX_WRITERS} writers")
+            raise ValueError(f"more than {MAX_WRITERS} writers")
+        return rows
+
+    def committed(self, table: str, as_of: str | datetime | None = None) -> dict[str, int]:
+        """Highest committed batch per writer of ``table``, now or as of a time."""
+        rows = self._marks(self._read(self.log_path(table), LOG_SCHEMA), as_of)
         return {row["writer"]: row["mark"] for row in rows}
 
-    def committed_filter(self, table: str, as_of: str | datetime | None = None) -> str:
-        """Predicate on the partition columns that keeps committed batches only."""
-        marks = sorted(self.committed(table, as_of).items())
-        terms = [f"(writer = '{w}' AND batch_id <= {n})" for w, n in marks]
-        return reduce(lambda a, b: f"{a} OR {b}", terms) if terms else "false"
+    def committed_all(self, as_of: str | datetime | None = None) -> dict[str, dict[str, int]]:
+        """``committed`` of every table that has commits."""
+        found: dict[str, dict[str, int]] = {}
+        log = self._read(f"{self.root}/_snapshots", ALL_LOGS_SCHEMA)
+        for row in self._marks(log, as_of, "table_name"):
+            found.setdefault(row["table_name"], {})[row["writer"]] = row["mark"]
+        return found
 
     def read(self, table: str, as_of: str | datetime | None = None) -> DataFrame:
         """Committed rows of ``table``; with ``as_of``, those committed by that time.
@@ -165,7 +178,7 @@ class Lake:
         schema = schemas.table_schema(table)
         rows = self._read(self.data_path(table),
                           T.StructType([*schema.fields, *BOOKKEEPING.fields]))
-        return rows.where(self.committed_filter(table, as_of)).select(*schema.names)
+        return rows.where(marks_filter(self.committed(table, as_of))).select(*schema.names)
 
     def read_batch(self, table: str, writer: str, batch_id: int) -> DataFrame:
         """Rows of one batch."""
