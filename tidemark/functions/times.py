@@ -40,10 +40,9 @@ def wall_clock(df: DataFrame, column: str, zone: str) -> Column:
 
 
 def wall_clock_to_epoch_ms(ntz: Column, zone: str) -> Column:
-    """Wall-clock time in ``zone`` to epoch milliseconds."""
+    """Wall-clock time in ``zone``, of millisecond precision, to epoch milliseconds."""
     utc = ntz if zone == "UTC" else F.convert_timezone(F.lit(zone), F.lit("UTC"), ntz)
-    seconds = (utc - F.expr(EPOCH)).cast("interval second").cast("decimal(20,6)")
-    return F.floor(seconds * 1000).cast("bigint")
+    return ((utc - F.expr(EPOCH)) * 1000).cast("interval second").cast("bigint")
 
 
 def processing_time(zone: str) -> Column:

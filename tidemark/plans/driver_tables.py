@@ -28,9 +28,9 @@ TABLES = {
               "value DOUBLE, props STRING",
 }
 
-# Day and time-of-day parts are read off the wall clock, so the session zone has no say.
-EPOCH_MS = ("unix_date(CAST({0} AS DATE)) * 86400000L + hour({0}) * 3600000L "
-            "+ minute({0}) * 60000L + CAST(floor(extract(SECOND FROM {0}) * 1000) AS BIGINT)")
+# Thousandths of the interval since the epoch, so the session zone has no say.
+EPOCH_MS = ("CAST(CAST(({0} - TIMESTAMP_NTZ '1970-01-01 00:00:00') * 1000 AS INTERVAL SECOND) "
+            "AS BIGINT)")
 
 
 def _log_columns(start: str, key: str, stamp: str) -> list[str]:

@@ -234,7 +234,7 @@ DIRTY_COMMERCE = f"""
 DIRTY_MARKET = f"""
     dirty_market AS (
         SELECT CASE WHEN {_DAY} <> 23 THEN symbol END AS symbol, {DAMAGE},
-               (SELECT max(event_ts) FROM t) - INTERVAL 400 DAY AS since FROM market)"""
+               (SELECT max(event_time) FROM o) - INTERVAL 400 DAY AS since FROM market)"""
 
 
 def _suite(suite: str, table: str, names: str) -> str:
@@ -408,7 +408,7 @@ SQL = {
     "freshness_lag": _both(" UNION ALL ".join((
         _lag("gold.commerce_kpis_1m", "kpis"), _lag("gold.crypto_market_kpis_1m", "market")))),
     "dq_commerce": _commerce(CHECK_COMMERCE, DIRTY_COMMERCE),
-    "dq_market": _market(CHECK_MARKET, DIRTY_MARKET),
+    "dq_market": _both(CHECK_MARKET, DIRTY_MARKET),
     "dq_checkpoint": _both("""
         SELECT suite, observed_rows, success FROM results
         UNION ALL

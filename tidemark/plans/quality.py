@@ -9,6 +9,7 @@ from tidemark.operators.quality import (
     CHECKPOINT,
     COMMERCE_SUITE,
     MARKET_SUITE,
+    Suite,
     checkpoint,
     suite_result,
 )
@@ -17,11 +18,11 @@ from tidemark.plans.lake import Lake
 RESULTS = "quality.results"
 
 
-def run_checks(lake: Lake, now: Column | None = None) -> DataFrame:
+def run_checks(lake: Lake, now: Column | None = None,
+               suites: tuple[Suite, ...] = (COMMERCE_SUITE, MARKET_SUITE)) -> DataFrame:
     """Results of all suites and the combined row. ``now`` is wall-clock in the lake's zone."""
     return checkpoint(*[
-        suite_result(lake.read(suite.table), suite, now, lake.zone)
-        for suite in (COMMERCE_SUITE, MARKET_SUITE)
+        suite_result(lake.read(suite.table), suite, now, lake.zone) for suite in suites
     ])
 
 

@@ -21,7 +21,6 @@ from tidemark.operators import (
     bronze_behavior,
     bronze_changes,
     bronze_ticks,
-    checkpoint,
     commerce_kpis,
     conservation,
     freshness,
@@ -36,10 +35,12 @@ from tidemark.operators import (
     table_counts,
     tick_bars,
 )
+from tidemark.operators.quality import Suite
 from tidemark.plans import catalog
 from tidemark.plans.backfill import backfill
 from tidemark.plans.driver_tables import ZONE, DriverTables, feed_rows, utc
 from tidemark.plans.lake import Lake
+from tidemark.plans.quality import run_checks
 from tidemark.session import scratch_dir
 from tidemark.sources import (
     allow_listed,
@@ -458,42 +459,51 @@ def _damaged(kpis: DataFrame) -> DataFrame:
     return kpis.withColumns(faults)
 
 
-def _last_event(d: DriverTables, feed: str, time: str) -> Column:
-    """Newest event time of a feed, as a scalar subquery."""
-    return d.feed(feed).agg(F.max(to_wall_clock(F.col(time), ZONE))).scalar()
+COMMERCE_CHECK = replace(COMMERCE_SUITE, lookback=QUALITY_LOOKBACK)
+MARKET_CHECK = replace(MARKET_SUITE, lookback=QUALITY_LOOKBACK)
 
 
-def _commerce_check(d: DriverTables):
-    return (_damaged(commerce_kpis(*_feeds(d), ZONE)),
-            replace(COMMERCE_SUITE, lookback=QUALITY_LOOKBACK),
-            _last_event(d, "orders", "event_time"))
+def _stored_kpis(d: DriverTables, *suites: Suite) -> Lake:
+    """The checked tables as stored rows, so that the rules filter in the file scan."""
+    lake = _new_lake(d)
+    if COMMERCE_CHECK in suites:
+        lake.append(_damaged(commerce_kpis(*_feeds(d), ZONE)), COMMERCE_CHECK.table, "kpis", 0)
+    if MARKET_CHECK in suites:
+        lake.append(_damaged(market_kpis(d.feed("ticks"), ZONE)), MARKET_CHECK.table, "kpis", 0)
+    return lake
+
+
+def _now(d: DriverTables) -> Column:
+    """Newest event time of the order feed, as a scalar subquery."""
+    return d.feed("orders").agg(F.max(to_wall_clock(F.col("event_time"), ZONE))).scalar()
 
 
-def _market_check(d: DriverTables):
-    return (_damaged(market_kpis(d.feed("ticks"), ZONE)),
-            replace(MARKET_SUITE, lookback=QUALITY_LOOKBACK),
-            _last_event(d, "ticks", "event_ts"))
+def _checked(d: DriverTables, suite: Suite) -> DataFrame:
+    return suite_result(_stored_kpis(d, suite).read(suite.table), suite, _now(d), ZONE)
 
 
 @_query
 def dq_commerce(d):
-    return suite_result(*_commerce_check(d), ZONE)
+    return _checked(d, COMMERCE_CHECK)
 
 
 @_query
 def dq_market(d):
-    return suite_result(*_market_check(d), ZONE)
+    return _checked(d, MARKET_CHECK)
 
 
 @_query
 def dq_checkpoint(d):
-    return checkpoint(dq_commerce(d), dq_market(d))
+    suites = (COMMERCE_CHECK, MARKET_CHECK)
+    return run_checks(_stored_kpis(d, *suites), _now(d), suites)
 
 
 @_query
 def dq_rejected(d):
-    return rejected_rows(*_commerce_check(d), ZONE).unionByName(
-        rejected_rows(*_market_check(d), ZONE))
+    lake = _stored_kpis(d, COMMERCE_CHECK, MARKET_CHECK)
+    commerce, market = [
+        rejected_rows(lake.read(s.table), s, _now(d), ZONE) for s in (COMMERCE_CHECK, MARKET_CHECK)]
+    return commerce.unionByName(market)
 
 
 @_query

@@ -33,13 +33,12 @@ def decode_json(df: DataFrame, schema: T.StructType, value: str = "value",
     """
     text = F.col(value).cast("string")
     parsed = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = (
-        df.where(F.ltrim(text, F.lit(JSON_SPACE)).startswith("{"))
-        # inline() holds the parsed record, so the filter below cannot be pushed
-        # beneath it and parse the text a second time.
-        .select(*keep, F.inline(F.array(F.from_json(
-            text, parsed, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))))
-    )
+    record = F.from_json(
+        text, parsed, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    looks_like_object = F.ltrim(text, F.lit(JSON_SPACE)).startswith("{")
+    # inline() gives a row for one record and none for NULL. It also holds the record, so
+    # the filter below cannot be pushed beneath it and parse the text a second time.
+    rows = df.select(*keep, F.inline(F.when(looks_like_object, F.array(record))))
     readable = F.col(CORRUPT).isNull() | _is_json_object(F.col(CORRUPT))
     return rows.where(readable).drop(CORRUPT)
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
@@ -64,5 +63,4 @@ def open_feed(raw: DataFrame, feed: str, *, decoded: bool = False) -> DataFrame:
         else:
             rows = decode_framed_avro(raw, feed)
         return computed_columns(rows, feed)
-    messages = raw.where(F.col("value").isNotNull())
-    return computed_columns(decode_json(messages, schemas.feed_schema(feed)), feed)
+    return computed_columns(decode_json(raw, schemas.feed_schema(feed)), feed)
