@@ -180,6 +180,9 @@ def test_published_views_follow_commits_and_earlier_times(spark, lake):
                     datetime(2026, 1, 1 + i))
         catalog.publish(lake, prefix)
         assert spark.table("t2_gold.commerce_kpis_1m").count() == i + 1
+    listed = spark.sql("SELECT batch_id, added_records FROM t2_lake_files.snapshots WHERE "
+                       f"table_name = '{KPIS}' ORDER BY committed_at DESC")
+    assert [tuple(r) for r in listed.collect()] == [(1, 1), (0, 1)]
     catalog.publish(lake, prefix, as_of=datetime(2026, 1, 1, 12))
     assert spark.table("t2_gold.commerce_kpis_1m").count() == 1
 

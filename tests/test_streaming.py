@@ -169,6 +169,23 @@ def test_a_failing_query_raises_and_stops_the_rest(spark, lake, topic):
     assert spark.streams.active == []
 
 
+def test_live_queries_run_side_by_side_and_fail_together(spark, lake, topic):
+    t = topic("ticks").add(tick(1, 1, 1, 0)).add(tick(2, 1, 1, 100))
+    queries = jobs.start_all({"ticks": t.stream}, lake, {"processingTime": "0 seconds"})
+    assert {q.name for q in queries} == {"ticks_rows", "ticks_bars_1s", "ticks_kpis_1m"}
+    for query in queries:
+        query.processAllAvailable()
+    assert lake.read(MARKET).count() == 5
+    t.add("not a tick", tick(3, 1, 1, 200))
+    source = t.stream().withColumn("price", F.raise_error(F.lit("boom")).cast("double"))
+    for query in queries[1:]:
+        query.stop()
+    failing = jobs.start(jobs.JOBS[7], source, lake, {"processingTime": "0 seconds"})
+    with pytest.raises(StreamingQueryException, match="boom"):
+        jobs.await_all([queries[0], failing], poll_seconds=1)
+    assert spark.streams.active == []
+
+
 def test_every_fed_table_has_one_writer_per_feed():
     written = [(job.feed, sink.table) for job in jobs.JOBS for sink in job.sinks]
     assert len(written) == len(set(written))

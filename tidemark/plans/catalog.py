@@ -2,7 +2,8 @@
 
 The files of a table belong to ``<prefix>lake_files.<layer>_<table>``; the name SQL reads,
 ``<layer>.<table>``, is a view over the committed batches. ``publish`` moves the views to
-the newest commits, or to those of an earlier time.
+the newest commits, or to those of an earlier time. ``<prefix>lake_files.snapshots`` lists
+the commits of all tables.
 """
 
 from __future__ import annotations
@@ -11,14 +12,14 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.plans.lake import BOOKKEEPING, Lake, marks_filter
+from tidemark.plans.lake import ALL_LOGS_SCHEMA, BOOKKEEPING, Lake, marks_filter
 
 
-def _columns(table: str) -> str:
-    fields = [*schemas.table_schema(table).fields, *BOOKKEEPING.fields]
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+def _columns(schema: T.StructType) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
 
 
 def create_tables(lake: Lake, prefix: str = "") -> None:
@@ -31,13 +32,18 @@ def create_tables(lake: Lake, prefix: str = "") -> None:
     for table in schemas.TABLE_DDL:
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {prefix}lake_files.{table.replace('.', '_')} "
-            f"({_columns(table)}) USING parquet PARTITIONED BY (writer, batch_id) "
-            f"LOCATION '{lake.data_path(table)}'")
+            f"({_columns(schemas.table_schema(table))}, {_columns(BOOKKEEPING)}) USING parquet "
+            f"PARTITIONED BY (writer, batch_id) LOCATION '{lake.data_path(table)}'")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {prefix}lake_files.snapshots ({_columns(ALL_LOGS_SCHEMA)}) "
+        f"USING parquet PARTITIONED BY (table_name, writer, batch_id) "
+        f"LOCATION '{lake.root}/_snapshots'")
     publish(lake, prefix)
 
 
 def publish(lake: Lake, prefix: str = "", as_of: str | datetime | None = None) -> None:
     """Point every layer view at the batches committed now, or as of a time."""
+    lake.spark.sql(f"REFRESH TABLE {prefix}lake_files.snapshots")
     marks = lake.committed_all(as_of)
     for table in schemas.TABLE_DDL:
         files = f"{prefix}lake_files.{table.replace('.', '_')}"

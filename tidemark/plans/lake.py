@@ -52,10 +52,6 @@ LOG_SCHEMA = T.StructType([*LOG_COLUMNS.fields, *BOOKKEEPING.fields])
 ALL_LOGS_SCHEMA = T.StructType([T.StructField("table_name", T.StringType()), *LOG_SCHEMA.fields])
 
 
-def _missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
-
-
 def marks_filter(marks: dict[str, int]) -> str:
     """Predicate on the partition columns that keeps committed batches only."""
     terms = [f"(writer = '{w}' AND batch_id <= {n})" for w, n in sorted(marks.items())]
@@ -98,20 +94,26 @@ class Lake:
             raise ValueError(f"writer name {writer!r} must be letters, digits, '_' or '-'")
         return f"{path}/writer={writer}/batch_id={batch_id}"
 
-    def _read(self, path: str, schema: T.StructType) -> DataFrame:
-        """Rows under ``path``, or none when nothing has been written yet."""
+    def _open(self, path: str, schema: T.StructType) -> DataFrame | None:
+        """Files under ``path``, or None when nothing has been written yet."""
         try:
             return self.spark.read.schema(schema).parquet(path)
         except AnalysisException as error:
-            if not _missing(error):
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return None
+
+    def _read(self, path: str, schema: T.StructType) -> DataFrame:
+        """Rows under ``path``; none when nothing has been written yet."""
+        rows = self._open(path, schema)
+        return self.spark.createDataFrame([], schema) if rows is None else rows
 
     # -- writing ---------------------------------------------------------
 
     def is_committed(self, table: str, writer: str, batch_id: int) -> bool:
         leaf = self._leaf(self.log_path(table), writer, batch_id)
-        return not self._read(leaf, LOG_COLUMNS).isEmpty()
+        entry = self._open(leaf, LOG_COLUMNS)
+        return entry is not None and not entry.isEmpty()
 
     def append(self, df: DataFrame, table: str, writer: str, batch_id: int,
                committed_at: datetime | Column | None = None) -> bool:
@@ -153,7 +155,7 @@ class Lake:
         marks = log.groupBy(*keys, "writer").agg(F.max("batch_id").alias("mark"))
         rows = marks.limit(MAX_WRITERS + 1).collect()
         if len(rows) > MAX_WRITERS:
-            raise ValueError(f"more than {MAX_WRITERS} writers")
+            raise ValueError(f"more than {MAX_WRITERS} writers")  # never a partial answer
         return rows
 
     def committed(self, table: str, as_of: str | datetime | None = None) -> dict[str, int]:

@@ -23,7 +23,7 @@ def read_evolved(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     Columns a file lacks are NULL. No footers are merged, so opening a table of many files
     costs no more than opening one.
     """
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def union_versions(*versions: DataFrame) -> DataFrame:

@@ -134,12 +134,14 @@ def run_available(sources: dict[str, Callable[[], DataFrame]], lake: Lake,
             query.stop()
 
 
-def await_all(queries: list[StreamingQuery]) -> None:
-    """Wait on live queries; the first one that fails stops the others and raises."""
-    if not queries:
-        return
+def await_all(queries: list[StreamingQuery], poll_seconds: int = 5) -> None:
+    """Wait on live queries; the first one that ends stops the others, and a failure raises."""
     try:
-        queries[0].sparkSession.streams.awaitAnyTermination()
+        while queries and all(query.isActive for query in queries):
+            queries[0].awaitTermination(poll_seconds)
+        for query in queries:
+            if not query.isActive:
+                query.awaitTermination()
     finally:
         for query in queries:
             query.stop()
