@@ -176,10 +176,10 @@ def test_live_queries_run_side_by_side_and_fail_together(spark, lake, topic):
     for query in queries:
         query.processAllAvailable()
     assert lake.read(MARKET).count() == 5
-    t.add("not a tick", tick(3, 1, 1, 200))
-    source = t.stream().withColumn("price", F.raise_error(F.lit("boom")).cast("double"))
     for query in queries[1:]:
         query.stop()
+    t.add(tick(3, 1, 1, 200))
+    source = t.stream().withColumn("price", F.raise_error(F.lit("boom")).cast("double"))
     failing = jobs.start(jobs.JOBS[7], source, lake, {"processingTime": "0 seconds"})
     with pytest.raises(StreamingQueryException, match="boom"):
         jobs.await_all([queries[0], failing], poll_seconds=1)
