@@ -158,6 +158,15 @@ def test_state_is_kept_on_disk(spark, lake, topic):
     assert list(state.rglob("*.changelog"))
 
 
+def test_closed_windows_are_written_in_files_sized_by_bytes(lake, topic):
+    rows = [tick(i, 1, 1, i, symbol=f"S{i}") for i in range(40)]
+    run(lake, topic("ticks").add(*rows).add(tick(99, 1, 1, 500)), only=("ticks_bars_1s",))
+    df = lake.read(BARS)
+    leaves = {str(Path(f).parent) for f in df.inputFiles()}
+    data = [f for leaf in leaves for f in Path(leaf.removeprefix("file:")).glob("*.parquet")]
+    assert df.count() == 40 and len(data) == len(leaves)
+
+
 def test_a_failing_query_raises_and_stops_the_rest(spark, lake, topic):
     t = topic("ticks").add(tick(1, 1, 1, 0))
 

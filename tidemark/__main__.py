@@ -37,7 +37,10 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--servers", required=True, help="broker addresses")
         sub.add_argument("--feeds", nargs="+", choices=list(schemas.TOPICS),
                          default=["orders", "payments", "refunds", "ticks"])
-        if name == "backfill":
+        sub.add_argument("--min-partitions", type=int, help="split topic partitions into tasks")
+        if name == "stream":
+            sub.add_argument("--max-offsets", type=int, help="messages per micro-batch at most")
+        else:
             sub.add_argument("--run", required=True, help="name; repeating it adds nothing")
             sub.add_argument("--start", type=datetime.fromisoformat)
             sub.add_argument("--end", type=datetime.fromisoformat)
@@ -59,12 +62,15 @@ def main(argv: list[str] | None = None) -> int:
         catalog.create_tables(lake)
     elif args.command == "stream":
         jobs.await_all(jobs.start_all({
-            feed: lambda feed=feed: open_feed(kafka_feed(spark, feed, args.servers), feed)
+            feed: lambda feed=feed: open_feed(kafka_feed(
+                spark, feed, args.servers, max_offsets=args.max_offsets,
+                min_partitions=args.min_partitions), feed)
             for feed in args.feeds
         }, lake))
     elif args.command == "backfill":
         backfill(lake, {
-            feed: open_feed(kafka_feed(spark, feed, args.servers, streaming=False), feed)
+            feed: open_feed(kafka_feed(spark, feed, args.servers, streaming=False,
+                                       min_partitions=args.min_partitions), feed)
             for feed in args.feeds
         }, args.run, args.start, args.end)
     elif args.command == "check":

@@ -2,11 +2,12 @@
 
 Each feed is read and decoded once, into its raw table. The later layers are computed from
 the columns of that batch, and the one-minute market metrics from the one-second bars, so
-the messages are never decoded again and ticks are shuffled once.
+the messages are never decoded again and ticks are shuffled once. Feeds run side by side.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -21,6 +22,7 @@ from tidemark.operators.gold import (
 )
 from tidemark.operators.silver import entity_events, silver_behavior, tick_bars
 from tidemark.plans.lake import Lake
+from tidemark.plans.together import together
 from tidemark.streaming.watermarks import TIME_COLUMN
 
 
@@ -53,24 +55,32 @@ def backfill(lake: Lake, feeds: dict[str, DataFrame], run: str,
         lake.append(df, table, name, 0)
         return lake.read_batch(table, name, 0)
 
-    for feed, df in feeds.items():
+    def changes(feed: str, rows: DataFrame) -> None:
+        raw = put(bronze_changes(rows, feed, zone), CHANGE_TABLES[feed][0])
+        raw = with_event_time(raw, feed)
+        kpis = {
+            "orders": lambda: order_kpis(raw, zone, op="cdc_op"),
+            "payments": lambda: payment_kpis(raw, zone),
+            "refunds": lambda: refund_kpis(raw, zone),
+        }[feed]
+        together(
+            lake.spark,
+            lambda: put(entity_events(raw, feed, zone), "silver.order_events", f"-{feed}"),
+            lambda: put(kpis(), "gold.commerce_kpis_1m", f"-{feed}"))
+
+    def ticks(rows: DataFrame) -> None:
+        raw = put(bronze_ticks(rows, zone), "bronze.crypto_ticks")
+        bars = put(tick_bars(raw, zone, time="event_time"), "silver.crypto_ticks_1s")
+        put(market_kpis_from_bars(bars, zone), "gold.crypto_market_kpis_1m")
+
+    def behavior(rows: DataFrame) -> None:
+        raw = put(bronze_behavior(rows, zone), "bronze.user_behavior_events")
+        put(silver_behavior(raw), "silver.user_behavior")
+
+    def chain(feed: str, df: DataFrame) -> Callable[[], None]:
         rows = in_range(df, feed, start, end)
         if feed in CHANGE_TABLES:
-            raw = put(bronze_changes(rows, feed, zone), CHANGE_TABLES[feed][0])
-            raw = with_event_time(raw, feed)
-            put(entity_events(raw, feed, zone), "silver.order_events", f"-{feed}")
-            kpis = {
-                "orders": lambda d: order_kpis(d, zone, op="cdc_op"),
-                "payments": lambda d: payment_kpis(d, zone),
-                "refunds": lambda d: refund_kpis(d, zone),
-            }[feed](raw)
-            put(kpis, "gold.commerce_kpis_1m", f"-{feed}")
-        elif feed == "ticks":
-            raw = put(bronze_ticks(rows, zone), "bronze.crypto_ticks")
-            bars = put(tick_bars(raw, zone, time="event_time"), "silver.crypto_ticks_1s")
-            put(market_kpis_from_bars(bars, zone), "gold.crypto_market_kpis_1m")
-        elif feed == "behavior":
-            raw = put(bronze_behavior(rows, zone), "bronze.user_behavior_events")
-            put(silver_behavior(raw), "silver.user_behavior")
-        else:
-            raise ValueError(f"unknown feed {feed!r}")
+            return lambda: changes(feed, rows)
+        return {"ticks": lambda: ticks(rows), "behavior": lambda: behavior(rows)}[feed]
+
+    together(lake.spark, *[chain(feed, df) for feed, df in feeds.items()])

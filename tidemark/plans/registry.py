@@ -41,6 +41,7 @@ from tidemark.plans.backfill import backfill
 from tidemark.plans.driver_tables import ZONE, DriverTables, feed_rows, utc
 from tidemark.plans.lake import Lake
 from tidemark.plans.quality import run_checks
+from tidemark.plans.together import together
 from tidemark.session import scratch_dir
 from tidemark.sources import (
     allow_listed,
@@ -466,10 +467,12 @@ MARKET_CHECK = replace(MARKET_SUITE, lookback=QUALITY_LOOKBACK)
 def _stored_kpis(d: DriverTables, *suites: Suite) -> Lake:
     """The checked tables as stored rows, so that the rules filter in the file scan."""
     lake = _new_lake(d)
-    if COMMERCE_CHECK in suites:
-        lake.append(_damaged(commerce_kpis(*_feeds(d), ZONE)), COMMERCE_CHECK.table, "kpis", 0)
-    if MARKET_CHECK in suites:
-        lake.append(_damaged(market_kpis(d.feed("ticks"), ZONE)), MARKET_CHECK.table, "kpis", 0)
+    kpis = {
+        COMMERCE_CHECK: lambda: commerce_kpis(*_feeds(d), ZONE),
+        MARKET_CHECK: lambda: market_kpis(d.feed("ticks"), ZONE),
+    }
+    together(d.spark, *[
+        lambda s=s: lake.append(_damaged(kpis[s]()), s.table, "kpis", 0) for s in suites])
     return lake
 
 

@@ -22,6 +22,7 @@ from tidemark.streaming.watermarks import watermarked
 
 LIVE_TRIGGER = {"processingTime": "30 seconds"}
 DRAIN_TRIGGER = {"availableNow": True}
+ADAPTIVE = "spark.sql.adaptive.enabled"
 
 Transform = Callable[[DataFrame, str], DataFrame]
 
@@ -86,10 +87,22 @@ def _write_rows(job: Job, lake: Lake) -> Callable[[DataFrame, int], None]:
 
 
 def _write_windows(job: Job, lake: Lake) -> Callable[[DataFrame, int], None]:
+    """Writer of closed windows, which are few rows spread over every state partition.
+
+    Stateful queries run without adaptive execution. The state of this batch has its plan
+    by now, so the write alone may use it: it then sizes files by bytes instead of leaving
+    one small file per state partition.
+    """
     (sink,) = job.sinks
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        lake.append(batch, sink.table, job.name, batch_id)
+        conf = batch.sparkSession.conf
+        before = conf.get(ADAPTIVE)
+        conf.set(ADAPTIVE, "true")
+        try:
+            lake.append(batch.hint("rebalance"), sink.table, job.name, batch_id)
+        finally:
+            conf.set(ADAPTIVE, before)
     return write
 
 
