@@ -340,18 +340,18 @@ SQL = {
         SELECT 'raw.cdc.commerce.public.orders' AS topic, order_id AS entity_id, __op FROM o
         UNION ALL SELECT 'raw.cdc.commerce.public.payments', payment_id, __op FROM p
         UNION ALL SELECT 'raw.cdc.commerce.public.refunds', refund_id, __op FROM r"""),
-    "table_scan_all": "SELECT event_id, ts, user_id, event_type, value FROM events",
+    "table_scan": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "query_as_dataset": _commerce("""
         SELECT window_start, metric_name, metric_value FROM kpis
         WHERE metric_value >= 100000"""),
     "bronze_orders": _bronze("o"),
     "bronze_payments": _bronze("p"),
     "bronze_refunds": _bronze("r"),
-    "bronze_tick_rows": _with("t", BRONZE_TICKS),
-    "bronze_behavior_rows": _with("b", f"SELECT {BEHAVIOR}, cart_id FROM b"),
+    "bronze_ticks": _with("t", BRONZE_TICKS),
+    "bronze_behavior": _with("b", f"SELECT {BEHAVIOR}, cart_id FROM b"),
     "silver_order_events": _with("opr", ORDER_EVENTS),
     "silver_ticks_1s": _with("t", "SELECT * FROM bars", BARS),
-    "silver_behavior_rows": _with("b", f"SELECT {BEHAVIOR} FROM b"),
+    "silver_behavior": _with("b", f"SELECT {BEHAVIOR} FROM b"),
     "gold_commerce": _commerce(f"SELECT {LISTED} FROM kpis"),
     "gold_market": _market("SELECT * FROM market"),
     "kpi_unpivot": _with("t", """
@@ -403,9 +403,9 @@ SQL = {
         _newest("orders", "order_id", "order_status", "o", 2),
         _newest("payments", "payment_id", "payment_status", "p", 2),
         _newest("refunds", "refund_id", "refund_status", "r", 1)))),
-    "table_row_counts": _with("oprt", _counts(*LAYER_COUNTS), ORDER_WINDOWS, COMMERCE, BARS,
+    "table_counts": _with("oprt", _counts(*LAYER_COUNTS), ORDER_WINDOWS, COMMERCE, BARS,
                               MARKET_WIDE, MARKET, EVENT_UNION),
-    "freshness_lag": _both(" UNION ALL ".join((
+    "freshness": _both(" UNION ALL ".join((
         _lag("gold.commerce_kpis_1m", "kpis"), _lag("gold.crypto_market_kpis_1m", "market")))),
     "dq_commerce": _commerce(CHECK_COMMERCE, DIRTY_COMMERCE),
     "dq_market": _both(CHECK_MARKET, DIRTY_MARKET),

@@ -45,6 +45,7 @@ from tidemark.plans.together import together
 from tidemark.session import scratch_dir
 from tidemark.sources import (
     allow_listed,
+    computed_columns,
     decode_json,
     open_feed,
     query_batch,
@@ -72,11 +73,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 
-def _query(build: Callable[[DriverTables], DataFrame]) -> Callable[[DriverTables], DataFrame]:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(DriverTables(spark, sf_dir))
-    _QUERIES[build.__name__] = run
-    return build
+def _query(name: str) -> Callable:
+    def register(build: Callable[[DriverTables], DataFrame]) -> Callable:
+        _QUERIES[name] = lambda spark, sf_dir: build(DriverTables(spark, sf_dir))
+        return build
+    return register
 
 
 def registered() -> dict[str, Query]:
@@ -101,33 +102,33 @@ def _scan_changes(d: DriverTables, feed: str) -> DataFrame:
     return utc(open_feed(d.messages(feed), feed), STAMPS[feed], "updated_at", "event_time")
 
 
-@_query
-def scan_orders_cdc(d):
+@_query("scan_orders_cdc")
+def query_scan_orders_cdc(d: DriverTables) -> DataFrame:
     return _scan_changes(d, "orders")
 
 
-@_query
-def scan_payments_cdc(d):
+@_query("scan_payments_cdc")
+def query_scan_payments_cdc(d: DriverTables) -> DataFrame:
     return _scan_changes(d, "payments")
 
 
-@_query
-def scan_refunds_cdc(d):
+@_query("scan_refunds_cdc")
+def query_scan_refunds_cdc(d: DriverTables) -> DataFrame:
     return _scan_changes(d, "refunds")
 
 
-@_query
-def scan_behavior(d):
+@_query("scan_behavior")
+def query_scan_behavior(d: DriverTables) -> DataFrame:
     return utc(d.feed("behavior"), "event_time")
 
 
-@_query
-def scan_ticks(d):
+@_query("scan_ticks")
+def query_scan_ticks(d: DriverTables) -> DataFrame:
     return utc(d.feed("ticks"), "event_ts")
 
 
-@_query
-def json_tolerant_decode(d):
+@_query("json_tolerant_decode")
+def query_json_tolerant_decode(d: DriverTables) -> DataFrame:
     """Order messages, some of them broken in each of the ways the decoder knows."""
     kind = F.pmod("key", F.lit(11))
     text = F.col("value")
@@ -145,14 +146,14 @@ def json_tolerant_decode(d):
                        schemas.feed_schema("orders"))
 
 
-@_query
-def computed_columns(d):
+@_query("computed_columns")
+def query_computed_columns(d: DriverTables) -> DataFrame:
     return utc(d.feed("orders"), "created_at", "updated_at", "event_time").select(
         "order_id", "created_at", "updated_at", "event_time")
 
 
-@_query
-def cdc_unwrap(d):
+@_query("cdc_unwrap")
+def query_cdc_unwrap(d: DriverTables) -> DataFrame:
     """Change envelopes under table column names; every thirteenth key is a tombstone."""
     rows = d.rows("orders").withColumnsRenamed(
         {"created_at_ms": "created_at", "updated_at_ms": "updated_at"})
@@ -173,8 +174,8 @@ def cdc_unwrap(d):
                   rename={"created_at": "created_at_ms", "updated_at": "updated_at_ms"})
 
 
-@_query
-def snapshot_bootstrap(d):
+@_query("snapshot_bootstrap")
+def query_snapshot_bootstrap(d: DriverTables) -> DataFrame:
     """Orders of the first years as an initial snapshot, later ones as changes."""
     placed = F.col("o_orderdate") < F.lit(COMMITS[1][0])
     table = feed_rows(d.table("orders").where(placed), "orders").select(
@@ -185,8 +186,8 @@ def snapshot_bootstrap(d):
     return snapshot_then_changes(snapshot_rows(table, "orders"), changes)
 
 
-@_query
-def cdc_route(d):
+@_query("cdc_route")
+def query_cdc_route(d: DriverTables) -> DataFrame:
     """A mixed change log; lines of shipments come from a table that is not captured."""
     def tagged(df: DataFrame, table: str, key: str, op: Column) -> DataFrame:
         return df.select(F.lit("public").alias("__schema"), F.lit(table).alias("__table"),
@@ -202,15 +203,15 @@ def cdc_route(d):
     return allow_listed(log).select("topic", "entity_id", "__op")
 
 
-@_query
-def table_scan_all(d):
+@_query("table_scan")
+def query_table_scan(d: DriverTables) -> DataFrame:
     layout = schemas.parse("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, "
                            "event_type STRING, value DOUBLE")
     return table_scan(d.spark, d.path("events"), layout)
 
 
-@_query
-def query_as_dataset(d):
+@_query("query_as_dataset")
+def query_query_as_dataset(d: DriverTables) -> DataFrame:
     return query_batch(
         d.spark,
         "SELECT window_start, metric_name, metric_value FROM {kpis} WHERE metric_value >= 100000",
@@ -219,91 +220,91 @@ def query_as_dataset(d):
 
 # -- layers ------------------------------------------------------------------
 
-@_query
-def bronze_orders(d):
+@_query("bronze_orders")
+def query_bronze_orders(d: DriverTables) -> DataFrame:
     return _stored(bronze_changes(d.feed("orders"), "orders", ZONE))
 
 
-@_query
-def bronze_payments(d):
+@_query("bronze_payments")
+def query_bronze_payments(d: DriverTables) -> DataFrame:
     return _stored(bronze_changes(d.feed("payments"), "payments", ZONE))
 
 
-@_query
-def bronze_refunds(d):
+@_query("bronze_refunds")
+def query_bronze_refunds(d: DriverTables) -> DataFrame:
     return _stored(bronze_changes(d.feed("refunds"), "refunds", ZONE))
 
 
-@_query
-def bronze_tick_rows(d):
+@_query("bronze_ticks")
+def query_bronze_ticks(d: DriverTables) -> DataFrame:
     return _stored(bronze_ticks(d.feed("ticks"), ZONE))
 
 
-@_query
-def bronze_behavior_rows(d):
+@_query("bronze_behavior")
+def query_bronze_behavior(d: DriverTables) -> DataFrame:
     return _stored(bronze_behavior(d.feed("behavior"), ZONE))
 
 
-@_query
-def silver_order_events(d):
+@_query("silver_order_events")
+def query_silver_order_events(d: DriverTables) -> DataFrame:
     return _stored(order_events(*_feeds(d), ZONE))
 
 
-@_query
-def silver_ticks_1s(d):
+@_query("silver_ticks_1s")
+def query_silver_ticks_1s(d: DriverTables) -> DataFrame:
     return _stored(tick_bars(d.feed("ticks"), ZONE))
 
 
-@_query
-def silver_behavior_rows(d):
+@_query("silver_behavior")
+def query_silver_behavior(d: DriverTables) -> DataFrame:
     return _stored(silver_behavior(bronze_behavior(d.feed("behavior"), ZONE)))
 
 
-@_query
-def gold_commerce(d):
+@_query("gold_commerce")
+def query_gold_commerce(d: DriverTables) -> DataFrame:
     return _stored(commerce_kpis(*_feeds(d), ZONE))
 
 
-@_query
-def gold_market(d):
+@_query("gold_market")
+def query_gold_market(d: DriverTables) -> DataFrame:
     return _stored(market_kpis(d.feed("ticks"), ZONE))
 
 
-@_query
-def kpi_unpivot(d):
+@_query("kpi_unpivot")
+def query_kpi_unpivot(d: DriverTables) -> DataFrame:
     bars = tick_bars(d.feed("ticks"), ZONE)
     return long_metrics(bars, ["window_start", "symbol", "exchange"],
                         ["tick_count", "traded_volume", "min_price", "sell_tick_count"])
 
 
-@_query
-def filter_created(d):
+@_query("filter_created")
+def query_filter_created(d: DriverTables) -> DataFrame:
     rows = d.feed("orders").where(F.col("__op") == "c")
     return rows.select("order_id", "user_id", "total_amount")
 
 
-@_query
-def filter_succeeded(d):
+@_query("filter_succeeded")
+def query_filter_succeeded(d: DriverTables) -> DataFrame:
     rows = d.feed("payments").where(F.col("payment_status") == "SUCCEEDED")
     return rows.select("payment_id", "user_id", "amount")
 
 
 # -- scalar functions --------------------------------------------------------
 
-@_query
-def epoch_to_ts(d):
+@_query("epoch_to_ts")
+def query_epoch_to_ts(d: DriverTables) -> DataFrame:
     at = to_wall_clock(epoch_ms_to_ts("event_time"), ZONE)
     return d.rows("ticks").select("tick_id", at.alias("event_ts"))
 
 
-@_query
-def event_time_coalesce(d):
+@_query("event_time_coalesce")
+def query_event_time_coalesce(d: DriverTables) -> DataFrame:
     at = first_event_time("__source_ts_ms", "updated_at_ms", "refunded_at_ms")
     return d.rows("refunds").select("refund_id", to_wall_clock(at, ZONE).alias("event_time"))
 
 
-@_query
-def ltz_to_ntz(d):
+@_query("ltz_to_ntz")
+def query_ltz_to_ntz(d: DriverTables) -> DataFrame:
     local = to_wall_clock(F.col("event_time"), schemas.LOCAL_ZONE)
     return d.feed("behavior").select("event_id", local.alias("local_time"))
 
@@ -320,12 +321,11 @@ def _commerce_between(d: DriverTables, start: date | None, end: date | None) ->
             df = df.where(F.col(column) < F.lit(end).cast("timestamp_ntz"))
         return df
 
-    from tidemark.sources import computed_columns as with_computed
     orders, lines = sliced("orders", "o_orderdate"), sliced("lineitem", "l_shipdate")
     return commerce_kpis(
-        with_computed(feed_rows(orders, "orders"), "orders"),
-        with_computed(feed_rows(orders, "payments"), "payments"),
-        with_computed(feed_rows(lines, "refunds"), "refunds"),
+        computed_columns(feed_rows(orders, "orders"), "orders"),
+        computed_columns(feed_rows(orders, "payments"), "payments"),
+        computed_columns(feed_rows(lines, "refunds"), "refunds"),
         ZONE)
 
 
@@ -338,25 +338,25 @@ def _committed_kpis(d: DriverTables) -> Lake:
     return lake
 
 
-@_query
-def snapshots(d):
+@_query("snapshots")
+def query_snapshots(d: DriverTables) -> DataFrame:
     listed = _committed_kpis(d).snapshots("gold.commerce_kpis_1m")
     return listed.withColumn("committed_at", to_wall_clock(F.col("committed_at"), ZONE))
 
 
-@_query
-def time_travel(d):
+@_query("time_travel")
+def query_time_travel(d: DriverTables) -> DataFrame:
     table = "gold.commerce_kpis_1m"
     return _stored(latest(_committed_kpis(d).read(table, AS_OF), table))
 
 
-@_query
-def time_travel_all_rows(d):
+@_query("time_travel_all_rows")
+def query_time_travel_all_rows(d: DriverTables) -> DataFrame:
     return _stored(_committed_kpis(d).read("gold.commerce_kpis_1m", AS_OF))
 
 
-@_query
-def create_tables(d):
+@_query("create_tables")
+def query_create_tables(d: DriverTables) -> DataFrame:
     """All tables created, filled by a backfill, created again, and counted through SQL."""
     prefix = f"tm_{uuid.uuid4().hex[:12]}_"
     lake = _new_lake(d)
@@ -370,8 +370,8 @@ def create_tables(d):
     })
 
 
-@_query
-def schema_evolution(d):
+@_query("schema_evolution")
+def query_schema_evolution(d: DriverTables) -> DataFrame:
     """Order files from before and after the coupon column was added, read as one table."""
     root, cut = scratch_dir(d.spark), F.lit(COMMITS[1][0])
     table = d.table("orders")
@@ -383,40 +383,40 @@ def schema_evolution(d):
 
 # -- serving -----------------------------------------------------------------
 
-@_query
-def latest_ticks(d):
+@_query("latest_ticks")
+def query_latest_ticks(d: DriverTables) -> DataFrame:
     return _stored(latest(bronze_ticks(d.feed("ticks"), ZONE), "bronze.crypto_ticks"))
 
 
-@_query
-def latest_bars(d):
+@_query("latest_bars")
+def query_latest_bars(d: DriverTables) -> DataFrame:
     return _stored(latest(tick_bars(d.feed("ticks"), ZONE), "silver.crypto_ticks_1s"))
 
 
-@_query
-def latest_market_kpis(d):
+@_query("latest_market_kpis")
+def query_latest_market_kpis(d: DriverTables) -> DataFrame:
     return _stored(latest(market_kpis(d.feed("ticks"), ZONE), "gold.crypto_market_kpis_1m"))
 
 
-@_query
-def latest_orders(d):
+@_query("latest_orders")
+def query_latest_orders(d: DriverTables) -> DataFrame:
     rows = bronze_changes(d.feed("orders"), "orders", ZONE)
     return _stored(latest(rows, "bronze.orders_cdc"))
 
 
-@_query
-def latest_commerce_kpis(d):
+@_query("latest_commerce_kpis")
+def query_latest_commerce_kpis(d: DriverTables) -> DataFrame:
     return _stored(latest(commerce_kpis(*_feeds(d), ZONE), "gold.commerce_kpis_1m"))
 
 
-@_query
-def latest_entities(d):
+@_query("latest_entities")
+def query_latest_entities(d: DriverTables) -> DataFrame:
     frames = [utc(d.feed(f), STAMPS[f]) for f in CHANGE_FEEDS]
     return latest_per_entity(*frames)
 
 
-@_query
-def table_row_counts(d):
+@_query("table_counts")
+def query_table_counts(d: DriverTables) -> DataFrame:
     feeds = dict(zip(CHANGE_FEEDS, _feeds(d)))
     ticks = d.feed("ticks")
     return table_counts({
@@ -431,8 +431,8 @@ def table_row_counts(d):
     })
 
 
-@_query
-def freshness_lag(d):
+@_query("freshness")
+def query_freshness(d: DriverTables) -> DataFrame:
     """Rows count as produced some seconds after their window, by their value."""
     def produced(kpis: DataFrame) -> DataFrame:
         wait = F.make_dt_interval(secs=F.pmod(F.floor("metric_value"), F.lit(9)))
@@ -485,32 +485,32 @@ def _checked(d: DriverTables, suite: Suite) -> DataFrame:
     return suite_result(_stored_kpis(d, suite).read(suite.table), suite, _now(d), ZONE)
 
 
-@_query
-def dq_commerce(d):
+@_query("dq_commerce")
+def query_dq_commerce(d: DriverTables) -> DataFrame:
     return _checked(d, COMMERCE_CHECK)
 
 
-@_query
-def dq_market(d):
+@_query("dq_market")
+def query_dq_market(d: DriverTables) -> DataFrame:
     return _checked(d, MARKET_CHECK)
 
 
-@_query
-def dq_checkpoint(d):
+@_query("dq_checkpoint")
+def query_dq_checkpoint(d: DriverTables) -> DataFrame:
     suites = (COMMERCE_CHECK, MARKET_CHECK)
     return run_checks(_stored_kpis(d, *suites), _now(d), suites)
 
 
-@_query
-def dq_rejected(d):
+@_query("dq_rejected")
+def query_dq_rejected(d: DriverTables) -> DataFrame:
     lake = _stored_kpis(d, COMMERCE_CHECK, MARKET_CHECK)
     commerce, market = [
         rejected_rows(lake.read(s.table), s, _now(d), ZONE) for s in (COMMERCE_CHECK, MARKET_CHECK)]
     return commerce.unionByName(market)
 
 
-@_query
-def dq_conservation(d):
+@_query("dq_conservation")
+def query_dq_conservation(d: DriverTables) -> DataFrame:
     feeds = dict(zip(CHANGE_FEEDS, _feeds(d)))
     return conservation([bronze_changes(df, feed, ZONE) for feed, df in feeds.items()],
                         order_events(*feeds.values(), ZONE))
@@ -525,39 +525,39 @@ def _streamed(d: DriverTables, feeds: tuple[str, ...], jobs: tuple[str, ...]) ->
     return lake
 
 
-@_query
-def stream_bronze_orders(d):
+@_query("stream_bronze_orders")
+def query_stream_bronze_orders(d: DriverTables) -> DataFrame:
     return _stored(_streamed(d, ("orders",), ("orders_rows",)).read("bronze.orders_cdc"))
 
 
-@_query
-def stream_bronze_ticks(d):
+@_query("stream_bronze_ticks")
+def query_stream_bronze_ticks(d: DriverTables) -> DataFrame:
     return _stored(_streamed(d, ("ticks",), ("ticks_rows",)).read("bronze.crypto_ticks"))
 
 
-@_query
-def stream_silver_order_events(d):
+@_query("stream_silver_order_events")
+def query_stream_silver_order_events(d: DriverTables) -> DataFrame:
     jobs = tuple(f"{f}_rows" for f in CHANGE_FEEDS)
     return _stored(_streamed(d, CHANGE_FEEDS, jobs).read("silver.order_events"))
 
 
-@_query
-def stream_silver_behavior(d):
+@_query("stream_silver_behavior")
+def query_stream_silver_behavior(d: DriverTables) -> DataFrame:
     return _stored(_streamed(d, ("behavior",), ("behavior_rows",)).read("silver.user_behavior"))
 
 
-@_query
-def stream_silver_ticks_1s(d):
+@_query("stream_silver_ticks_1s")
+def query_stream_silver_ticks_1s(d: DriverTables) -> DataFrame:
     return _stored(_streamed(d, ("ticks",), ("ticks_bars_1s",)).read("silver.crypto_ticks_1s"))
 
 
-@_query
-def stream_gold_market(d):
+@_query("stream_gold_market")
+def query_stream_gold_market(d: DriverTables) -> DataFrame:
     lake = _streamed(d, ("ticks",), ("ticks_kpis_1m",))
     return _stored(lake.read("gold.crypto_market_kpis_1m"))
 
 
-@_query
-def stream_gold_commerce(d):
+@_query("stream_gold_commerce")
+def query_stream_gold_commerce(d: DriverTables) -> DataFrame:
     jobs = tuple(f"{f}_kpis" for f in CHANGE_FEEDS)
     return _stored(_streamed(d, CHANGE_FEEDS, jobs).read("gold.commerce_kpis_1m"))
