@@ -19,6 +19,7 @@ from tidemark.functions import (
     wall_clock_to_epoch_ms,
     zoned_instant,
 )
+from tidemark.session import scratch_dir
 
 MS = 1700000000123
 SEOUL = datetime(2023, 11, 15, 7, 13, 20, 123000)
@@ -96,3 +97,20 @@ def test_aggregates(spark):
     assert got["a"] == (4.0, 2.0, 1.0, 1)
     assert got["z"] == (5.0, 5.0, 0.0, 0)
     assert got["n"] == (0.0, None, None, 0)
+
+
+class _Session:
+    def __init__(self, **settings):
+        self.settings, self.conf = settings, self
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+
+def test_scratch_goes_to_the_shared_folder_of_the_session():
+    shared = _Session(**{"spark.checkpoint.dir": "s3a://shared/", "spark.master": "yarn"})
+    one, two = scratch_dir(shared), scratch_dir(shared)
+    assert one.startswith("s3a://shared/run-") and one != two
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(_Session(**{"spark.master": "yarn"}))
+    assert "tidemark-" in scratch_dir(_Session(**{"spark.master": "local[4]"}))

@@ -47,6 +47,15 @@ def test_a_batch_that_was_not_committed_is_invisible_and_replaced_on_retry(spark
     assert values(lake.read(KPIS), "metric_value") == [(1.0,), (2.0,)]
 
 
+def test_a_batch_without_rows_makes_no_snapshot(spark, lake):
+    assert lake.append(kpi_rows(spark), KPIS, "orders", 0)
+    assert lake.snapshots(KPIS).count() == 0 and lake.read(KPIS).count() == 0
+    lake.append(kpi_rows(spark, (0, "orders_created", 1)), KPIS, "orders", 1)
+    assert lake.append(kpi_rows(spark), KPIS, "orders", 2)
+    assert lake.committed(KPIS) == {"orders": 1}
+    assert lake.read(KPIS).count() == 1
+
+
 def test_writers_share_a_table(spark, lake):
     lake.append(kpi_rows(spark, (0, "orders_created", 1)), KPIS, "orders", 0)
     lake.append(kpi_rows(spark, (0, "refund_amount", 5)), KPIS, "refunds", 0)

@@ -11,6 +11,7 @@ from rows import feed, ms, order, payment, refund, tick, values
 
 from tidemark import schemas
 from tidemark.operators import commerce_kpis, market_kpis, order_events, tick_bars
+from tidemark.plans.lake import Lake
 from tidemark.sources import file_feed, open_feed
 from tidemark.streaming import jobs
 from tidemark.streaming.watermarks import watermarked
@@ -151,6 +152,34 @@ def test_a_repeated_batch_id_lands_once_in_every_sink(spark, lake):
     assert lake.read("silver.order_events").count() == 1
 
 
+@pytest.mark.parametrize("job", ["ticks_rows", "ticks_kpis_1m"])
+def test_a_crash_between_data_and_commit_leaves_no_gap_and_no_duplicate(
+        spark, lake, topic, monkeypatch, job):
+    t = topic("ticks").add(*[tick(i, 1, 1, i) for i in range(50)]).add(tick(99, 1, 1, 500))
+    table = {"ticks_rows": "bronze.crypto_ticks", "ticks_kpis_1m": MARKET}[job]
+    path, crashes = Lake.log_path, []
+
+    def crashing(self, name):
+        # The data is written, its row count is known, and the log is about to follow.
+        if name == table and len(crashes) < 1 and os.path.exists(self.data_path(name)):
+            leaves = list(Path(self.data_path(name)).rglob("_SUCCESS"))
+            if leaves:
+                crashes.append(leaves)
+                raise RuntimeError("driver lost")
+        return path(self, name)
+
+    monkeypatch.setattr(Lake, "log_path", crashing)
+    with pytest.raises(StreamingQueryException, match="driver lost"):
+        run(lake, t, only=(job,))
+    monkeypatch.setattr(Lake, "log_path", path)
+    assert crashes
+    run(lake, t, only=(job,))
+    if job == "ticks_rows":
+        assert lake.read(table).count() == lake.read(table).distinct().count() == 51
+    else:
+        assert counted(lake) == {0: 50.0}
+
+
 def test_state_is_kept_on_disk(spark, lake, topic):
     t = topic("ticks").add(tick(1, 1, 1, 0)).add(tick(2, 1, 1, 100))
     run(lake, t, only=("ticks_kpis_1m",))

@@ -37,6 +37,8 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--servers", required=True, help="broker addresses")
         sub.add_argument("--feeds", nargs="+", choices=list(schemas.TOPICS),
                          default=["orders", "payments", "refunds", "ticks"])
+        sub.add_argument("--files-per-batch", type=int,
+                         help="hash raw rows over this many files per batch")
         sub.add_argument("--min-partitions", type=int, help="split topic partitions into tasks")
         if name == "stream":
             sub.add_argument("--max-offsets", type=int, help="messages per micro-batch at most")
@@ -57,7 +59,8 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     spark = build_session()
-    lake = Lake(spark, args.root.rstrip("/"), args.zone)
+    lake = Lake(spark, args.root.rstrip("/"), args.zone,
+                getattr(args, "files_per_batch", None))
     if args.command == "create":
         catalog.create_tables(lake)
     elif args.command == "stream":

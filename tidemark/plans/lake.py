@@ -117,9 +117,10 @@ class Lake:
 
     def append(self, df: DataFrame, table: str, writer: str, batch_id: int,
                committed_at: datetime | Column | None = None) -> bool:
-        """Write ``df`` as one batch of ``writer`` and commit it.
+        """Write ``df`` as one batch of ``writer`` and commit it. Batch ids must grow.
 
-        Gives False, and writes nothing, when that batch has been committed before.
+        Gives False, and writes nothing, when that batch has been committed before. A batch
+        without rows is not logged; repeating it is harmless.
         """
         if self.is_committed(table, writer, batch_id):
             return False
@@ -127,16 +128,18 @@ class Lake:
         rows = distributed(conform(df, table), table, self.files_per_batch)
         rows.write.mode("overwrite").parquet(leaf)
         # Counted from the footers of the files just written, not by running df again.
-        added = self.spark.read.schema(schemas.table_schema(table)).parquet(leaf)
-        when = F.current_timestamp() if committed_at is None else committed_at
-        entry = added.agg(F.count("*").alias("added_records")).select(
-            F.lit(f"{writer}-{batch_id}").alias("snapshot_id"),
-            (when if isinstance(when, Column) else F.lit(when)).cast("timestamp")
-            .alias("committed_at"),
-            F.lit("append").alias("operation"),
-            "added_records",
-        )
-        entry.write.mode("overwrite").parquet(self._leaf(self.log_path(table), writer, batch_id))
+        added = self.spark.read.schema(schemas.table_schema(table)).parquet(leaf).count()
+        if added:
+            when = F.current_timestamp() if committed_at is None else committed_at
+            entry = self.spark.range(1, numPartitions=1).select(
+                F.lit(f"{writer}-{batch_id}").alias("snapshot_id"),
+                (when if isinstance(when, Column) else F.lit(when)).cast("timestamp")
+                .alias("committed_at"),
+                F.lit("append").alias("operation"),
+                F.lit(added).cast("bigint").alias("added_records"),
+            )
+            log = self._leaf(self.log_path(table), writer, batch_id)
+            entry.write.mode("overwrite").parquet(log)
         return True
 
     # -- reading ---------------------------------------------------------

@@ -10,6 +10,7 @@ from tidemark.sources.decode import (
     computed_columns,
     decode_framed_avro,
     decode_json,
+    require_columns,
 )
 from tidemark.sources.feeds import file_feed, kafka_feed, kafka_options, open_feed
 from tidemark.sources.tables import query_batch, read_evolved, table_scan, union_versions
@@ -26,6 +27,7 @@ __all__ = [
     "open_feed",
     "query_batch",
     "read_evolved",
+    "require_columns",
     "route",
     "snapshot_rows",
     "snapshot_then_changes",
