@@ -2,6 +2,7 @@ from tidemark.functions.aggregates import count_where, mean, null_safe_sum, rati
 from tidemark.functions.times import (
     epoch_ms_to_ts,
     first_event_time,
+    millis_between,
     minute_floor,
     processing_time,
     to_wall_clock,
@@ -15,6 +16,7 @@ __all__ = [
     "epoch_ms_to_ts",
     "first_event_time",
     "mean",
+    "millis_between",
     "minute_floor",
     "null_safe_sum",
     "processing_time",

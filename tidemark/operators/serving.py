@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import millis_between
+
 ROW_LIMIT = 5000  # rows a dashboard query may return
 
 # Table to (sort columns, row limit). A leading "-" means newest first. Where the listed
@@ -69,10 +71,9 @@ def freshness(tables: dict[str, DataFrame], target_ms: int = 5000) -> DataFrame:
     The percentile is an approximate sketch of fixed size, so no group is held whole.
     """
     def lag(name: str, df: DataFrame) -> DataFrame:
-        took = (F.col("produced_at") - F.col("window_end")).cast("interval second")
         return df.select(
             F.lit(name).alias("table_name"),
-            F.floor(took.cast("decimal(20,6)") * 1000).cast("bigint").alias("lag_ms"))
+            millis_between(F.col("window_end"), F.col("produced_at")).alias("lag_ms"))
 
     rows = reduce(lambda a, b: a.unionByName(b), [lag(n, d) for n, d in tables.items()])
     return rows.groupBy("table_name").agg(
