@@ -7,16 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing
+from tidemark.llm import exact_dedup, mixing, packing, token_counts
 from tidemark.llm.common import table
 
+BPE = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_path(BPE))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.with_checksums(packing.packed(docs, vocabulary_path(BPE)))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = mixing.copies(table(spark, sf_dir, "documents"))
     return drawn.select("row.doc_id", "size", "source_size", "target",
