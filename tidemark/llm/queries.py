@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, packing, token_counts
+from tidemark.llm import exact_dedup, mixing, near_dedup, packing, token_counts
 from tidemark.llm.common import table
 
 BPE = "byte_bpe_50k.json"
@@ -28,6 +28,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.with_checksums(packing.packed(docs, vocabulary_path(BPE)))
