@@ -4,8 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, mixing
+from tidemark.llm import exact_dedup, mixing, near_dedup, packing, quality
 from tidemark.llm.common import stored, table
+from tidemark.llm.queries import BPE, vocabulary_path
+
+
+def good_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn by their importance weight; what looks unlike the target goes."""
+    rows = stored(quality.scored(docs, table(spark, sf_dir, "labels")))
+    return quality.drawn(rows).where("selected").select("row.*")
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,12 +20,28 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return exact_dedup.deduplicated(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five words, similarity 0.8."""
+    return near_dedup.deduplicated(docs, size=5, percent=80)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out so that sources meet their weights."""
     return mixing.mixed(docs)
 
 
-STAGES = [("exact_dedup", exact_duplicates), ("mixing", mix)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in fixed windows of token ids."""
+    return packing.with_checksums(packing.packed(docs, vocabulary_path(BPE)))
+
+
+STAGES = [
+    ("quality", good_text),
+    ("exact_dedup", exact_duplicates),
+    ("near_dedup", near_duplicates),
+    ("mixing", mix),
+    ("packing", pack),
+]
 ORACLE_SQL = None  # hashed models, sketches and tokenizers can't be said in SQL
 
 

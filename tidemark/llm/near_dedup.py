@@ -32,11 +32,12 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import WORD, stored, text_or_empty
 from tidemark.llm.components import components
 
 ROWS = 4          # coordinates per band
@@ -360,3 +361,32 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     return labelled(docs, size, percent).select(
         "doc_id", "n_shingles", "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The row with the smallest ``doc_id`` of each group, with all columns of ``docs``.
+
+    Documents without words are no one's copies and stay. Where several rows have that
+    ``doc_id``, those of the group are told apart by the rest of their columns.
+    """
+    @F.pandas_udf("binary")
+    def set_of(texts: pd.Series) -> pd.Series:
+        codes = Codes()
+        return pd.Series([set_id(shingles((t or "").encode(), size, codes)) for t in texts])
+
+    marks = labelled(docs, size, percent).where(F.col("set_id").isNotNull())
+    named = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    kept = stored(
+        marks.groupBy(F.col("doc_id").alias("kept_id"))
+        .agg(F.count("*").alias("rows"), F.min(F.when(named, F.col("set_id"))).alias("kept_set"))
+        .where("kept_set is not null"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.col("text"))
+    wordless = rows.where(~text_or_empty().rlike(WORD))
+    worded = rows.where(text_or_empty().rlike(WORD))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    found = worded.join(kept.where("rows = 1"), same, "left_semi").select("row")
+    repeated = kept.where("rows > 1")
+    if not repeated.isEmpty():
+        of_group = worded.join(repeated, same).where(set_of("text") == F.col("kept_set"))
+        found = found.unionAll(of_group.groupBy("doc_id").agg(F.min("row").alias("row")).select("row"))
+    return found.unionAll(wordless.select("row")).select("row.*")

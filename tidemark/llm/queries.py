@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, near_dedup, packing, token_counts
-from tidemark.llm.common import table
+from tidemark.llm import exact_dedup, mixing, near_dedup, packing, quality, token_counts
+from tidemark.llm.common import stored, table
 
 BPE = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.drawn(stored(rows.select("row.doc_id", "log_weight", "score")))
+
+
 def op4_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_path(BPE))
 
