@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, near_dedup, packing, quality, token_counts
+from tidemark.llm import ann, exact_dedup, mixing, near_dedup, packing, quality, token_counts
 from tidemark.llm.common import stored, table
 
 BPE = "byte_bpe_50k.json"
@@ -29,6 +29,10 @@ def op4_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_path(BPE))
 
 
+def op6_multiprobe_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), every_nth=20, k=20)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
 
