@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, exact_dedup, mixing, near_dedup, packing, quality, token_counts
+from tidemark.llm import ann, exact_dedup, mixing, near_dedup, packing, quality, token_counts, warc
 from tidemark.llm.common import stored, table
 
 BPE = "byte_bpe_50k.json"
@@ -20,6 +20,11 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archived(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return quality.drawn(stored(rows.select("row.doc_id", "log_weight", "score")))
