@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, exact_dedup, mixing, near_dedup, packing, quality, token_counts, warc
+from tidemark.llm import ann, exact_dedup, mixing, near_dedup, packing, quality, token_counts, training_order, warc
 from tidemark.llm.common import stored, table
+from tidemark.session import scratch_dir
 
 BPE = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,11 @@ def op4_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_path(BPE))
 
 
+def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.materialised(
+        table(spark, sf_dir, "documents"), vocabulary_path(BPE), f"{scratch_dir(spark)}/shards")
+
+
 def op6_multiprobe_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), every_nth=20, k=20)
 
