@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, exact_dedup, mixing, near_dedup, packing, quality, token_counts, training_order, warc
+from tidemark.llm import (
+    ann,
+    exact_dedup,
+    licenses,
+    mixing,
+    near_dedup,
+    packing,
+    quality,
+    token_counts,
+    training_order,
+    warc,
+)
 from tidemark.llm.common import stored, table
 from tidemark.session import scratch_dir
 
@@ -31,6 +42,10 @@ def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.drawn(stored(rows.select("row.doc_id", "log_weight", "score")))
 
 
+def op3_license_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
 def op4_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_path(BPE))
 
