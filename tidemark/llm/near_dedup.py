@@ -337,7 +337,8 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
 
 
 def labelled(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
-    """``(doc_id, n_shingles, set_id, component_id)`` of every row."""
+    """``(doc_id, n_shingles, set_id, root, component_id)`` of every row; components have
+    one root each, and may share an id where rows repeat it."""
     drawn = stored(sketches(docs, size, percent / 100))
     classes = stored(
         drawn.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(
@@ -349,9 +350,9 @@ def labelled(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
         .select("set_id", "least", F.coalesce("root", "set_id").alias("root")))
     names = stored(grouped.groupBy("root").agg(F.min("least").alias("component_id")))
     by_set = stored(grouped.join(names, "root").select(
-        F.col("set_id").alias("of_set"), "component_id"))
+        F.col("set_id").alias("of_set"), "root", "component_id"))
     return drawn.join(by_set, F.col("set_id") == F.col("of_set"), "left").select(
-        "doc_id", "n_shingles", "set_id",
+        "doc_id", "n_shingles", "set_id", "root",
         F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         .alias("component_id"))
 
@@ -374,19 +375,23 @@ def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
         codes = Codes()
         return pd.Series([set_id(shingles((t or "").encode(), size, codes)) for t in texts])
 
-    marks = labelled(docs, size, percent).where(F.col("set_id").isNotNull())
-    named = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    kept = stored(
-        marks.groupBy(F.col("doc_id").alias("kept_id"))
-        .agg(F.count("*").alias("rows"), F.min(F.when(named, F.col("set_id"))).alias("kept_set"))
-        .where("kept_set is not null"))
+    marks = stored(labelled(docs, size, percent).where(F.col("set_id").isNotNull()).select(
+        "doc_id", "set_id", "root",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("named")))
+    ids = marks.groupBy(F.col("doc_id").alias("kept_id")).agg(
+        F.count("*").alias("rows"), F.max("named").alias("named")).where("named")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.col("text"))
     wordless = rows.where(~text_or_empty().rlike(WORD))
     worded = rows.where(text_or_empty().rlike(WORD))
     same = F.col("doc_id").eqNullSafe(F.col("kept_id"))
-    found = worded.join(kept.where("rows = 1"), same, "left_semi").select("row")
-    repeated = kept.where("rows > 1")
+    found = worded.join(stored(ids.where("rows = 1")), same, "left_semi").select("row")
+    repeated = stored(ids.where("rows > 1"))
     if not repeated.isEmpty():
-        of_group = worded.join(repeated, same).where(set_of("text") == F.col("kept_set"))
-        found = found.unionAll(of_group.groupBy("doc_id").agg(F.min("row").alias("row")).select("row"))
+        sets = marks.where("named").groupBy("doc_id", "root").agg(F.min("set_id").alias("kept_set"))
+        sets = sets.select(F.col("doc_id").alias("set_of_id"), "kept_set")
+        several = worded.join(repeated, same, "left_semi").withColumn("of_set", set_of("text"))
+        of_group = several.join(sets, F.col("doc_id").eqNullSafe(F.col("set_of_id"))
+                                & (F.col("of_set") == F.col("kept_set")))
+        found = found.unionAll(
+            of_group.groupBy("doc_id", "of_set").agg(F.min("row").alias("row")).select("row"))
     return found.unionAll(wordless.select("row")).select("row.*")
