@@ -15,7 +15,7 @@ per query, and these are merged. Nothing but the largest length reaches the driv
 Defined cases: vectors that are null, empty, zero, of another length than most, or that hold
 null or non-finite numbers take no part, nor do rows without an id. Of rows that repeat an
 id the smallest vector counts. Ties go to the smaller id. A slice in which a query's buckets
-hold fewer than ``k`` vectors is compared whole, so small tables are answered exactly. An
+hold fewer than ``LEAST * k`` vectors is compared whole, so small tables are answered exactly. An
 empty table gives an empty result.
 """
 
@@ -35,6 +35,7 @@ TABLES = 16
 WIDTHS = 6
 STEP = 1.5        # of a step, for vectors of length 1
 PROBES = 64       # buckets a query visits, per table on average
+LEAST = 10        # times k: a slice that offers fewer vectors is compared whole
 SLICE = 8192      # vectors, and queries, a task compares
 SEED = 41
 
@@ -152,7 +153,7 @@ class Slice:
     def nearest(self, query_id: int, query: np.ndarray, probes: np.ndarray, k: int):
         other = self.ids != query_id
         found = np.flatnonzero(self.visited(probes) & other)
-        if len(found) < k:
+        if len(found) < LEAST * k:
             found = np.flatnonzero(other)
         vectors = self.vectors[found]
         rough = vectors @ query

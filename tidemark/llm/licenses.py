@@ -5,7 +5,8 @@ logistic regression on hashed word n-grams (one to three words): one class per l
 family and one for anything else. The model is fitted on the driver from
 
 - notices of each family: sentence frames around the family's names, bare or amid words,
-- notices of licences that don't exist, which belong to the class of anything else,
+- notices of licences that don't exist, which belong to the class of anything else; n-grams
+  that no family's notices have are left out,
 - windows of at most ``SAMPLE_DOCS`` documents, those with the smallest hashed ids.
 
 Every fifth of them is held out to calibrate: a temperature for the probabilities, and the
@@ -128,8 +129,18 @@ class Model:
         plain = np.array([w for t in texts for w in t])
         rows, labels = [], []
 
+        def buckets(words: list[str]) -> np.ndarray:
+            return features(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)))
+
+        # Only n-grams of notices have weights; the words around them say nothing.
+        self.known = np.zeros(BUCKETS, bool)
+        for name in self.names:
+            for notice in notices(name):
+                self.known[buckets(tokens(notice))] = True
+
         def add(words: list[str], label: int) -> None:
-            rows.append(features(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))))
+            found = buckets(words)
+            rows.append(found[self.known[found]])
             labels.append(label)
 
         def amid(words: list[str], label: int) -> None:
