@@ -8,7 +8,7 @@ from rows import feed, order, payment, refund, values
 
 from tidemark import schemas
 from tidemark.operators import freshness, latest, latest_per_entity, table_counts
-from tidemark.operators.serving import ROW_LIMIT
+from tidemark.operators.serving import ROW_LIMIT, dashboard_rows
 
 START = datetime(2026, 3, 13, 12, 0)
 
@@ -30,10 +30,14 @@ def test_latest_breaks_ties_and_puts_nulls_last(spark):
     assert everything[-1]["window_start"] is None
 
 
-def test_latest_is_a_top_k_and_caps_dashboard_rows(spark):
-    df = kpis(spark, [(START, "m", 1, None)])
-    plan = latest(df, "gold.commerce_kpis_1m", limit=10**6)._jdf.queryExecution()
-    assert f"TakeOrderedAndProject(limit={ROW_LIMIT}" in plan.executedPlan().toString()
+def test_latest_is_a_top_k_of_as_many_rows_as_asked_for(spark):
+    df = spark.range(6000).select(
+        F.timestamp_seconds("id").cast("timestamp_ntz").alias("window_start"),
+        F.lit("m").alias("metric_name"))
+    plan = latest(df, "gold.commerce_kpis_1m")._jdf.queryExecution()
+    assert "TakeOrderedAndProject(limit=50" in plan.executedPlan().toString()
+    assert latest(df, "gold.commerce_kpis_1m", limit=5500).count() == 5500
+    assert dashboard_rows(df, "gold.commerce_kpis_1m").count() == ROW_LIMIT == 5000
 
 
 def test_latest_orders_ties_by_key(spark):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import millis_between
 
-ROW_LIMIT = 5000  # rows a dashboard query may return
+ROW_LIMIT = 5000  # rows a dashboard query returns unless it asks for another number
 
 # Table to (sort columns, row limit). A leading "-" means newest first. Where the listed
 # order leaves ties, the last column breaks them, so the kept rows are determined.
@@ -34,7 +34,12 @@ def ordered(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
 def latest(df: DataFrame, table: str, limit: int | None = None) -> DataFrame:
     """Newest rows of ``table``: a per-partition top-k, then one merge of the survivors."""
     columns, default = LATEST[table]
-    return ordered(df, columns).limit(min(default if limit is None else limit, ROW_LIMIT))
+    return ordered(df, columns).limit(default if limit is None else limit)
+
+
+def dashboard_rows(df: DataFrame, table: str, limit: int = ROW_LIMIT) -> DataFrame:
+    """Newest rows of ``table`` as a dashboard shows them."""
+    return latest(df, table, limit)
 
 
 def latest_per_entity(orders: DataFrame, payments: DataFrame, refunds: DataFrame,
