@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 from datetime import datetime
 
 import pytest
@@ -181,19 +182,106 @@ def test_tables_are_created_once_and_queried_by_name(spark, lake):
     assert latest(spark.table("t1_gold.behavior_kpis_1m"), "gold.behavior_kpis_1m").count() == 0
 
 
-def test_published_views_follow_commits_and_earlier_times(spark, lake):
+def test_views_show_commits_by_themselves(spark, lake):
     prefix = "t2_"
     catalog.create_tables(lake, prefix)
     for i in range(2):
         lake.append(kpi_rows(spark, (i, "orders_created", i)), KPIS, "orders", i,
-                    datetime(2026, 1, 1 + i))
-        catalog.publish(lake, prefix)
-        assert spark.table("t2_gold.commerce_kpis_1m").count() == i + 1
+                    F.lit(f"2026-01-0{1 + i} 00:00:00 UTC"))
+        for session in (spark, spark.newSession()):
+            assert session.sql("SELECT * FROM t2_gold.commerce_kpis_1m").count() == i + 1
+    broken = lake._leaf(lake.data_path(KPIS), "orders", 2)
+    kpi_rows(spark, (5, "orders_created", 99)).write.parquet(broken)
+    assert spark.table("t2_gold.commerce_kpis_1m").count() == 2
     listed = spark.sql("SELECT batch_id, added_records FROM t2_lake_files.snapshots WHERE "
                        f"table_name = '{KPIS}' ORDER BY committed_at DESC")
     assert [tuple(r) for r in listed.collect()] == [(1, 1), (0, 1)]
-    catalog.publish(lake, prefix, as_of=datetime(2026, 1, 1, 12))
-    assert spark.table("t2_gold.commerce_kpis_1m").count() == 1
+    catalog.pin(lake, "t2_old_", datetime(2026, 1, 1, 12), prefix)
+    assert spark.table("t2_old_gold.commerce_kpis_1m").count() == 1
+    assert spark.table("t2_gold.commerce_kpis_1m").count() == 2
+    for name in (prefix, "t2_old_"):
+        catalog.drop(spark, name)
+    assert catalog.layers(spark, prefix).count() == 0
+
+
+def test_any_number_of_writers_reads_in_full(spark, lake, monkeypatch):
+    """As many backfills leave them: more writers than a filter should name."""
+    monkeypatch.setattr("tidemark.plans.lake.LITERAL_WRITERS", 50)
+    count = 120
+    rows = spark.range(count).select(
+        F.lit(datetime(2026, 1, 1)).cast("timestamp_ntz").alias("window_start"),
+        F.lit(datetime(2026, 1, 1)).cast("timestamp_ntz").alias("window_end"),
+        F.lit("orders_created").alias("metric_name"), F.col("id").cast("double").alias("metric_value"),
+        F.lit(None).cast("timestamp_ntz").alias("produced_at"),
+        F.concat(F.lit("backfill-"), "id").alias("writer"), F.lit(0).alias("batch_id"))
+    rows.repartition(4).write.partitionBy("writer", "batch_id").parquet(lake.data_path(KPIS))
+    log = rows.select(
+        F.concat("writer", F.lit("-0")).alias("snapshot_id"),
+        F.timestamp_seconds("metric_value").alias("committed_at"),
+        F.lit("append").alias("operation"), F.lit(1).cast("bigint").alias("added_records"),
+        "writer", "batch_id")
+    log.where("writer <> 'backfill-7'").repartition(4).write.partitionBy(
+        "writer", "batch_id").parquet(lake.log_path(KPIS))
+    assert lake.read(KPIS).count() == count - 1
+    assert lake.read(KPIS, datetime(1970, 1, 1, 0, 0, 9)).count() == 9
+    catalog.create_tables(lake, "t3_")
+    assert spark.table("t3_gold.commerce_kpis_1m").count() == count - 1
+    catalog.drop(spark, "t3_")
+
+
+def test_a_batch_that_commits_during_a_read_is_left_out_whole(spark, lake, monkeypatch):
+    lake.append(kpi_rows(spark, (0, "orders_created", 1)), KPIS, "orders", 0)
+    path = Lake.data_path
+
+    def committing(self, table):
+        monkeypatch.setattr(Lake, "data_path", path)
+        self.append(kpi_rows(spark, (1, "orders_created", 2)), KPIS, "orders", 1)
+        return path(self, table)
+
+    monkeypatch.setattr(Lake, "data_path", committing)
+    assert lake.read(KPIS).count() == 1
+    assert lake.read(KPIS).count() == 2
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Seoul"])
+def test_naive_times_are_in_the_lake_s_zone(spark, tmp_path, monkeypatch, zone):
+    """Whatever zone the driver's machine is in."""
+    monkeypatch.setenv("TZ", "America/Los_Angeles")
+    time.tzset()
+    try:
+        lake = Lake(spark, str(tmp_path / "l"), zone)
+        lake.append(kpi_rows(spark, (0, "orders_created", 1)), KPIS, "orders", 0,
+                    F.lit(f"2026-03-13 12:00:00 {zone}"))
+        assert lake.read(KPIS, datetime(2026, 3, 13, 11, 59)).count() == 0
+        assert lake.read(KPIS, datetime(2026, 3, 13, 12, 0)).count() == 1
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_a_run_s_name_stands_for_one_range(spark, lake):
+    load(spark, lake, "c", end=datetime(2026, 3, 13, 3, 1))
+    with pytest.raises(ValueError, match="another range"):
+        load(spark, lake, "c", start=datetime(2026, 3, 13, 3, 1))
+    load(spark, lake, "cd", start=datetime(2026, 3, 13, 3, 1))
+    assert lake.read("bronze.orders_cdc").count() == 3
+
+
+def test_ranges_cut_anywhere_add_up(spark, lake, tmp_path):
+    whole = Lake(spark, str(tmp_path / "whole"), "UTC")
+    load(spark, whole)
+    cuts = [None, datetime(2026, 3, 13, 3, 0, 20, 300000), datetime(2026, 3, 13, 3, 1),
+            datetime(2026, 3, 13, 3, 1, 1), None]
+    for i, (start, end) in enumerate(zip(cuts, cuts[1:])):
+        load(spark, lake, f"r{i}", start=start, end=end)
+    for table in ("bronze.crypto_ticks", "silver.crypto_ticks_1s", "gold.crypto_market_kpis_1m",
+                  "silver.order_events", KPIS):
+        kept = [c for c in schemas.table_schema(table).names
+                if c not in ("produced_at", "ingest_time")]
+        got, want = (values(x.read(table), *kept) for x in (lake, whole))
+        assert [r[:2] for r in got] == [r[:2] for r in want]
+        numbers = [[v for r in rows for v in r if isinstance(v, float)] for rows in (got, want)]
+        assert numbers[0] == pytest.approx(numbers[1])
 
 
 def test_bronze_ticks_round_trip(spark, lake):

@@ -140,9 +140,36 @@ def test_restart_adds_nothing_and_goes_on_with_new_input(lake, topic):
     assert [lake.read(x).count() for x in ("bronze.crypto_ticks", BARS, MARKET)] == [3, 2, 10]
 
 
+def test_a_lost_checkpoint_is_noticed_and_a_generation_starts_over(spark, lake, topic, monkeypatch):
+    t = topic("orders").add(order(1, 5, 0))
+    run(lake, t, only=("orders_rows",))
+    kept = Lake.checkpoint_path
+    monkeypatch.setattr(Lake, "checkpoint_path", lambda self, q: kept(self, q) + "-gone")
+    with pytest.raises(ValueError, match="new generation"):
+        run(lake, t, only=("orders_rows",))
+    t.add(order(2, 5, 1))
+    for _ in range(2):
+        jobs.run_available({"orders": t.stream}, lake, ("orders_rows",), generation="b")
+    assert lake.read("bronze.orders_cdc").count() == 1 + 2  # the replay reads all of it again
+    assert lake.read("silver.order_events").count() == 3
+
+
+def test_each_feed_is_decoded_once_per_job(lake, topic):
+    """The event table is derived from stored rows, not from the messages."""
+    t = topic("orders").add(order(1, 5, 0), order(2, 6, 1))
+    reads = []
+
+    def counted_stream():
+        reads.append(1)
+        return t.stream()
+
+    jobs.run_available({"orders": counted_stream}, lake, ("orders_rows",))
+    assert len(reads) == 1 and lake.read("silver.order_events").count() == 2
+
+
 def test_a_repeated_batch_id_lands_once_in_every_sink(spark, lake):
     job = next(j for j in jobs.JOBS if j.name == "orders_rows")
-    write = jobs._write_rows(job, lake)
+    write = jobs._write_rows(job, lake, job.name)
     batch = feed(spark, "orders", [order(1, 5, 0)])
     # The first attempt broke off between the two sinks.
     lake.append(job.sinks[0].transform(batch, lake.zone), job.sinks[0].table, job.name, 7)

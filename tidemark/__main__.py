@@ -7,19 +7,26 @@
 from __future__ import annotations
 
 import argparse
-from datetime import datetime
+import json
+from datetime import datetime, timedelta
 
 from tidemark import schemas
 from tidemark.operators.serving import LATEST, latest
 from tidemark.plans import catalog
 from tidemark.plans.backfill import backfill
-from tidemark.plans.lake import Lake
+from tidemark.plans.lake import Lake, in_zone
 from tidemark.plans.quality import record
 from tidemark.session import build_session
 from tidemark.sources import kafka_feed, open_feed
 from tidemark.streaming import jobs
 
 
+def writer_schemas(path: str) -> dict[int, str]:
+    """Writer schemas by registry id, from a JSON file of ``{"id": schema}``."""
+    with open(path, encoding="utf-8") as file:
+        return {int(number): json.dumps(schema) for number, schema in json.load(file).items()}
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tidemark", description=__doc__.splitlines()[0])
     commands = top.add_subparsers(dest="command", required=True)
@@ -40,9 +47,18 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--files-per-batch", type=int,
                          help="hash raw rows over this many files per batch")
         sub.add_argument("--min-partitions", type=int, help="split topic partitions into tasks")
+        sub.add_argument("--writers", type=writer_schemas, metavar="JSON",
+                         help="file with the writer schemas by registry id")
         if name == "stream":
-            sub.add_argument("--max-offsets", type=int, help="messages per micro-batch at most")
+            sub.add_argument("--max-offsets", type=int, default=1_000_000,
+                             help="messages per micro-batch at most")
+            sub.add_argument("--state-partitions", type=int,
+                             help="partitions of window state; fixed by the first start")
+            sub.add_argument("--generation", default="",
+                             help="name of a new start, which reads the feeds from the beginning")
         else:
+            sub.add_argument("--slack-minutes", type=int, default=60,
+                             help="how far event times may lie from record times")
             sub.add_argument("--run", required=True, help="name; repeating it adds nothing")
             sub.add_argument("--start", type=datetime.fromisoformat)
             sub.add_argument("--end", type=datetime.fromisoformat)
@@ -64,26 +80,32 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "create":
         catalog.create_tables(lake)
     elif args.command == "stream":
+        if args.state_partitions:
+            spark.conf.set("spark.sql.shuffle.partitions", args.state_partitions)
         jobs.await_all(jobs.start_all({
             feed: lambda feed=feed: open_feed(kafka_feed(
                 spark, feed, args.servers, max_offsets=args.max_offsets,
-                min_partitions=args.min_partitions), feed)
+                min_partitions=args.min_partitions), feed, writers=args.writers)
             for feed in args.feeds
-        }, lake))
+        }, lake, generation=args.generation))
     elif args.command == "backfill":
+        start, end = (t and in_zone(t, lake.zone) for t in (args.start, args.end))
         backfill(lake, {
-            feed: open_feed(kafka_feed(spark, feed, args.servers, streaming=False,
-                                       min_partitions=args.min_partitions), feed)
+            feed: open_feed(kafka_feed(
+                spark, feed, args.servers, streaming=False, start=start, end=end,
+                slack=timedelta(minutes=args.slack_minutes),
+                min_partitions=args.min_partitions), feed, writers=args.writers)
             for feed in args.feeds
-        }, args.run, args.start, args.end)
+        }, args.run, start, end)
     elif args.command == "check":
         success = record(lake, args.run_id)
         print(f"success={success}")
         return 0 if success else 1
     elif args.command == "latest":
-        latest(lake.read(args.table, args.as_of), args.table).show(50, False)
+        latest(lake.read(args.table, args.as_of), args.table).show(LATEST[args.table][1], False)
     else:
-        lake.snapshots(args.table).show(50, False)
+        for row in lake.snapshots(args.table).toLocalIterator():  # all of them, never at once
+            print(*row, sep="\t")
     return 0
 
 

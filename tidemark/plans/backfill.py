@@ -3,31 +3,37 @@
 Each feed is read and decoded once, into its raw table. The later layers are computed from
 the columns of that batch, and the one-minute market metrics from the one-second bars, so
 the messages are never decoded again and ticks are shuffled once. Feeds run side by side.
+
+Ranges may be cut anywhere: a window belongs to the range that holds its start, and is
+computed from all its rows. Adjacent ranges thus give what one long range gives. Where a
+bound lies within a minute, windows are computed from the feed's own rows up to the end of
+that minute.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.bronze import CHANGE_TABLES, bronze_behavior, bronze_changes, bronze_ticks
 from tidemark.operators.gold import (
+    market_kpis,
     market_kpis_from_bars,
     order_kpis,
     payment_kpis,
     refund_kpis,
 )
 from tidemark.operators.silver import entity_events, silver_behavior, tick_bars
-from tidemark.plans.lake import Lake
+from tidemark.plans.lake import Lake, in_zone
 from tidemark.plans.together import together
 from tidemark.streaming.watermarks import TIME_COLUMN
 
 
 def in_range(df: DataFrame, feed: str, start: datetime | None, end: datetime | None) -> DataFrame:
-    """Rows with event time in ``[start, end)``."""
+    """Rows with event time in ``[start, end)``; the bounds are instants."""
     time = F.col(TIME_COLUMN.get(feed, "event_time"))
     if start is not None:
         df = df.where(time >= F.lit(start))
@@ -42,45 +48,78 @@ def with_event_time(bronze: DataFrame, feed: str) -> DataFrame:
     return bronze.withColumn("event_time", F.coalesce("cdc_source_ts", "updated_at", stamp))
 
 
+def ceiling(when: datetime | None, **step: int) -> datetime | None:
+    """The first whole step at or after ``when``."""
+    if when is None:
+        return None
+    size = timedelta(**step)
+    past = (when - datetime(1970, 1, 1, tzinfo=when.tzinfo)) % size
+    return when if not past else when + (size - past)
+
+
+def writer_name(lake: Lake, run: str, start: datetime | None, end: datetime | None) -> str:
+    """The writer of a run. A run's name stands for one range: another one is an error."""
+    def shown(when: datetime | None) -> str:
+        return "all" if when is None else f"{round(when.timestamp() * 1_000_000)}"
+
+    writer = f"backfill-{run}--{shown(start)}--{shown(end)}--"
+    others = lake.writers(f"backfill-{run}--").where(~F.col("writer").startswith(writer))
+    if not others.isEmpty():
+        raise ValueError(f"run {run!r} was used for another range; choose a new name")
+    return writer
+
+
 def backfill(lake: Lake, feeds: dict[str, DataFrame], run: str,
              start: datetime | None = None, end: datetime | None = None) -> None:
     """Append a range of ``feeds`` (opened, bounded) to all layers under the name ``run``.
 
     Each table gets one commit. Repeating a run that broke off does only what is missing.
+    Bounds without a zone are in the lake's.
     """
-    writer, zone = f"backfill-{run}", lake.zone
+    zone = lake.zone
+    start, end = (None if t is None else in_zone(t, zone) for t in (start, end))
+    writer = writer_name(lake, run, start, end)
+    minutes = ceiling(start, minutes=1), ceiling(end, minutes=1)
+    seconds = ceiling(start, seconds=1), ceiling(end, seconds=1)
+    whole = minutes == (start, end)
 
     def put(df: DataFrame, table: str, part: str = "") -> DataFrame:
         name = writer + part
         lake.append(df, table, name, 0)
         return lake.read_batch(table, name, 0)
 
-    def changes(feed: str, rows: DataFrame) -> None:
+    def changes(feed: str, opened: DataFrame) -> None:
+        rows = in_range(opened, feed, start, end)
         raw = put(bronze_changes(rows, feed, zone), CHANGE_TABLES[feed][0])
         raw = with_event_time(raw, feed)
+        timed, op = (raw, "cdc_op") if whole else (in_range(opened, feed, *minutes), "__op")
         kpis = {
-            "orders": lambda: order_kpis(raw, zone, op="cdc_op"),
-            "payments": lambda: payment_kpis(raw, zone),
-            "refunds": lambda: refund_kpis(raw, zone),
+            "orders": lambda: order_kpis(timed, zone, op=op),
+            "payments": lambda: payment_kpis(timed, zone),
+            "refunds": lambda: refund_kpis(timed, zone),
         }[feed]
         together(
             lake.spark,
             lambda: put(entity_events(raw, feed, zone), "silver.order_events", f"-{feed}"),
             lambda: put(kpis(), "gold.commerce_kpis_1m", f"-{feed}"))
 
-    def ticks(rows: DataFrame) -> None:
-        raw = put(bronze_ticks(rows, zone), "bronze.crypto_ticks")
-        bars = put(tick_bars(raw, zone, time="event_time"), "silver.crypto_ticks_1s")
-        put(market_kpis_from_bars(bars, zone), "gold.crypto_market_kpis_1m")
-
-    def behavior(rows: DataFrame) -> None:
+    def ticks(opened: DataFrame) -> None:
+        raw = put(bronze_ticks(in_range(opened, "ticks", start, end), zone), "bronze.crypto_ticks")
+        if whole:
+            bars = put(tick_bars(raw, zone, time="event_time"), "silver.crypto_ticks_1s")
+            put(market_kpis_from_bars(bars, zone), "gold.crypto_market_kpis_1m")
+        else:
+            put(tick_bars(in_range(opened, "ticks", *seconds), zone), "silver.crypto_ticks_1s")
+            put(market_kpis(in_range(opened, "ticks", *minutes), zone), "gold.crypto_market_kpis_1m")
+
+    def behavior(opened: DataFrame) -> None:
+        rows = in_range(opened, "behavior", start, end)
         raw = put(bronze_behavior(rows, zone), "bronze.user_behavior_events")
         put(silver_behavior(raw), "silver.user_behavior")
 
-    def chain(feed: str, df: DataFrame) -> Callable[[], None]:
-        rows = in_range(df, feed, start, end)
+    def chain(feed: str, opened: DataFrame) -> Callable[[], None]:
         if feed in CHANGE_TABLES:
-            return lambda: changes(feed, rows)
-        return {"ticks": lambda: ticks(rows), "behavior": lambda: behavior(rows)}[feed]
+            return lambda: changes(feed, opened)
+        return {"ticks": lambda: ticks(opened), "behavior": lambda: behavior(opened)}[feed]
 
     together(lake.spark, *[chain(feed, df) for feed, df in feeds.items()])

@@ -1,9 +1,13 @@
 """Databases and tables of the three layers, for SQL users.
 
 The files of a table belong to ``<prefix>lake_files.<layer>_<table>``; the name SQL reads,
-``<layer>.<table>``, is a view over the committed batches. ``publish`` moves the views to
-the newest commits, or to those of an earlier time. ``<prefix>lake_files.snapshots`` lists
-the commits of all tables.
+``<layer>.<table>``, is a view that joins them to the highest committed batch of each writer,
+so it shows each commit by itself. ``<prefix>lake_files.snapshots`` lists the commits of all
+tables. ``pin`` gives the views of an earlier time under another prefix.
+
+Sessions that keep listings of tables show what they listed first. ``build_session`` turns
+that off; elsewhere set ``spark.sql.filesourceTableRelationCacheSize`` to 0, or read in a new
+session, or call ``refresh``.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.plans.lake import ALL_LOGS_SCHEMA, BOOKKEEPING, Lake, marks_filter
+from tidemark.plans.lake import ALL_LOGS_SCHEMA, BOOKKEEPING, Lake
 
 
 def _columns(schema: T.StructType) -> str:
@@ -38,20 +42,47 @@ def create_tables(lake: Lake, prefix: str = "") -> None:
         f"CREATE TABLE IF NOT EXISTS {prefix}lake_files.snapshots ({_columns(ALL_LOGS_SCHEMA)}) "
         f"USING parquet PARTITIONED BY (table_name, writer, batch_id) "
         f"LOCATION '{lake.root}/_snapshots'")
-    publish(lake, prefix)
+    views(lake, prefix)
 
 
-def publish(lake: Lake, prefix: str = "", as_of: str | datetime | None = None) -> None:
-    """Point every layer view at the batches committed now, or as of a time."""
-    lake.spark.sql(f"REFRESH TABLE {prefix}lake_files.snapshots")
-    marks = lake.committed_all(as_of)
+def views(lake: Lake, prefix: str = "", name_prefix: str | None = None,
+          as_of: str | datetime | None = None) -> None:
+    """Create the layer views; with ``as_of``, over what was committed by that time."""
+    until = "" if as_of is None else (
+        f"AND committed_at <= timestamp_micros({_micros(lake, as_of)})")
     for table in schemas.TABLE_DDL:
         files = f"{prefix}lake_files.{table.replace('.', '_')}"
-        lake.spark.sql(f"REFRESH TABLE {files}")
-        names = ", ".join(schemas.table_schema(table).names)
+        names = ", ".join(f"f.{name}" for name in schemas.table_schema(table).names)
+        # The log comes first, so it is listed before the files.
         lake.spark.sql(
-            f"CREATE OR REPLACE VIEW {prefix}{table} AS SELECT {names} FROM {files} "
-            f"WHERE {marks_filter(marks.get(table, {}))}")
+            f"CREATE OR REPLACE VIEW {prefix if name_prefix is None else name_prefix}{table} AS "
+            f"SELECT {names} FROM (SELECT writer, max(batch_id) AS mark "
+            f"FROM {prefix}lake_files.snapshots WHERE table_name = '{table}' {until} "
+            f"GROUP BY writer) m JOIN {files} f ON f.writer = m.writer AND f.batch_id <= m.mark")
+
+
+def _micros(lake: Lake, when: str | datetime) -> int:
+    return lake.spark.range(1).select(
+        F.unix_micros(lake.instant(when).cast("timestamp"))).first()[0]
+
+
+def pin(lake: Lake, name_prefix: str, as_of: str | datetime, prefix: str = "") -> None:
+    """Views ``<name_prefix><layer>.<table>`` of the tables as of a time."""
+    for layer in schemas.LAYERS:
+        lake.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name_prefix}{layer}")
+    views(lake, prefix, name_prefix, as_of)
+
+
+def refresh(spark: SparkSession, prefix: str = "") -> None:
+    """Forget this session's listings of the tables' files."""
+    for table in ("snapshots", *[t.replace(".", "_") for t in schemas.TABLE_DDL]):
+        spark.catalog.refreshTable(f"{prefix}lake_files.{table}")
+
+
+def drop(spark: SparkSession, prefix: str) -> None:
+    """Drop the databases of ``prefix``; files stay."""
+    for layer in (*schemas.LAYERS, "lake_files"):
+        spark.sql(f"DROP DATABASE IF EXISTS {prefix}{layer} CASCADE")
 
 
 def layers(spark: SparkSession, prefix: str = "") -> DataFrame:

@@ -7,9 +7,11 @@ feeds append to one table without ever touching the same path.
 Appending is idempotent: a batch that is in the log is not written again, and a batch that
 is not in the log is invisible, so a lost driver or a repeated micro-batch leaves neither
 gaps nor duplicates. A writer's batches commit in order, hence the committed state at any
-time is one number per writer: its highest committed batch. Readers turn those numbers into
-a filter on the partition columns, which prunes folders at planning time; no data is
-joined or shuffled, and what reaches the driver is one row per writer.
+time is one number per writer: its highest committed batch. With up to ``LITERAL_WRITERS``
+writers, readers turn those numbers into a filter on the partition columns, which prunes
+folders at planning time. With more, as many backfills make, the numbers stay a table that
+is joined to the partition columns. Either way the log is read before the data is listed, so
+a batch that commits meanwhile is left out whole.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from datetime import datetime
+from zoneinfo import ZoneInfo
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +30,7 @@ from tidemark import schemas
 from tidemark.functions import zoned_instant
 from tidemark.operators.layout import conform
 
-MAX_WRITERS = 1000
+LITERAL_WRITERS = 1000
 
 # Columns raw-table writes are hashed on. Together they tell records of one entity apart,
 # so an entity, symbol or user with a large share of the rows is still spread over tasks.
@@ -52,6 +55,11 @@ LOG_SCHEMA = T.StructType([*LOG_COLUMNS.fields, *BOOKKEEPING.fields])
 ALL_LOGS_SCHEMA = T.StructType([T.StructField("table_name", T.StringType()), *LOG_SCHEMA.fields])
 
 
+def in_zone(when: datetime, zone: str) -> datetime:
+    """``when`` as an instant; the machine's own zone has no say in naive times."""
+    return when if when.tzinfo is not None else when.replace(tzinfo=ZoneInfo(zone))
+
+
 def marks_filter(marks: dict[str, int]) -> str:
     """Predicate on the partition columns that keeps committed batches only."""
     terms = [f"(writer = '{w}' AND batch_id <= {n})" for w, n in sorted(marks.items())]
@@ -149,41 +157,43 @@ class Lake:
         rows = self._read(self.log_path(table), LOG_SCHEMA)
         return rows.orderBy(F.col("committed_at").desc_nulls_last(), "snapshot_id")
 
-    def _marks(self, log: DataFrame, as_of: str | datetime | None,
-               *keys: str) -> list:
-        """Highest committed batch per writer: as many rows as there are writers."""
+    def instant(self, when: str | datetime) -> Column:
+        """An instant from text with a zone, or from a time; naive times are in ``zone``."""
+        return zoned_instant(when) if isinstance(when, str) else F.lit(in_zone(when, self.zone))
+
+    def marks(self, table: str, as_of: str | datetime | None = None) -> DataFrame:
+        """``(writer, mark)``: highest committed batch per writer, now or as of a time."""
+        log = self._read(self.log_path(table), LOG_SCHEMA)
         if as_of is not None:
-            when = zoned_instant(as_of) if isinstance(as_of, str) else F.lit(as_of)
-            log = log.where(F.col("committed_at") <= when.cast("timestamp"))
-        marks = log.groupBy(*keys, "writer").agg(F.max("batch_id").alias("mark"))
-        rows = marks.limit(MAX_WRITERS + 1).collect()
-        if len(rows) > MAX_WRITERS:
-            raise ValueError(f"more than {MAX_WRITERS} writers")  # never a partial answer
-        return rows
+            log = log.where(F.col("committed_at") <= self.instant(as_of).cast("timestamp"))
+        return log.groupBy("writer").agg(F.max("batch_id").alias("mark"))
 
     def committed(self, table: str, as_of: str | datetime | None = None) -> dict[str, int]:
-        """Highest committed batch per writer of ``table``, now or as of a time."""
-        rows = self._marks(self._read(self.log_path(table), LOG_SCHEMA), as_of)
-        return {row["writer"]: row["mark"] for row in rows}
+        """``marks`` as a dictionary."""
+        return {row["writer"]: row["mark"] for row in self.marks(table, as_of).collect()}
 
-    def committed_all(self, as_of: str | datetime | None = None) -> dict[str, dict[str, int]]:
-        """``committed`` of every table that has commits."""
-        found: dict[str, dict[str, int]] = {}
+    def writers(self, prefix: str) -> DataFrame:
+        """Names of writers of any table that begin with ``prefix``."""
         log = self._read(f"{self.root}/_snapshots", ALL_LOGS_SCHEMA)
-        for row in self._marks(log, as_of, "table_name"):
-            found.setdefault(row["table_name"], {})[row["writer"]] = row["mark"]
-        return found
+        return log.where(F.col("writer").startswith(prefix)).select("writer").distinct()
 
     def read(self, table: str, as_of: str | datetime | None = None) -> DataFrame:
         """Committed rows of ``table``; with ``as_of``, those committed by that time.
 
-        ``as_of`` is an instant or text with a zone, ``2026-03-13 12:00:00 Asia/Seoul``.
+        ``as_of`` is a time (naive: in the lake's zone) or text with a zone,
+        ``2026-03-13 12:00:00 Asia/Seoul``.
         Columns added to the schema later are NULL in older files.
         """
         schema = schemas.table_schema(table)
+        marks = self.marks(table, as_of)  # before the data is listed
+        known = marks.limit(LITERAL_WRITERS + 1).collect()
         rows = self._read(self.data_path(table),
                           T.StructType([*schema.fields, *BOOKKEEPING.fields]))
-        return rows.where(marks_filter(self.committed(table, as_of))).select(*schema.names)
+        if len(known) <= LITERAL_WRITERS:
+            rows = rows.where(marks_filter({row["writer"]: row["mark"] for row in known}))
+        else:
+            rows = marks.join(rows, "writer").where(F.col("batch_id") <= F.col("mark"))
+        return rows.select(*schema.names)
 
     def read_batch(self, table: str, writer: str, batch_id: int) -> DataFrame:
         """Rows of one batch."""

@@ -274,7 +274,7 @@ def _counts(*tables: tuple[str, str]) -> str:
 def _lag(name: str, source: str) -> str:
     return f"""
         SELECT '{name}' AS table_name, count(*) AS measured_rows, avg(lag_ms) AS avg_lag_ms,
-               max(lag_ms) AS max_lag_ms,
+               max(lag_ms) AS max_lag_ms, quantile_disc(lag_ms, 0.95) AS p95_lag_ms,
                CAST(sum(CASE WHEN lag_ms <= 5000 THEN 1 ELSE 0 END) AS BIGINT)
                    AS rows_in_target
         FROM (SELECT CAST(floor(metric_value) AS BIGINT) % 9 * 1000 AS lag_ms FROM {source})"""
@@ -308,6 +308,15 @@ def _closed(source: str, feed: str, time: str) -> str:
 
 
 ORDERS_MESSAGE = "order_id % 11"
+BAR_VALUES = ("min_price", "max_price", "avg_price", "traded_volume", "traded_notional", "vwap")
+CHECKPOINT = """
+        SELECT suite, observed_rows, success FROM results
+        UNION ALL
+        SELECT 'lakehouse_gold_checkpoint', CAST(sum(observed_rows) AS BIGINT),
+               bool_and(success) FROM results"""
+LAST_DAY = (
+    DIRTY_COMMERCE.replace("400 DAY", "1 DAY"), DIRTY_MARKET.replace("400 DAY", "1 DAY"),
+    f"results AS ({CHECK_COMMERCE} UNION ALL {CHECK_MARKET})")
 SQL = {
     "scan_orders_cdc": _scan("o"),
     "scan_payments_cdc": _scan("p"),
@@ -340,7 +349,7 @@ SQL = {
         SELECT 'raw.cdc.commerce.public.orders' AS topic, order_id AS entity_id, __op FROM o
         UNION ALL SELECT 'raw.cdc.commerce.public.payments', payment_id, __op FROM p
         UNION ALL SELECT 'raw.cdc.commerce.public.refunds', refund_id, __op FROM r"""),
-    "table_scan": "SELECT event_id, ts, user_id, event_type, value FROM events",
+    "table_scan": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "query_as_dataset": _commerce("""
         SELECT window_start, metric_name, metric_value FROM kpis
         WHERE metric_value >= 100000"""),
@@ -409,11 +418,7 @@ SQL = {
         _lag("gold.commerce_kpis_1m", "kpis"), _lag("gold.crypto_market_kpis_1m", "market")))),
     "dq_commerce": _commerce(CHECK_COMMERCE, DIRTY_COMMERCE),
     "dq_market": _both(CHECK_MARKET, DIRTY_MARKET),
-    "dq_checkpoint": _both("""
-        SELECT suite, observed_rows, success FROM results
-        UNION ALL
-        SELECT 'lakehouse_gold_checkpoint', CAST(sum(observed_rows) AS BIGINT),
-               bool_and(success) FROM results""", DIRTY_COMMERCE, DIRTY_MARKET,
+    "dq_checkpoint": _both(CHECKPOINT, DIRTY_COMMERCE, DIRTY_MARKET,
         f"results AS ({CHECK_COMMERCE} UNION ALL {CHECK_MARKET})"),
     "dq_rejected": _both(
         _rejected("gold_commerce_kpis_suite", "dirty_commerce", COMMERCE_NAMES, False)
@@ -421,10 +426,46 @@ SQL = {
         + _rejected("gold_crypto_market_kpis_suite", "dirty_market", MARKET_NAMES, True),
         DIRTY_COMMERCE, DIRTY_MARKET),
     "dq_conservation": _with("opr", """
-        SELECT bronze_rows, silver_rows, bronze_rows = silver_rows AS balanced
-        FROM (SELECT (SELECT count(*) FROM o) + (SELECT count(*) FROM p)
+        SELECT load, bronze_rows, silver_rows, bronze_rows = silver_rows AS balanced
+        FROM (SELECT 'whole' AS load, (SELECT count(*) FROM o) + (SELECT count(*) FROM p)
                      + (SELECT count(*) FROM r) AS bronze_rows,
-                     (SELECT count(*) FROM order_events) AS silver_rows)""", EVENT_UNION),
+                     (SELECT count(*) FROM order_events) AS silver_rows
+              UNION ALL
+              SELECT 'broken', (SELECT count(*) FROM o) + (SELECT count(*) FROM p)
+                     + (SELECT count(*) FROM r),
+                     (SELECT count(*) FROM o) + (SELECT count(*) FROM p))""", EVENT_UNION),
+    "dq_last_day": _both(CHECKPOINT, *LAST_DAY),
+    "dq_history": _both(f"""
+        SELECT suite, observed_rows, success
+        FROM ({CHECKPOINT}), (VALUES (1), (2)) AS runs(run_id)""", *LAST_DAY),
+    "catalog_listing": _with("o", """
+        SELECT layer, table_name, (SELECT count(*) FROM o) AS order_records
+        FROM (VALUES ('bronze', 'orders_cdc'), ('bronze', 'payments_cdc'),
+                     ('bronze', 'refunds_cdc'), ('bronze', 'crypto_ticks'),
+                     ('bronze', 'user_behavior_events'), ('silver', 'order_events'),
+                     ('silver', 'crypto_ticks_1s'), ('silver', 'user_behavior'),
+                     ('gold', 'commerce_kpis_1m'), ('gold', 'crypto_market_kpis_1m'),
+                     ('gold', 'behavior_kpis_1m')) AS t(layer, table_name)"""),
+    "latest_behavior_kpis": """
+        SELECT ts AS window_start, ts AS window_end, event_type AS metric_name,
+               value AS metric_value FROM events WHERE false""",
+    "dashboard_rows": _with(
+        "t", f"SELECT * FROM ({BRONZE_TICKS}) ORDER BY event_time DESC, tick_id LIMIT 5000"),
+    "silver_ticks_1s_double": _with("t", f"""
+        SELECT window_start, window_end, symbol, exchange, tick_count, buy_tick_count,
+               sell_tick_count, {", ".join(
+                   f"CAST({c} AS DECIMAL(25,8)) AS {c}" for c in BAR_VALUES)}
+        FROM bars""", BARS),
+    "gold_market_double": _market("""
+        SELECT window_start, window_end, symbol, metric_name,
+               CAST(metric_value AS DECIMAL(25,8)) AS metric_value FROM market"""),
+    "gold_commerce_seoul": _commerce("""
+        SELECT window_start + INTERVAL 9 HOUR AS window_start,
+               window_end + INTERVAL 9 HOUR AS window_end, metric_name, metric_value FROM kpis"""),
+    "backfill_ranges": _both(f"""
+        SELECT {LISTED}, NULL AS symbol FROM kpis
+        UNION ALL SELECT {LISTED}, symbol FROM market"""),
+    "stream_restart": _bronze("o"),
     "stream_bronze_orders": _bronze("o"),
     "stream_bronze_ticks": _with("t", BRONZE_TICKS),
     "stream_silver_order_events": _with("opr", ORDER_EVENTS),

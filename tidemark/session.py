@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Layer tables are declared over folders and found by listing, in any catalog.
     "spark.sql.hive.manageFilesourcePartitions": "false",
+    # SQL views list their files anew for each query, so they show each commit.
+    "spark.sql.filesourceTableRelationCacheSize": "0",
 }
 
 

@@ -65,12 +65,44 @@ def avro_schema_id(value: Column) -> Column:
     return F.conv(F.hex(F.substring(value, 2, 4)), 16, 10).cast("int")
 
 
+def framed_body(value: Column, known: list[int] | None = None) -> Column:
+    """Body of a framed message. Another marker byte, or an unknown id, fails the job."""
+    body = F.when(F.hex(F.substring(value, 1, 1)) != "00",
+                  F.raise_error(F.lit("message has no registry frame")))
+    if known is not None:
+        unknown = F.concat(F.lit("no writer schema with id "),
+                           avro_schema_id(value).cast("string"))
+        body = body.when(~avro_schema_id(value).isin(*known), F.raise_error(unknown))
+    return body.otherwise(avro_body(value))
+
+
+def by_writer(value: Column, writers: dict[int, str], decode) -> Column:
+    """``decode(body, writer schema)`` with the schema that the frame's id names."""
+    body = framed_body(value, list(writers))
+    return F.coalesce(*[
+        F.when(avro_schema_id(value) == number, decode(body, schema))
+        for number, schema in writers.items()
+    ])
+
+
 def decode_framed_avro(df: DataFrame, feed: str, value: str = "value",
-                       keep: tuple[str, ...] = ()) -> DataFrame:
-    """Decode registry-framed Avro. Needs the ``spark-avro`` package on the cluster."""
+                       keep: tuple[str, ...] = (),
+                       writers: dict[int, str] | None = None) -> DataFrame:
+    """Decode registry-framed Avro. Needs the ``spark-avro`` package on the cluster.
+
+    With ``writers``, each message is read by the schema it was written with and resolved
+    to today's; without, all of them must have been written with today's.
+    """
     from pyspark.sql.avro.functions import from_avro
 
-    record = from_avro(avro_body(F.col(value)), avro_reader_schema(feed), {"mode": "FAILFAST"})
+    reader = avro_reader_schema(feed)
+
+    def decode(body: Column, schema: str) -> Column:
+        return from_avro(body, schema, {"mode": "FAILFAST", "avroSchema": reader})
+
+    message = F.col(value)
+    record = (decode(framed_body(message), reader) if writers is None
+              else by_writer(message, writers, decode))
     return df.select(*keep, F.inline(F.array(record)))
 
 

@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.sources.decode import computed_columns, decode_framed_avro, decode_json
+from tidemark.sources.decode import (
+    computed_columns,
+    decode_framed_avro,
+    decode_json,
+    require_columns,
+)
 
+SLACK = timedelta(hours=1)
 AVRO_FEEDS = ("behavior", "ticks")
 
 
 def kafka_options(feed: str, servers: str, *, streaming: bool = True,
                   max_offsets: int | None = None, min_partitions: int | None = None,
-                  **extra: str) -> dict[str, str]:
-    """Options of the broker source: read from the earliest offset, and fail on lost data."""
+                  start: datetime | None = None, end: datetime | None = None,
+                  slack: timedelta = SLACK, **extra: str) -> dict[str, str]:
+    """Options of the broker source: read from the earliest offset, and fail on lost data.
+
+    ``start`` and ``end`` bound a batch by record time, widened by ``slack``: event times
+    may lie that far from the time the broker got the record.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": schemas.TOPICS[feed],
@@ -23,6 +36,13 @@ def kafka_options(feed: str, servers: str, *, streaming: bool = True,
     }
     if not streaming:
         options["endingOffsets"] = "latest"
+        if start is not None:
+            del options["startingOffsets"]
+            options["startingTimestamp"] = f"{round((start - slack).timestamp() * 1000)}"
+            options["startingOffsetsByTimestampStrategy"] = "latest"
+        if end is not None:
+            del options["endingOffsets"]
+            options["endingTimestamp"] = f"{round((end + slack).timestamp() * 1000)}"
     elif max_offsets is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
     if min_partitions is not None:
@@ -48,19 +68,21 @@ def file_feed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "
     return reader.load(path)
 
 
-def open_feed(raw: DataFrame, feed: str, *, decoded: bool = False) -> DataFrame:
-    """Typed feed rows with computed columns.
+def open_feed(raw: DataFrame, feed: str, *, decoded: bool = False,
+              writers: dict[int, str] | None = None) -> DataFrame:
+    """Typed feed rows with computed columns; a NULL where the feed declares none fails.
 
     ``raw`` holds broker messages (``value``, ``timestamp``) or, with ``decoded``, rows that
-    already have the feed's columns.
+    already have the feed's columns. ``writers`` maps registry ids to writer schemas.
     """
     if decoded:
-        return computed_columns(raw, feed)
-    if feed in AVRO_FEEDS:
-        if feed == "behavior":
-            # The payload's own event_time gives way to the record timestamp.
-            rows = decode_framed_avro(raw, feed, keep=("timestamp",)).drop("event_time")
-        else:
-            rows = decode_framed_avro(raw, feed)
-        return computed_columns(rows, feed)
-    return computed_columns(decode_json(raw, schemas.feed_schema(feed)), feed)
+        rows = raw
+    elif feed not in AVRO_FEEDS:
+        rows = decode_json(raw, schemas.feed_schema(feed))
+    elif feed == "behavior":
+        # The payload's own event_time gives way to the record timestamp.
+        rows = decode_framed_avro(raw, feed, keep=("timestamp",), writers=writers)
+        rows = rows.drop("event_time")
+    else:
+        rows = decode_framed_avro(raw, feed, writers=writers)
+    return computed_columns(require_columns(rows, feed), feed)

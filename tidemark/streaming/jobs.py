@@ -11,12 +11,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.bronze import CHANGE_TABLES, bronze_behavior, bronze_changes, bronze_ticks
 from tidemark.operators.gold import market_kpis, order_kpis, payment_kpis, refund_kpis
 from tidemark.operators.silver import entity_events, silver_behavior, tick_bars
+from tidemark.plans.backfill import with_event_time
 from tidemark.plans.lake import Lake
 from tidemark.streaming.watermarks import watermarked
 
@@ -35,7 +38,10 @@ class Sink:
 
 @dataclass(frozen=True)
 class Job:
-    """One streaming query. ``windowed`` jobs aggregate on the stream and have one sink."""
+    """One streaming query. ``windowed`` jobs aggregate on the stream and have one sink.
+
+    The first sink of other jobs takes the feed's rows; later ones take the rows it stored.
+    """
 
     feed: str
     name: str
@@ -46,7 +52,8 @@ class Job:
 def _changes(feed: str) -> Job:
     return Job(feed, f"{feed}_rows", False, (
         Sink(CHANGE_TABLES[feed][0], lambda df, zone: bronze_changes(df, feed, zone)),
-        Sink("silver.order_events", lambda df, zone: entity_events(df, feed, zone)),
+        Sink("silver.order_events",
+             lambda raw, zone: entity_events(with_event_time(raw, feed), feed, zone)),
     ))
 
 
@@ -66,27 +73,24 @@ JOBS = (
     _windowed("ticks", "ticks_kpis_1m", "gold.crypto_market_kpis_1m", market_kpis),
     Job("behavior", "behavior_rows", False, (
         Sink("bronze.user_behavior_events", bronze_behavior),
-        Sink("silver.user_behavior",
-             lambda df, zone: silver_behavior(bronze_behavior(df, zone))),
+        Sink("silver.user_behavior", lambda raw, zone: silver_behavior(raw)),
     )),
 )
 
 
-def _write_rows(job: Job, lake: Lake) -> Callable[[DataFrame, int], None]:
+def _write_rows(job: Job, lake: Lake, writer: str) -> Callable[[DataFrame, int], None]:
+    """Messages are decoded once, into the first table; nothing is kept in memory."""
+    first, *later = job.sinks
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        shared = len(job.sinks) > 1
-        if shared:
-            batch.persist()  # read and decode the messages once for all sinks
-        try:
-            for sink in job.sinks:
-                lake.append(sink.transform(batch, lake.zone), sink.table, job.name, batch_id)
-        finally:
-            if shared:
-                batch.unpersist()
+        lake.append(first.transform(batch, lake.zone), first.table, writer, batch_id)
+        for sink in later:
+            raw = lake.read_batch(first.table, writer, batch_id)
+            lake.append(sink.transform(raw, lake.zone), sink.table, writer, batch_id)
     return write
 
 
-def _write_windows(job: Job, lake: Lake) -> Callable[[DataFrame, int], None]:
+def _write_windows(job: Job, lake: Lake, writer: str) -> Callable[[DataFrame, int], None]:
     """Writer of closed windows, which are few rows spread over every state partition.
 
     Stateful queries run without adaptive execution. The state of this batch has its plan
@@ -100,24 +104,51 @@ def _write_windows(job: Job, lake: Lake) -> Callable[[DataFrame, int], None]:
         before = conf.get(ADAPTIVE)
         conf.set(ADAPTIVE, "true")
         try:
-            lake.append(batch.hint("rebalance"), sink.table, job.name, batch_id)
+            lake.append(batch.hint("rebalance"), sink.table, writer, batch_id)
         finally:
             conf.set(ADAPTIVE, before)
     return write
 
 
+def writer_of(job: Job, generation: str) -> str:
+    return f"{job.name}-{generation}" if generation else job.name
+
+
+def _claim(job: Job, lake: Lake, generation: str, checkpoint: str) -> None:
+    """A writer's batch ids go on from its checkpoint. Without one they would begin at 0
+    again, and new rows would pass for batches that are already there."""
+    try:
+        if not lake.spark.read.text(f"{checkpoint}/metadata").isEmpty():
+            return
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    writer = writer_of(job, generation)
+    if not lake.writers(writer).where(F.col("writer") == writer).isEmpty():
+        raise ValueError(
+            f"{writer} has committed to {lake.root}, but its checkpoint {checkpoint} is gone; "
+            "start a new generation, which reads its feed from the beginning")
+
+
 def start(job: Job, source: DataFrame, lake: Lake, trigger: dict | None = None,
-          delay: str | None = None) -> StreamingQuery:
-    """Start one job on ``source``, the opened stream of its feed."""
+          delay: str | None = None, generation: str = "") -> StreamingQuery:
+    """Start one job on ``source``, the opened stream of its feed.
+
+    A ``generation`` has its own checkpoint and its own batches: naming a new one is how to
+    start over, or to replay input into the same lake.
+    """
+    writer = writer_of(job, generation)
+    checkpoint = lake.checkpoint_path(writer)
+    _claim(job, lake, generation, checkpoint)
     if job.windowed:
         rows = job.sinks[0].transform(watermarked(source, job.feed, delay), lake.zone)
-        write = _write_windows(job, lake)
+        write = _write_windows(job, lake, writer)
     else:
-        rows, write = source, _write_rows(job, lake)
+        rows, write = source, _write_rows(job, lake, writer)
     return (
-        rows.writeStream.queryName(job.name)
+        rows.writeStream.queryName(writer)
         .outputMode("append")
-        .option("checkpointLocation", lake.checkpoint_path(job.name))
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or LIVE_TRIGGER))
         .foreachBatch(write)
         .start()
@@ -125,20 +156,20 @@ def start(job: Job, source: DataFrame, lake: Lake, trigger: dict | None = None,
 
 
 def start_all(sources: dict[str, Callable[[], DataFrame]], lake: Lake,
-              trigger: dict | None = None, only: tuple[str, ...] | None = None
-              ) -> list[StreamingQuery]:
+              trigger: dict | None = None, only: tuple[str, ...] | None = None,
+              generation: str = "") -> list[StreamingQuery]:
     """Start every job whose feed has a source. ``sources`` opens a feed's stream anew."""
     return [
-        start(job, sources[job.feed](), lake, trigger)
+        start(job, sources[job.feed](), lake, trigger, generation=generation)
         for job in JOBS
         if job.feed in sources and (only is None or job.name in only)
     ]
 
 
 def run_available(sources: dict[str, Callable[[], DataFrame]], lake: Lake,
-                  only: tuple[str, ...] | None = None) -> None:
+                  only: tuple[str, ...] | None = None, generation: str = "") -> None:
     """Process all input present, then stop. A failed query raises here."""
-    queries = start_all(sources, lake, DRAIN_TRIGGER, only)
+    queries = start_all(sources, lake, DRAIN_TRIGGER, only, generation)
     try:
         for query in queries:
             query.awaitTermination()
