@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime, timedelta, timezone
 from decimal import Decimal
 
 import pytest
@@ -25,7 +26,13 @@ from tidemark.sources import (
     union_versions,
     unwrap,
 )
-from tidemark.sources.decode import avro_body, avro_schema_id, decode_framed_avro, require_columns
+from tidemark.sources.decode import (
+    avro_body,
+    avro_schema_id,
+    by_writer,
+    decode_framed_avro,
+    require_columns,
+)
 
 SMALL = "a BIGINT, b DECIMAL(12,2)"
 
@@ -183,6 +190,41 @@ def test_avro_frame_and_schema(spark):
                                      "default": None}
 
 
+def test_messages_are_decoded_by_the_schema_that_wrote_them(spark):
+    """The decoder itself needs a package; what it is given does not."""
+    def frame(number, body):
+        return (bytearray(b"\x00" + number.to_bytes(4, "big") + body),)
+
+    def shown(body, schema):
+        return F.concat(F.lit(f"{schema}:"), body.cast("string"))
+
+    frames = spark.createDataFrame([frame(1, b"old"), frame(300, b"new")], "value binary")
+    writers = {1: "v1", 300: "v2"}
+    got = frames.select(by_writer(F.col("value"), writers, shown).alias("x")).collect()
+    assert [r.x for r in got] == ["v1:old", "v2:new"]
+    for bad, message in ((frame(2, b"x"), "no writer schema with id 2"),
+                         ((bytearray(b"\x01\x00\x00\x00\x01x"),), "no registry frame")):
+        row = spark.createDataFrame([bad], "value binary")
+        with pytest.raises(Exception, match=message):
+            row.select(by_writer(F.col("value"), writers, shown).alias("x")).collect()
+
+
+def test_bounded_reads_ask_the_broker_for_a_range():
+    start = datetime(2026, 3, 13, 5, tzinfo=timezone.utc)
+    options = kafka_options("orders", "b:9092", streaming=False, start=start,
+                            end=start + timedelta(hours=2), slack=timedelta(minutes=30))
+    assert "startingOffsets" not in options and "endingOffsets" not in options
+    assert int(options["startingTimestamp"]) == (int(start.timestamp()) - 1800) * 1000
+    assert int(options["endingTimestamp"]) == (int(start.timestamp()) + 9000) * 1000
+
+
+def test_feeds_fail_on_a_missing_required_value(spark):
+    rows = spark.createDataFrame([tick(1, 2, 3, 4)[:3] + (None,) + tick(1, 2, 3, 4)[4:]],
+                                 schemas.feed_schema("ticks"))
+    with pytest.raises(Exception, match="ticks.price must not be NULL"):
+        open_feed(rows, "ticks", decoded=True).collect()
+
+
 def test_avro_needs_its_package(spark):
     framed = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x00\x01"),)], "value binary")
     with pytest.raises(AnalysisException, match="(?i)avro"):

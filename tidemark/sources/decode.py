@@ -65,24 +65,28 @@ def avro_schema_id(value: Column) -> Column:
     return F.conv(F.hex(F.substring(value, 2, 4)), 16, 10).cast("int")
 
 
-def framed_body(value: Column, known: list[int] | None = None) -> Column:
-    """Body of a framed message. Another marker byte, or an unknown id, fails the job."""
-    body = F.when(F.hex(F.substring(value, 1, 1)) != "00",
+def _unframed(value: Column) -> Column:
+    """Start of a decoder's branches: a message with another marker byte fails the job."""
+    return F.when(F.hex(F.substring(value, 1, 1)) != "00",
                   F.raise_error(F.lit("message has no registry frame")))
-    if known is not None:
-        unknown = F.concat(F.lit("no writer schema with id "),
-                           avro_schema_id(value).cast("string"))
-        body = body.when(~avro_schema_id(value).isin(*known), F.raise_error(unknown))
-    return body.otherwise(avro_body(value))
+
+
+def framed_body(value: Column) -> Column:
+    """Body of a framed message."""
+    return _unframed(value).otherwise(avro_body(value))
 
 
 def by_writer(value: Column, writers: dict[int, str], decode) -> Column:
-    """``decode(body, writer schema)`` with the schema that the frame's id names."""
-    body = framed_body(value, list(writers))
-    return F.coalesce(*[
-        F.when(avro_schema_id(value) == number, decode(body, schema))
-        for number, schema in writers.items()
-    ])
+    """``decode(body, writer schema)`` with the schema that the frame's id names.
+
+    A message with an unknown id fails the job.
+    """
+    number, body = avro_schema_id(value), avro_body(value)
+    branches = _unframed(value)
+    for known, schema in writers.items():
+        branches = branches.when(number == known, decode(body, schema))
+    unknown = F.concat(F.lit("no writer schema with id "), number.cast("string"))
+    return branches.when(value.isNotNull(), F.raise_error(unknown))
 
 
 def decode_framed_avro(df: DataFrame, feed: str, value: str = "value",
