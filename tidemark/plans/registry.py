@@ -441,30 +441,57 @@ def query_schema_evolution(d: DriverTables) -> DataFrame:
 
 # -- serving -----------------------------------------------------------------
 
+# The layers of one run's tables, written once per data folder and session; the serving
+# queries read stored tables, as dashboards do.
+_LOADED: dict[tuple, Lake] = {}
+
+
+def _loaded(d: DriverTables) -> Lake:
+    key = (d.spark.sparkContext.applicationId, d.sf_dir)
+    if key not in _LOADED or not _LOADED[key].committed("bronze.orders_cdc"):
+        lake = _new_lake(d)
+        feeds, ticks = dict(zip(CHANGE_FEEDS, _feeds(d))), d.feed("ticks")
+        tables = {
+            **{CHANGE_TABLES[f][0]: bronze_changes(df, f, ZONE) for f, df in feeds.items()},
+            "bronze.crypto_ticks": bronze_ticks(ticks, ZONE),
+            "silver.order_events": order_events(*feeds.values(), ZONE),
+            "silver.crypto_ticks_1s": tick_bars(ticks, ZONE),
+            "gold.commerce_kpis_1m": commerce_kpis(*feeds.values(), ZONE),
+            "gold.crypto_market_kpis_1m": market_kpis(ticks, ZONE),
+        }
+        together(d.spark, *[
+            lambda t=t, df=df: lake.append(df, t, "load", 0) for t, df in tables.items()])
+        _LOADED[key] = lake
+    return _LOADED[key]
+
+
+def _latest(d: DriverTables, table: str) -> DataFrame:
+    return _stored(latest(_loaded(d).read(table), table))
+
+
 @_query("latest_ticks")
 def query_latest_ticks(d: DriverTables) -> DataFrame:
-    return _stored(latest(bronze_ticks(d.feed("ticks"), ZONE), "bronze.crypto_ticks"))
+    return _latest(d, "bronze.crypto_ticks")
 
 
 @_query("latest_bars")
 def query_latest_bars(d: DriverTables) -> DataFrame:
-    return _stored(latest(tick_bars(d.feed("ticks"), ZONE), "silver.crypto_ticks_1s"))
+    return _latest(d, "silver.crypto_ticks_1s")
 
 
 @_query("latest_market_kpis")
 def query_latest_market_kpis(d: DriverTables) -> DataFrame:
-    return _stored(latest(market_kpis(d.feed("ticks"), ZONE), "gold.crypto_market_kpis_1m"))
+    return _latest(d, "gold.crypto_market_kpis_1m")
 
 
 @_query("latest_orders")
 def query_latest_orders(d: DriverTables) -> DataFrame:
-    rows = bronze_changes(d.feed("orders"), "orders", ZONE)
-    return _stored(latest(rows, "bronze.orders_cdc"))
+    return _latest(d, "bronze.orders_cdc")
 
 
 @_query("latest_commerce_kpis")
 def query_latest_commerce_kpis(d: DriverTables) -> DataFrame:
-    return _stored(latest(commerce_kpis(*_feeds(d), ZONE), "gold.commerce_kpis_1m"))
+    return _latest(d, "gold.commerce_kpis_1m")
 
 
 @_query("latest_behavior_kpis")
@@ -488,18 +515,11 @@ def query_latest_entities(d: DriverTables) -> DataFrame:
 
 @_query("table_counts")
 def query_table_counts(d: DriverTables) -> DataFrame:
-    feeds = dict(zip(CHANGE_FEEDS, _feeds(d)))
-    ticks = d.feed("ticks")
-    return table_counts({
-        "bronze.orders_cdc": bronze_changes(feeds["orders"], "orders", ZONE),
-        "bronze.payments_cdc": bronze_changes(feeds["payments"], "payments", ZONE),
-        "bronze.refunds_cdc": bronze_changes(feeds["refunds"], "refunds", ZONE),
-        "bronze.crypto_ticks": bronze_ticks(ticks, ZONE),
-        "silver.order_events": order_events(*feeds.values(), ZONE),
-        "silver.crypto_ticks_1s": tick_bars(ticks, ZONE),
-        "gold.commerce_kpis_1m": commerce_kpis(*feeds.values(), ZONE),
-        "gold.crypto_market_kpis_1m": market_kpis(ticks, ZONE),
-    })
+    lake = _loaded(d)
+    return table_counts({table: lake.read(table) for table in (
+        "bronze.orders_cdc", "bronze.payments_cdc", "bronze.refunds_cdc", "bronze.crypto_ticks",
+        "silver.order_events", "silver.crypto_ticks_1s", "gold.commerce_kpis_1m",
+        "gold.crypto_market_kpis_1m")})
 
 
 @_query("freshness")
