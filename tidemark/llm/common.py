@@ -17,13 +17,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, **options: str) -> DataFrame:
+TASK_ROWS = 100_000
+LEAST_TASKS = 8
+
+
+def stored(df: DataFrame, rows: int | None = None, **options: str) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
     It cuts the lineage there: a lost executor re-runs nothing from before, and results of
-    sampled or task-numbered steps can't differ between two reads.
+    sampled or task-numbered steps can't differ between two reads. ``rows``, a bound on the
+    number of narrow rows, keeps the files from being many and tiny.
     """
     path = scratch_dir(df.sparkSession)
+    if rows is not None:
+        df = df.coalesce(max(LEAST_TASKS, -(-rows // TASK_ROWS)))
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

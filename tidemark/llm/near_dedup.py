@@ -42,7 +42,7 @@ from tidemark.llm.components import components
 
 ROWS = 4          # coordinates per band
 MISS = 1e-7
-BLOCK = 128       # classes per side that a task compares at once
+BLOCK = 512       # classes per side that a task compares at once
 BROADCAST_ROWS = 1_000_000  # ids of at most 24 bytes: 24 MB
 REMEMBERED = 400_000
 
@@ -258,17 +258,17 @@ def compared(tasks: DataFrame, payload: DataFrame, column: str, test) -> DataFra
         compare, "a binary, b binary")
 
 
-def as_tasks(rows: DataFrame) -> DataFrame:
+def as_tasks(rows: DataFrame, count: int) -> DataFrame:
     """Tasks that together compare all of a group's rows of different ``root``.
 
     A group of at most ``BLOCK`` rows is one task. In a larger one, the rows outside its
     most frequent root meet all rows, block by block: rows of that root alone never need to.
     """
-    counts = stored(rows.groupBy("group", "root").agg(F.count("*").alias("rows")))
+    counts = stored(rows.groupBy("group", "root").agg(F.count("*").alias("rows")), count)
     groups = counts.groupBy("group").agg(
         F.sum("rows").alias("total"), F.max("rows").alias("most"),
         F.max_by("root", "rows").alias("main")).where("total > most")
-    sized = rows.join(stored(groups), "group").select(
+    sized = rows.join(stored(groups, count), "group").select(
         "*", F.ceil((F.col("total") - F.col("most")) / BLOCK).cast("int").alias("blocks"),
         F.ceil(F.col("total") / BLOCK).cast("int").alias("slices"))
     place = F.pmod(F.xxhash64("set_id"), F.lit(1 << 30))
@@ -291,9 +291,10 @@ def as_tasks(rows: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
-def star_tasks(stars: DataFrame) -> DataFrame:
+def star_tasks(stars: DataFrame, count: int) -> DataFrame:
     """Tasks that compare each ``b`` with its hub ``a``."""
-    hubs = stored(stars.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("slices")))
+    slices = F.ceil(F.count("*") / BLOCK).cast("int")
+    hubs = stored(stars.groupBy("a").agg(slices.alias("slices")), count)
     place = F.pmod(F.xxhash64("b"), F.lit(1 << 30))
     zero = F.lit(0).alias("block")
     left = hubs.select(F.col("a").alias("group"), zero,
@@ -307,33 +308,41 @@ def star_tasks(stars: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """Links ``(a, b)`` of classes that connect what belongs together."""
-    threshold = percent / 100
+    threshold, count = percent / 100, classes.count()
     keys = classes.select("set_id", F.explode("bands").alias("group"))
     buckets = stored(
         keys.groupBy("group").agg(F.count("*").alias("size"), F.min("set_id").alias("hub"))
-        .where("size > 1"))
-    members = stored(keys.join(buckets, "group"))
+        .where("size > 1"), count * bands_for(threshold))
+    members = stored(keys.join(buckets, "group"), count * bands_for(threshold))
+    many = members.count()
 
     def exact(tasks: DataFrame) -> DataFrame:
-        tasks = stored(tasks)
-        needed = classes.join(tasks.select("set_id").distinct(), "set_id", "left_semi")
-        sets = stored(sets_of(docs, stored(needed.select("set_id", "least")), size))
-        return stored(compared(tasks, sets, "hashes", lambda a, b: similar(a, b, percent)))
+        tasks = stored(tasks, many)
+        if tasks.isEmpty():
+            return tasks.select(F.col("set_id").alias("a"), F.col("set_id").alias("b"))
+        needed = classes.select("set_id", "least").join(
+            tasks.select("set_id").distinct(), "set_id", "left_semi")
+        sets = stored(sets_of(docs, stored(needed, count), size))
+        return stored(
+            compared(tasks, sets, "hashes", lambda a, b: similar(a, b, percent)), many)
 
     stars = stored(members.where((F.col("size") > BLOCK) & (F.col("set_id") != F.col("hub")))
-                   .select(F.col("hub").alias("a"), F.col("set_id").alias("b")).distinct())
-    found = exact(star_tasks(stars))
-    roots = stored(components(found))
+                   .select(F.col("hub").alias("a"), F.col("set_id").alias("b")).distinct(), many)
+    found = exact(star_tasks(stars, count))
+    roots = stored(components(found, count), count)
 
     def rooted(rows: DataFrame) -> DataFrame:
         return rows.join(roots, F.col("set_id") == F.col("node"), "left").select(
             "group", "set_id", F.coalesce("root", "set_id").alias("root"))
 
     marks = classes.select("set_id", "coordinates")
-    maybe = stored(compared(as_tasks(stored(rooted(members))), marks, "coordinates",
-                            lambda a, b: agreeing(a, b, threshold)))
-    clusters = components(maybe).select(F.col("node").alias("set_id"), F.col("root").alias("group"))
-    return found.unionAll(exact(as_tasks(stored(rooted(stored(clusters))))))
+    tasks = as_tasks(stored(rooted(members), many), many)
+    maybe = stored(compared(tasks, marks, "coordinates",
+                            lambda a, b: agreeing(a, b, threshold)), many)
+    clusters = components(maybe, count).select(
+        F.col("node").alias("set_id"), F.col("root").alias("group"))
+    clusters = stored(rooted(stored(clusters, count)), count)
+    return found.unionAll(exact(as_tasks(clusters, count)))
 
 
 def labelled(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
@@ -344,13 +353,14 @@ def labelled(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
         drawn.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(
             F.min("doc_id").alias("least"), F.first("bands").alias("bands"),
             F.first("coordinates").alias("coordinates")))
-    roots = stored(components(stored(links(docs, classes, size, percent))))
+    count = classes.count()
+    roots = stored(components(links(docs, classes, size, percent), count), count)
     grouped = stored(
         classes.select("set_id", "least").join(roots, F.col("set_id") == F.col("node"), "left")
-        .select("set_id", "least", F.coalesce("root", "set_id").alias("root")))
-    names = stored(grouped.groupBy("root").agg(F.min("least").alias("component_id")))
+        .select("set_id", "least", F.coalesce("root", "set_id").alias("root")), count)
+    names = stored(grouped.groupBy("root").agg(F.min("least").alias("component_id")), count)
     by_set = stored(grouped.join(names, "root").select(
-        F.col("set_id").alias("of_set"), "root", "component_id"))
+        F.col("set_id").alias("of_set"), "root", "component_id"), count)
     return drawn.join(by_set, F.col("set_id") == F.col("of_set"), "left").select(
         "doc_id", "n_shingles", "set_id", "root",
         F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
