@@ -309,6 +309,9 @@ def _closed(source: str, feed: str, time: str) -> str:
 
 ORDERS_MESSAGE = "order_id % 11"
 BAR_VALUES = ("min_price", "max_price", "avg_price", "traded_volume", "traded_notional", "vwap")
+LATE = """CAST(split_part(tick_id, '-', 1) AS BIGINT) % 10 = 0
+        AND event_ts < TIMESTAMP '1997-01-01'"""
+EARLY_PAYMENTS = "(SELECT * FROM p WHERE created < TIMESTAMP '1997-01-01')"
 CHECKPOINT = """
         SELECT suite, observed_rows, success FROM results
         UNION ALL
@@ -466,6 +469,15 @@ SQL = {
         SELECT {LISTED}, NULL AS symbol FROM kpis
         UNION ALL SELECT {LISTED}, symbol FROM market"""),
     "stream_restart": _bronze("o"),
+    "stream_late_rows": _with(
+        "t", f"SELECT * {_closed('market', 't', 'event_ts')}",
+        MARKET_WIDE.replace("FROM t)", f"FROM t WHERE NOT ({LATE}))"), MARKET),
+    "stream_idle_feed": _with("opr", " UNION ALL ".join((
+        f"SELECT {LISTED} {_closed('kpis', 'o', 'event_time')} "
+        "AND metric_name IN ('orders_created', 'gross_order_value')",
+        f"SELECT {LISTED} {_closed('kpis', EARLY_PAYMENTS, 'event_time')} "
+        "AND metric_name = 'payments_succeeded'")),
+        ORDER_WINDOWS, COMMERCE.replace("FROM p ", f"FROM {EARLY_PAYMENTS} ")),
     "stream_bronze_orders": _bronze("o"),
     "stream_bronze_ticks": _with("t", BRONZE_TICKS),
     "stream_silver_order_events": _with("opr", ORDER_EVENTS),

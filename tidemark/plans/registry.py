@@ -692,6 +692,44 @@ def query_stream_restart(d: DriverTables) -> DataFrame:
     return _stored(lake.read("bronze.orders_cdc"))
 
 
+def _drained(d: DriverTables, jobs: tuple[str, ...], *parts: dict[str, DataFrame]) -> Lake:
+    """Feed rows that arrive part after part; all that has come is processed each time."""
+    lake, root = _new_lake(d), scratch_dir(d.spark)
+
+    def source(feed: str, schema) -> Callable[[], DataFrame]:
+        files = d.spark.readStream.schema(schema)
+        return lambda: computed_columns(files.parquet(f"{root}/{feed}"), feed)
+
+    sources = {feed: source(feed, rows.schema) for feed, rows in parts[0].items()}
+    for part in parts:
+        for feed, rows in part.items():
+            rows.write.mode("append").parquet(f"{root}/{feed}")
+        run_available(sources, lake, jobs)
+    return lake
+
+
+@_query("stream_late_rows")
+def query_stream_late_rows(d: DriverTables) -> DataFrame:
+    """Every tenth order's early ticks arrive after later ticks have closed their windows."""
+    shipped, cut = d.table("lineitem"), F.lit(COMMITS[0][0])
+    early = F.col("l_shipdate") < cut
+    late = early & (F.col("l_orderkey") % 10 == 0)
+    lake = _drained(d, ("ticks_kpis_1m",), *[
+        {"ticks": feed_rows(shipped.where(part), "ticks")} for part in (early & ~late, ~early, late)])
+    return _stored(lake.read("gold.crypto_market_kpis_1m"))
+
+
+@_query("stream_idle_feed")
+def query_stream_idle_feed(d: DriverTables) -> DataFrame:
+    """Payments fall silent; orders go on, and their windows with them."""
+    orders, early = d.table("orders"), F.col("o_orderdate") < F.lit(COMMITS[0][0])
+    lake = _drained(
+        d, ("orders_kpis", "payments_kpis"),
+        {f: feed_rows(orders.where(early), f) for f in CHANGE_FEEDS[:2]},
+        {"orders": feed_rows(orders.where(~early), "orders")})
+    return _stored(lake.read("gold.commerce_kpis_1m"))
+
+
 @_query("backfill_ranges")
 def query_backfill_ranges(d: DriverTables) -> DataFrame:
     """Three adjacent ranges, cut within a minute, give the windows of one long range."""
