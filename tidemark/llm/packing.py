@@ -74,7 +74,7 @@ def packed(docs: DataFrame, tokenizer: str, window: int = WINDOW,
     parts = stored(encoded(docs, tokenizer, end_id), compression="zstd")
     totals = parts.groupBy("part").agg(F.sum("doc_tokens").alias("total"))
     before = F.sum("total").over(Window.orderBy("part")) - F.col("total")
-    starts = totals.select("part", before.alias("before"))  # one row per task of the first pass
+    starts = stored(totals.select("part", before.alias("before")))  # a row per first-pass task
 
     size = F.lit(window)
     begin = F.col("before") + F.col("place")
