@@ -249,10 +249,14 @@ class Model:
 
 def strangers(docs: DataFrame) -> list[str]:
     """Windows of a bounded sample of documents, without anything like a notice."""
-    text = F.substring("text", 1, SAMPLE_CHARS).alias("text")
-    rows = (docs.where(F.col("text").isNotNull())
-            .select(F.xxhash64("doc_id", "text").alias("order"), text)
-            .orderBy("order").limit(SAMPLE_DOCS).collect())
+    place = F.xxhash64("doc_id", "text")
+    rows = docs.where(F.col("text").isNotNull())
+    # Hashes first: the top of each task must not carry its texts to the driver.
+    first = rows.select(place.alias("place")).orderBy("place").limit(SAMPLE_DOCS)
+    last = first.agg(F.max("place")).first()[0]
+    sample = rows.where(place <= last) if last is not None else rows
+    rows = sample.select(place.alias("place"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    rows = sorted(rows.limit(SAMPLE_DOCS).collect())
     templates = [pairs(tokens(t)) for name in FAMILIES for t in notices(name)]
     found = []
     for row in rows:
