@@ -183,7 +183,7 @@ def materialised(docs: DataFrame, tokenizer: str, folder: str, key: int = 1) ->
         .withColumn("slot", slot_of("sequence"))
         .select("slot", "sequence", F.floor(F.col("slot") / SHARD).alias("shard"), "doc_ids",
                 "n_tokens", F.crc32("ids").alias("crc"), "ids")
-        .repartitionByRange(shards, "shard").sortWithinPartitions("slot")
+        .repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("slot")
     )
     written = stored(placed.mapInArrow(
         write, f"slot bigint, sequence bigint, shard bigint, doc_ids array<{kind}>, "
