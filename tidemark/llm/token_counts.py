@@ -22,7 +22,7 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +42,7 @@ class Merges:
         self.ids, self.ranks, _ = vocabulary(path)
         self.raw = {number: token for token, number in self.ids.items()}
         self.longest = max(map(len, self.ids))
+        self.single = [self.ids[bytes([b])] for b in range(256)]
         self.fits: dict[int, bool] = {}
 
     def merged(self, piece: bytes) -> list[bytes]:
@@ -70,27 +71,57 @@ class Merges:
         Only one last token fits, so the order of trials is free: first the last token made
         longer by a byte, then that byte alone, then the rest from the longest on.
         """
-        ids, fits, longest = self.ids, self.fits, self.longest
+        known, fits, single = self.ids.get, self.fits.get, self.single
         counts, last, begin = [0], [0], 0
         for end in range(1, len(piece) + 1):
-            for start in chain((begin, end - 1), range(max(0, end - longest), end - 1)):
-                token = ids.get(piece[start:end])
-                if token is None:
+            token = known(piece[begin:end])
+            if token is not None:
+                fit = True
+                if begin:
+                    key = last[begin] << 20 | token
+                    fit = fits(key)
+                    if fit is None:
+                        fit = self.fit(key)
+                if fit:
+                    counts.append(counts[begin] + 1)
+                    last.append(token)
                     continue
-                if start:
-                    key = last[start] << 20 | token
-                    fit = fits.get(key)
-                    if not (self.fit(key) if fit is None else fit):
-                        continue
-                counts.append(counts[start] + 1)
-                last.append(token)
-                begin = start
-                break
+            token, start = single[piece[end - 1]], end - 1
+            key = last[start] << 20 | token
+            fit = fits(key)
+            if not (self.fit(key) if fit is None else fit):
+                start, token = self.fitting(piece, end, last)
+            counts.append(counts[start] + 1)
+            last.append(token)
+            begin = start
         return counts[1:]
 
+    def fitting(self, piece: bytes, end: int, last: list[int]) -> tuple[int, int]:
+        """Start and id of the last token of ``piece[:end]``."""
+        for start in range(max(0, end - self.longest), end):
+            token = self.ids.get(piece[start:end])
+            if token is not None:
+                key = last[start] << 20 | token
+                fit = not start or self.fits.get(key)
+                if self.fit(key) if fit is None else fit:
+                    return start, token
+        raise ValueError("a byte has no token")
+
 
 def compact(counts: list[int]) -> bytes | array:
-    return bytes(counts) if max(counts) < 256 else array("I", counts)
+    try:
+        return bytes(counts)
+    except ValueError:
+        return array("I", counts)
+
+
+def appended(tables: Iterable[bytes | array]) -> bytes | array:
+    """One table of units that follow each other."""
+    base, found = 0, []
+    for table in tables:
+        found += [base + n for n in table] if base else table
+        base = found[-1]
+    return compact(found)
 
 
 class PrefixCounter:
@@ -103,8 +134,7 @@ class PrefixCounter:
         self.pieces: dict[str, list[int]] = {}
         self.specials = sorted(vocabulary(path)[2])
         self.cut = re.compile("|".join(map(re.escape, self.specials))) if self.specials else None
-        self.tables = Values(lambda unit: compact(self.unit(unit)),
-                             lambda tables: compact(self.joined(tables).tolist()))
+        self.tables = Values(lambda unit: compact(self.unit(unit)), appended)
 
     def piece(self, text: str) -> list[int]:
         """Counts at each character of one pre-token."""
