@@ -33,6 +33,20 @@ def test_ids_are_the_library_s():
         assert encode.array(text).tolist() == ids(text)
 
 
+@pytest.mark.parametrize("run", [" " * 1_500_000, " \n" * 600_000, "\xa0" * 1_000_000])
+def test_very_long_white_space(run):
+    encode = Encoder(PATH)
+    for text in [run, f"a b{run}c <|endoftext|> d"]:
+        assert encode.array(text).tolist() == ids(text)
+
+
+def test_very_long_white_space_in_queries(spark):
+    rows = [*ODD[:3], (20, "a" + " " * 1_100_000 + "b")]
+    docs = documents(spark, rows)
+    check_pieces(list(map(tuple, packing.with_checksums(packing.packed(docs, PATH)).collect())),
+                 rows, packing.WINDOW)
+
+
 def test_every_character_has_the_library_s_ids():
     encode = Encoder(PATH)
     for c in range(0, 0x110000, 7):  # a full run found no difference either

@@ -20,8 +20,10 @@ WHITE = "".join(map(chr, (*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203),
                           8287, 12288)))
 UNIT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 INNER = re.compile(f"[{WHITE}]")
+RUN = re.compile(f"[{WHITE}]+")
 # Fixed value: how the byte-level pre-tokenizer splits text.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+LONG_RUN = 500_000  # white space in a row; the faster library fails from 1,000,000 on
 REMEMBERED = 400_000  # units a task keeps, the first it meets; others are encoded each time
 
 
@@ -111,7 +113,8 @@ class Encoder:
     """Ids of whole texts as little-endian integers of ``dtype``.
 
     Where a vocabulary's ids follow the order of its merges, a second library can merge by
-    id; it gives the same ids several times faster. Any other vocabulary is left to its own.
+    id; it gives the same ids several times faster. Any other vocabulary is left to its own,
+    and so is a text with a run of white space too long for the second library's pattern.
     """
 
     def __init__(self, path: str, dtype: str = "<u4"):
@@ -124,8 +127,13 @@ class Encoder:
             self.fast = Encoding("own", pat_str=PATTERN, mergeable_ranks=ids,
                                  special_tokens=special)
 
+    @staticmethod
+    def long_run(text: str) -> bool:
+        return len(text) >= LONG_RUN and any(
+            m.end() - m.start() >= LONG_RUN for m in RUN.finditer(text))
+
     def array(self, text: str | None) -> np.ndarray:
-        if self.fast is None:
+        if self.fast is None or self.long_run(text or ""):
             found = self.library.encode(text or "", add_special_tokens=False).ids
             return np.array(found, self.dtype)
         return self.fast.encode_to_numpy(text or "", allowed_special="all").astype(self.dtype)
