@@ -96,3 +96,24 @@ def test_bound_never_hides_a_window():
             logits = model._logits([licenses.features(words[i:j])])[0]
             if logits[:-1].max() > logits[-1]:
                 assert int(i) in kept
+
+
+# Wordings that the model was not built from.
+UNSEEN = [
+    ("Distributed under the MIT License.", {(0, "MIT")}),
+    ("The plugin is available under the MIT License", {(0, "MIT")}),
+    ("Everything in here uses the MIT license", {(0, "MIT")}),
+    ("You may copy it under the conditions of the ISC license.", {(0, "ISC")}),
+    ("governed by the three-clause BSD licence", {(0, "BSD-3-Clause")}),
+    ("see the Mozilla Public License, v. 2.0 for details", {(0, "MPL-2.0")}),
+    ("Use of this is under the MIT\n\nLicense plates are sold here.", set()),
+    ("Licensed under the Apache License, Version 1.1", set()),
+    ("GNU Lesser General Public License version 2.1", set()),
+]
+
+
+def test_unseen_wordings():
+    model, hashes = licenses.Model([prose(i, 14) for i in range(2000)]), licenses.Hashes()
+    for text, want in UNSEEN:
+        for rest in ("", f"\n\n{prose(1, 70)}\n{prose(2, 9)}"):
+            assert {(p, f) for p, f, _, _ in model.scan(text + rest, hashes)} == want, text
