@@ -106,6 +106,25 @@ UNSEEN = [
     ("You may copy it under the conditions of the ISC license.", {(0, "ISC")}),
     ("governed by the three-clause BSD licence", {(0, "BSD-3-Clause")}),
     ("see the Mozilla Public License, v. 2.0 for details", {(0, "MPL-2.0")}),
+    ("Licensed under the MIT License or the Apache License, Version 2.0.",
+     {(0, "MIT"), (0, "Apache-2.0")}),
+    ("SPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-3-Clause",
+     {(0, "MIT"), (0, "Apache-2.0"), (0, "BSD-3-Clause")}),
+    ("dual licensed, GPLv2 and GPLv3", {(0, "GPL-2.0"), (0, "GPL-3.0")}),
+    ("# Licensed under the Apache\n# License, Version 2.0", {(0, "Apache-2.0")}),
+    (" * it under the terms of the GNU General Public License as published by\n"
+     " * the Free Software Foundation, either version 3 of the License, or\n"
+     " * (at your option) any later version.", {(0, "GPL-3.0")}),
+    (" * modify it under the terms of the GNU Lesser General Public\n"
+     " * License as published by the Free Software Foundation; either\n"
+     " * version 3 of the License.", {(0, "LGPL-3.0")}),
+    ("Permission is hereby granted, free of charge, to any\nperson obtaining a copy of this "
+     "library", {(0, "MIT")}),
+    ("Redistribution and use in source and binary forms, with or without\nmodification, are "
+     "permitted provided that the following conditions are met:\n\n1. Source must retain the "
+     "notice.\n\n3. Neither the name of Foo nor its contributors may be used to endorse or\n"
+     "promote products derived from this software without permission.",
+     {(0, "BSD-3-Clause"), (5, "BSD-3-Clause")}),
     ("Use of this is under the MIT\n\nLicense plates are sold here.", set()),
     ("Licensed under the Apache License, Version 1.1", set()),
     ("GNU Lesser General Public License version 2.1", set()),
