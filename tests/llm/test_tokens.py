@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -128,3 +129,30 @@ def test_training_order(spark, tmp_path, monkeypatch):
     assert sorted(stream) == sorted(n for _, t in ODD for n in [*ids(t), training_order.END_ID])
     empty = spark.createDataFrame([], SCHEMA)
     assert training_order.materialised(empty, PATH, str(tmp_path / "none")).count() == 0
+
+
+def test_wide_vocabulary(spark, tmp_path, monkeypatch):
+    """Ids beyond 16 bits come back whole, and are refused where they don't fit."""
+    monkeypatch.setattr(training_order, "LENGTH", 64)
+    with open(PATH, encoding="utf-8") as file:
+        content = json.load(file)
+    wide = {n: i + 70_000 if i > 255 else i for n, i in content["model"]["vocab"].items()}
+    content["model"]["vocab"] = wide
+    for token in content["added_tokens"]:
+        token["id"] = wide.get(token["content"], token["id"])
+    path = str(tmp_path / "wide.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(content, file)
+    with pytest.raises(ValueError, match="fit"):
+        Encoder(path, "<u2")
+    rows = [(1, prose(1, 200)), (2, "the same text")]
+    folder = str(tmp_path / "shards")
+    docs = documents(spark, rows).coalesce(1)
+    found = training_order.materialised(docs, path, folder).collect()
+    assert {r.offset for r in found} == {r.slot * 64 * 4 for r in found}
+    stored = dict(zip(sorted(r.slot for r in found), training_order.read_from(folder)))
+    stream = [n for r in sorted(found, key=lambda r: r.sequence)
+              for n in stored[r.slot][:r.n_tokens].tolist()]
+    want = [n for _, t in rows for n in
+            [*tokenizer(path).encode(t, add_special_tokens=False).ids, training_order.END_ID]]
+    assert sorted(stream) == sorted(want) and max(want) > 1 << 16

@@ -109,6 +109,11 @@ def vocabulary(path: str) -> tuple[dict[bytes, int], dict[tuple[bytes, bytes], i
     return ids, {(raw(a), raw(b)): rank for rank, (a, b) in enumerate(pairs)}, special
 
 
+@lru_cache(maxsize=2)
+def largest_id(path: str) -> int:
+    return max(tokenizer(path).get_vocab().values())
+
+
 class Encoder:
     """Ids of whole texts as little-endian integers of ``dtype``.
 
@@ -119,6 +124,8 @@ class Encoder:
 
     def __init__(self, path: str, dtype: str = "<u4"):
         self.dtype, self.library, self.fast = np.dtype(dtype), tokenizer(path), None
+        if largest_id(path) > np.iinfo(self.dtype).max:
+            raise ValueError(f"ids up to {largest_id(path)} don't fit into {self.dtype}")
         ids, merges, special = vocabulary(path)
         order = [ids.get(a + b, -1) for a, b in merges]
         if order == sorted(order) and len(set(order)) == len(order) and min(order) >= 256:

@@ -33,17 +33,21 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
 from tidemark.llm.files import Output, Ranges, locate
-from tidemark.llm.tokens import Encoder
+from tidemark.llm.tokens import Encoder, largest_id
 
 LENGTH = 2048     # tokens per sequence
 SHARD = 8192      # sequences per shard
-DTYPE = "<u2"     # ids below 65,536
 END_ID = 50256
 PAD = 50256
 ROUNDS = 6
 FLUSH = 4 << 20   # bytes of ids per batch that leaves a task
 
 
+def id_type(tokenizer: str) -> str:
+    """The narrowest type that holds all ids of the vocabulary, and those put in here."""
+    return "<u2" if max(largest_id(tokenizer), END_ID, PAD) < 1 << 16 else "<u4"
+
+
 def mixed(values: np.ndarray, key: int) -> np.ndarray:
     """A hash of 64-bit values."""
     x = values + np.uint64(key)
@@ -91,7 +95,7 @@ class Permutation:
 def token_totals(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``(part, sequences)``: sequences that each task of the second pass will have."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, total = Encoder(tokenizer, DTYPE), 0
+        encode, total = Encoder(tokenizer, id_type(tokenizer)), 0
         for batch in batches:
             total += sum(len(encode.array(t)) + 1 for t in batch.column(0).to_pylist())
         if total:
@@ -107,8 +111,8 @@ def sequences(docs: DataFrame, tokenizer: str) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = Encoder(tokenizer, DTYPE), TaskContext.get().partitionId()
-        dtype, names = np.dtype(DTYPE), None
+        dtype, names = np.dtype(id_type(tokenizer)), None
+        encode, part = Encoder(tokenizer, dtype), TaskContext.get().partitionId()
         rows: list[tuple] = []
         held, members, filled, place = [], [], 0, 0
 
@@ -155,7 +159,8 @@ def materialised(docs: DataFrame, tokenizer: str, folder: str, key: int = 1) ->
     count = totals.agg(F.sum("sequences")).first()[0] or 0
     before = F.sum("sequences").over(Window.orderBy("part")) - F.col("sequences")
     starts = stored(totals.select(F.col("part"), before.alias("before")))  # one row per task
-    order, stride = Permutation(count, key), LENGTH * np.dtype(DTYPE).itemsize
+    dtype = id_type(tokenizer)
+    order, stride = Permutation(count, key), LENGTH * np.dtype(dtype).itemsize
 
     @F.pandas_udf("bigint")
     def slot_of(numbers):
@@ -194,7 +199,7 @@ def materialised(docs: DataFrame, tokenizer: str, folder: str, key: int = 1) ->
     system, path = locate(folder)
     system.create_dir(path, recursive=True)
     with system.open_output_stream(f"{path}/layout.json") as file:
-        file.write(json.dumps({"sequences": count, "length": LENGTH, "dtype": DTYPE,
+        file.write(json.dumps({"sequences": count, "length": LENGTH, "dtype": dtype,
                                "shard": SHARD, "key": key}).encode())
     return written.select(
         "slot", "sequence", "shard", (F.pmod("slot", F.lit(SHARD)) * stride).alias("offset"),
