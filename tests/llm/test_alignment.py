@@ -1,0 +1,130 @@
+from __future__ import annotations
+
+import bisect
+import hashlib
+import json
+from collections import Counter
+
+import pytest
+
+from tests.llm.helpers import ODD, SCHEMA, clashing, documents, prose
+from tidemark.llm import alignment
+from tidemark.llm.queries import vocabulary_path
+
+tokenizers = pytest.importorskip("tokenizers")
+sentencepiece = pytest.importorskip("sentencepiece")
+FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+def letters():
+    """Bytes of the byte-level alphabet, from its usual rule."""
+    own = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1),
+           *range(ord("®"), ord("ÿ") + 1)]
+    found, extra = {chr(b): b for b in own}, 0
+    for b in range(256):
+        if b not in own:
+            found[chr(256 + extra)] = b
+            extra += 1
+    return found
+
+
+def spans(tokens):
+    found, at = [], 0
+    for number, raw in tokens:
+        found.append((number, at, at + len(raw)))
+        at += len(raw)
+    return found
+
+
+def brute(rows):
+    """Every pair of tokens of a document, compared by their byte ranges."""
+    first = tokenizers.Tokenizer.from_file(vocabulary_path(FIRST))
+    first.encode_special_tokens = True
+    second = sentencepiece.SentencePieceProcessor(model_file=vocabulary_path(SECOND))
+    alphabet, documents_, counts = letters(), [], Counter()
+    for doc_id, text in rows:
+        a = b = []
+        if text:
+            found = first.encode(" " + text, add_special_tokens=False)
+            a = [(i, bytes(map(alphabet.__getitem__, t))) for i, t in zip(found.ids, found.tokens)]
+            b = []
+            for i in second.encode(text):
+                piece = second.id_to_piece(i)
+                raw = bytes([int(piece[3:5], 16)]) if second.is_byte(i) else piece.replace(
+                    "▁", " ").encode()
+                b.append((i, raw))
+            if any(b"".join(raw for _, raw in side) != (" " + text).encode() for side in (a, b)):
+                a = b = []
+        a, b = spans(a), spans(b)
+        ends = sorted({end for *_, end in a} & {end for *_, end in b})
+        links, j = [], 0
+        for x, begin, end in a:
+            while j and b[j - 1][2] > begin:
+                j -= 1
+            while j < len(b) and b[j][1] < end:
+                if b[j][2] > begin:
+                    links.append((x, b[j][0]))
+                j += 1
+            j = max(0, j - 1)
+        counts.update(links)
+        groups = [[[], []] for _ in ends]
+        for k, side in enumerate((a, b)):
+            for number, _, end in side:
+                groups[bisect.bisect_left(ends, end)][k].append(str(number))
+        groups = ["|".join(map(",".join, sides)) for sides in groups]
+        documents_.append((doc_id, len(a), len(b), len(ends), links, groups))
+    highest = Counter()
+    for (_, y), n in counts.items():
+        highest[y] = max(highest[y], n)
+    return [(doc_id, n_a, n_b, n_groups, len(links),
+             sum(counts[pair] == highest[pair[1]] for pair in links), sum(counts[p] for p in links),
+             hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "")
+            for doc_id, n_a, n_b, n_groups, links, groups in documents_]
+
+
+def ordered(rows):
+    return sorted(map(tuple, rows), key=repr)
+
+
+CASES = [
+    *ODD, (20, " two  blanks "), (21, "tab\tand\nline"), (22, "▁ itself"), (23, "ﬁ ligature"),
+    (24, "<s> </s> <unk> <0x41> <|endoftext|>"), (25, "日本語 テキスト 🙂🙂"), (26, "naïve café"),
+    (27, "\u0000 nul"), (28, "a"), (29, " "), (30, "don't can't we'll 1234567 !!!"),
+    (31, prose(31, 400)), (32, prose(32, 400)), (33, prose(31, 400)),
+]
+
+
+def test_against_all_pairs_of_tokens(spark):
+    got = ordered(alignment.aligned(clashing(documents(spark, CASES)).repartition(3),
+                                    vocabulary_path(FIRST), vocabulary_path(SECOND)).collect())
+    want = ordered(brute(CASES))
+    assert got == want
+    known = [w for w in want if w[7]]
+    assert len(known) > 10 and any(w[4] > w[3] for w in known)
+
+
+def test_pieces_of_any_size_give_the_same(spark, monkeypatch):
+    """Many small pieces, as many documents make them, or all in one."""
+    docs = documents(spark, CASES).coalesce(1)
+    paths = vocabulary_path(FIRST), vocabulary_path(SECOND)
+    whole = ordered(alignment.aligned(docs, *paths).collect())
+    first, second = alignment.byte_tokens(paths[0]), alignment.piece_tokens(paths[1])
+    import pyarrow as pa
+    rows = [alignment.piece_row(pa.array([i]), [t], first, second) for i, t in CASES]
+    assert sorted((r["n_a"][0], r["n_groups"][0], r["n_links"][0], r["groups_sha256"][0])
+                  for r in rows) == sorted((r[1], r[3], r[4], r[7]) for r in whole)
+
+
+def test_an_empty_table(spark):
+    paths = vocabulary_path(FIRST), vocabulary_path(SECOND)
+    assert alignment.aligned(spark.createDataFrame([], SCHEMA), *paths).collect() == []
+
+
+def test_the_alphabet_is_the_vocabularys():
+    with open(vocabulary_path(FIRST), encoding="utf-8") as file:
+        words = json.load(file)["model"]["vocab"]
+    first = alignment.byte_tokens(vocabulary_path(FIRST))
+    known = letters()
+    for token, number in words.items():
+        if set(token) <= set(known) and token != "<|endoftext|>":
+            assert first.raw[number].as_py() == bytes(map(known.__getitem__, token))
