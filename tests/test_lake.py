@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import time
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,10 +18,11 @@ from tidemark.operators import (
     tick_bars,
 )
 from tidemark.plans import catalog
-from tidemark.plans.backfill import backfill
-from tidemark.plans.lake import Lake
+from tidemark.plans.backfill import StraysError, backfill
+from tidemark.plans.lake import Lake, sliced
 
 KPIS = "gold.commerce_kpis_1m"
+DAY = "first_day=2026-03-13/last_day=2026-03-13"
 
 
 def kpi_rows(spark, *items):
@@ -41,7 +42,7 @@ def test_a_repeated_batch_is_not_written_twice(spark, lake):
 
 def test_a_batch_that_was_not_committed_is_invisible_and_replaced_on_retry(spark, lake):
     lake.append(kpi_rows(spark, (0, "orders_created", 1)), KPIS, "orders", 0)
-    broken = lake._leaf(lake.data_path(KPIS), "orders", 1)
+    broken = f"{lake._leaf(lake.data_path(KPIS), 'orders', 1)}/{DAY}"
     kpi_rows(spark, (1, "orders_created", 99), (2, "orders_created", 99)).write.parquet(broken)
     assert lake.read(KPIS).count() == 1
     lake.append(kpi_rows(spark, (1, "orders_created", 2)), KPIS, "orders", 1)
@@ -101,7 +102,7 @@ def test_files_from_before_a_column_was_added(spark, lake):
     table = "bronze.orders_cdc"
     rows = bronze_changes(feed(spark, "orders", [order(1, 5, 0, coupon="A")]), "orders")
     lake.append(rows, table, "orders", 0)
-    old = lake._leaf(lake.data_path(table), "orders", 0)
+    old = f"{lake._leaf(lake.data_path(table), 'orders', 0)}/{DAY}"
     rows.drop("coupon_id").write.mode("overwrite").parquet(old)
     lake.append(rows, table, "orders", 1)
     assert values(lake.read(table), "coupon_id") == [("A",), (None,)]
@@ -190,7 +191,7 @@ def test_views_show_commits_by_themselves(spark, lake):
                     F.lit(f"2026-01-0{1 + i} 00:00:00 UTC"))
         for session in (spark, spark.newSession()):
             assert session.sql("SELECT * FROM t2_gold.commerce_kpis_1m").count() == i + 1
-    broken = lake._leaf(lake.data_path(KPIS), "orders", 2)
+    broken = f"{lake._leaf(lake.data_path(KPIS), 'orders', 2)}/{DAY}"
     kpi_rows(spark, (5, "orders_created", 99)).write.parquet(broken)
     assert spark.table("t2_gold.commerce_kpis_1m").count() == 2
     listed = spark.sql("SELECT batch_id, added_records FROM t2_lake_files.snapshots WHERE "
@@ -214,7 +215,8 @@ def test_any_number_of_writers_reads_in_full(spark, lake, monkeypatch):
         F.lit("orders_created").alias("metric_name"), F.col("id").cast("double").alias("metric_value"),
         F.lit(None).cast("timestamp_ntz").alias("produced_at"),
         F.concat(F.lit("backfill-"), "id").alias("writer"), F.lit(0).alias("batch_id"))
-    rows.repartition(4).write.partitionBy("writer", "batch_id").parquet(lake.data_path(KPIS))
+    sliced(rows, KPIS, 1).repartition(4).write.partitionBy(
+        "writer", "batch_id", "first_day", "last_day").parquet(lake.data_path(KPIS))
     log = rows.select(
         F.concat("writer", F.lit("-0")).alias("snapshot_id"),
         F.timestamp_seconds("metric_value").alias("committed_at"),
@@ -289,3 +291,164 @@ def test_bronze_ticks_round_trip(spark, lake):
     lake.append(rows, "bronze.crypto_ticks", "ticks", 0)
     assert lake.read("bronze.crypto_ticks").drop("ingest_time").collect() == rows.drop(
         "ingest_time").collect()
+
+
+# -- slices of days ----------------------------------------------------------
+
+DAY_0 = datetime(2023, 6, 1)
+
+
+def daily(spark, days, *extra):
+    """A KPI row per day, and any others."""
+    rows = [(DAY_0 + timedelta(days=i), f"m{i % 3}", float(i)) for i in days] + list(extra)
+    return spark.createDataFrame(
+        [(w, w, name, v, None) for w, name, v in rows], schemas.table_schema(KPIS))
+
+
+def scans(df):
+    """Partition filters of a plan's scan, and the number of files it opened."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    scan = plan.collectLeaves().head()
+    filters = plan.toString().split("PartitionFilters")[1].split("PushedFilters")[0]
+    return filters, scan.metrics().apply("numFiles").value()
+
+
+def newest_rows(lake, count, *args):
+    return [tuple(r) for r in latest(lake.newest(KPIS, count, *args), KPIS, count).select(
+        "window_start", "metric_name", "metric_value").collect()]
+
+
+def test_newest_rows_of_a_thousand_days_read_one_or_two(spark, lake):
+    lake.append(daily(spark, range(1000)), KPIS, "load", 0, spread=True)
+    df = lake.newest(KPIS, 2)
+    filters, files = scans(df)
+    assert files == 2 and "last_day" in filters
+    assert newest_rows(lake, 2) == [
+        (DAY_0 + timedelta(days=i), f"m{i % 3}", float(i)) for i in (999, 998)]
+
+
+@pytest.mark.parametrize("days", [1, 30])
+def test_newest_rows_are_those_of_a_whole_read(spark, tmp_path, days):
+    """Batches in any order of time, late rows, ties on a day's border, and no time at all."""
+    lake = Lake(spark, str(tmp_path / "l"), "UTC", slice_days=days)
+    border = DAY_0 + timedelta(days=40)
+    parts = [
+        daily(spark, range(0, 41)), daily(spark, range(20, 30)), daily(spark, [], (None, "none", 1.0)),
+        daily(spark, [], *[(border, f"t{i}", 0.0) for i in range(5)],
+              *[(border - timedelta(milliseconds=1), f"u{i}", 0.0) for i in range(5)]),
+    ]
+    for i, part in enumerate(parts):
+        lake.append(part, KPIS, "w", i, F.lit(f"2026-01-0{1 + i} 00:00:00 UTC"))
+    for at in (None, "2026-01-02 12:00:00 UTC"):
+        for count in (6, 12, 100):
+            whole = [tuple(r) for r in latest(lake.read(KPIS, at), KPIS, count).select(
+                "window_start", "metric_name", "metric_value").collect()]
+            assert newest_rows(lake, count, at) == whole
+    assert newest_rows(lake, 100)[-1][0] is None
+
+
+def test_newest_of_nothing(lake, spark):
+    assert lake.newest(KPIS, 5).count() == 0
+    lake.append(daily(spark, [], (None, "none", 1.0)), KPIS, "w", 0)
+    assert lake.newest(KPIS, 5).count() == 1
+
+
+def test_reads_from_a_time_on_open_no_older_day(spark, lake, monkeypatch):
+    for i in range(4):
+        lake.append(daily(spark, range(10 * i, 10 * i + 10)), KPIS, "w", i)
+    since = DAY_0 + timedelta(days=35)
+    df = lake.read(KPIS, since=since)
+    filters, files = scans(df)
+    assert files == 5 and "last_day" in filters
+    want = [(float(i),) for i in range(35, 40)]
+    assert values(df, "metric_value") == want
+    assert lake.read(KPIS, since=since + timedelta(seconds=1)).count() == 4
+    monkeypatch.setattr("tidemark.plans.lake.LITERAL_BATCHES", 0)
+    assert values(lake.read(KPIS, since=since), "metric_value") == want
+
+
+def test_slices_of_different_lengths_lie_side_by_side(spark, lake, tmp_path):
+    lake.append(daily(spark, range(20)), KPIS, "w", 0)
+    longer = Lake(spark, lake.root, "UTC", slice_days=365)
+    longer.append(daily(spark, range(20, 40)), KPIS, "w", 1)
+    for reader in (lake, longer):
+        assert [r[2] for r in newest_rows(reader, 3)] == [39.0, 38.0, 37.0]
+        assert reader.read(KPIS, since=DAY_0 + timedelta(days=15)).count() == 25
+        assert reader.read(KPIS).count() == 40
+
+
+# -- commits of several tables -----------------------------------------------
+
+def test_a_commit_of_two_tables_is_seen_whole_or_not_at_all(spark, lake):
+    other = "gold.behavior_kpis_1m"
+
+    def write(batch_id, *, crash=False):
+        def second():
+            if crash:
+                raise RuntimeError("driver lost")
+            assert lake.read_batch(KPIS, "w", batch_id).count() == 3
+            return daily(spark, range(2))
+        return lake.commit({KPIS: lambda: daily(spark, range(3)), other: second}, "w", batch_id)
+
+    assert write(0)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        write(1, crash=True)
+    assert {t: df.count() for t, df in lake.read_together((KPIS, other)).items()} == {
+        KPIS: 3, other: 2}
+    assert write(1) and not write(1)
+    assert (lake.read(KPIS).count(), lake.read(other).count()) == (6, 4)
+    assert [r["added_records"] for r in lake.snapshots(KPIS).collect()] == [3, 3]
+    assert [r["added_records"] for r in lake.snapshots(other).collect()] == [2, 2]
+    catalog.create_tables(lake, "t4_")
+    assert spark.table("t4_gold.behavior_kpis_1m").count() == 4
+    catalog.drop(spark, "t4_")
+
+
+def test_tables_read_together_are_of_one_state_of_the_log(spark, lake, monkeypatch):
+    other, path = "gold.behavior_kpis_1m", Lake.data_path
+
+    def write(batch_id):
+        lake.commit({t: lambda: daily(spark, range(1)) for t in (KPIS, other)}, "w", batch_id)
+
+    def committing(self, table):
+        monkeypatch.setattr(Lake, "data_path", path)
+        write(1)
+        return path(self, table)
+
+    write(0)
+    monkeypatch.setattr(Lake, "data_path", committing)
+    assert [df.count() for df in lake.read_together((KPIS, other)).values()] == [1, 1]
+    assert [df.count() for df in lake.read_together((KPIS, other)).values()] == [2, 2]
+
+
+def test_a_log_from_before_commits_of_several_tables_is_read(spark, lake):
+    lake.append(daily(spark, range(3)), KPIS, "w", 0)
+    log = lake._leaf(lake.log_path(KPIS), "w", 0)
+    rows = spark.read.parquet(log).drop("changes").collect()
+    spark.createDataFrame(rows).write.mode("overwrite").parquet(log)
+    assert lake.read(KPIS).count() == 3 and lake.newest(KPIS, 2).count() == 3
+    assert lake.read(KPIS, since=DAY_0 + timedelta(days=1)).count() == 2
+    assert lake.snapshots(KPIS).first()["added_records"] == 3
+
+
+# -- strays of a backfill ----------------------------------------------------
+
+def test_a_backfill_reports_records_beyond_the_slack(spark, lake):
+    rows = [order(i, 5, i) for i in range(10)]
+    apart = F.when(F.col("order_id") < 2, -7200).when(F.col("order_id") == 5, 90000).otherwise(3599)
+    orders = feed(spark, "orders", rows).withColumn(
+        "record_time", F.col("event_time") - F.make_dt_interval(secs=apart))
+    with pytest.raises(StraysError, match="3 records of orders"):
+        backfill(lake, {"orders": orders}, "a", max_strays=2)
+    assert lake.read("bronze.orders_cdc").count() == 0 and lake.read(KPIS).count() == 0
+    report = backfill(lake, {"orders": orders, "payments": feed(
+        spark, "payments", [payment(1, 5, 0)])}, "a", max_strays=3)
+    assert [tuple(r) for r in report.collect()] == [("orders", 10, 2, 1, 1, 90_000_000)]
+    assert lake.read("bronze.orders_cdc").count() == 10
+    assert backfill(lake, {"orders": orders}, "a").count() == 0  # stored before
+    wide = backfill(lake, {"orders": orders}, "b", slack=timedelta(days=2), max_strays=0)
+    assert wide.first()["farthest_ms"] is None
+    # A range's report covers what was read for it, also outside the range.
+    part = backfill(lake, {"orders": orders}, "c", end=datetime(2026, 3, 13, 3, 0, 1))
+    assert part.first()["records"] == 10 and lake.read("bronze.orders_cdc").count() == 21

@@ -11,6 +11,7 @@ from rows import feed, ms, order, payment, refund, tick, values
 
 from tidemark import schemas
 from tidemark.operators import commerce_kpis, market_kpis, order_events, tick_bars
+from tidemark.operators.gold import chained_minutes
 from tidemark.plans.lake import Lake
 from tidemark.sources import file_feed, open_feed
 from tidemark.streaming import jobs
@@ -275,3 +276,54 @@ def test_event_time_of_ms_inputs(spark, lake, topic):
     run(lake, t, only=("ticks_rows",))
     stored = lake.read("bronze.crypto_ticks").first()["event_time"]
     assert stored.microsecond == 250000 and ms(0.25) % 1000 == 250
+
+
+def test_chained_windows_read_ticks_once_and_equal_separate_ones(spark, lake, topic, tmp_path):
+    rows = [tick(i, 10 + i % 7, 1 + i % 3, i * 0.7, side=("BUY", "SELL", "X")[i % 3],
+                 symbol=f"S{i % 2}", exchange=f"E{i % 3}") for i in range(400)]
+    t = topic("ticks").add(*rows[:150]).add(*rows[150:]).add(tick(999, 1, 1, 1000))
+    separate = Lake(spark, str(tmp_path / "separate"), "UTC")
+    run(separate, t, only=("ticks_bars_1s", "ticks_kpis_1m"))
+    jobs.run_available({"ticks": t.stream}, lake, ("ticks_chained",), chained=True)
+    keys = [c for c in schemas.table_schema(BARS).names if c != "produced_at"]
+    got = values(lake.read(BARS), *keys)
+    last = max(r[0] for r in lake.read(MARKET).select("window_end").collect())
+    want = values(separate.read(BARS).where(F.col("window_start") < F.lit(last)), *keys)
+    assert [r[:5] for r in got] == [r[:5] for r in want] and len(got) > 300
+    for a, b in zip(got, want):
+        assert a[5:] == pytest.approx(b[5:])
+    names = ("window_start", "window_end", "symbol", "metric_name", "metric_value")
+    assert values(lake.read(MARKET), *names[:4]) == values(separate.read(MARKET), *names[:4])
+    assert [r[0] for r in values(lake.read(MARKET), "metric_value")] == pytest.approx(
+        [r[0] for r in values(separate.read(MARKET), "metric_value")])
+    # One source in the plan, and each minute's bars and metrics by one commit.
+    plan = chained_minutes(watermarked(t.stream(), "ticks"))._jdf.queryExecution()
+    assert plan.analyzed().toString().count("StreamingRelation") == 1
+    assert [tuple(r)[:2] for r in lake.snapshots(BARS).collect()] == [
+        tuple(r)[:2] for r in lake.snapshots(MARKET).collect()]
+
+
+def test_chained_jobs_fill_the_same_tables():
+    def tables(found):
+        return sorted(sink.table for job in found for sink in job.sinks)
+
+    assert tables(jobs.CHAINED_JOBS) == tables(jobs.JOBS)
+
+
+def test_a_crash_between_the_sinks_of_a_job_shows_neither(spark, lake, topic, monkeypatch):
+    t = topic("orders").add(*[order(i, 5, i) for i in range(7)])
+    written, crashes = Lake._write, []
+
+    def crashing(self, df, table, *args):
+        if table == "silver.order_events" and not crashes:
+            crashes.append(table)
+            raise RuntimeError("driver lost")
+        return written(self, df, table, *args)
+
+    monkeypatch.setattr(Lake, "_write", crashing)
+    with pytest.raises(StreamingQueryException, match="driver lost"):
+        run(lake, t, only=("orders_rows",))
+    tables = ("bronze.orders_cdc", "silver.order_events")
+    assert [df.count() for df in lake.read_together(tables).values()] == [0, 0]
+    run(lake, t, only=("orders_rows",))
+    assert [df.count() for df in lake.read_together(tables).values()] == [7, 7]

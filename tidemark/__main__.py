@@ -58,7 +58,10 @@ def parser() -> argparse.ArgumentParser:
                              help="name of a new start, which reads the feeds from the beginning")
         else:
             sub.add_argument("--slack-minutes", type=int, default=60,
-                             help="how far event times may lie from record times")
+                             help="how far event times may lie from record times; -1 reads the "
+                                  "whole topic")
+            sub.add_argument("--max-strays", type=int,
+                             help="fail when more records lie further apart than that")
             sub.add_argument("--run", required=True, help="name; repeating it adds nothing")
             sub.add_argument("--start", type=datetime.fromisoformat)
             sub.add_argument("--end", type=datetime.fromisoformat)
@@ -90,19 +93,23 @@ def main(argv: list[str] | None = None) -> int:
         }, lake, generation=args.generation))
     elif args.command == "backfill":
         start, end = (t and in_zone(t, lake.zone) for t in (args.start, args.end))
+        bounded = args.slack_minutes >= 0
+        slack = timedelta(minutes=args.slack_minutes if bounded else 0)
         backfill(lake, {
             feed: open_feed(kafka_feed(
                 spark, feed, args.servers, streaming=False, start=start, end=end,
-                slack=timedelta(minutes=args.slack_minutes),
-                min_partitions=args.min_partitions), feed, writers=args.writers)
+                slack=slack if bounded else None,
+                min_partitions=args.min_partitions), feed, writers=args.writers,
+                record_time=bounded)
             for feed in args.feeds
-        }, args.run, start, end)
+        }, args.run, start, end, slack, args.max_strays).show(truncate=False)
     elif args.command == "check":
         success = record(lake, args.run_id)
         print(f"success={success}")
         return 0 if success else 1
     elif args.command == "latest":
-        latest(lake.read(args.table, args.as_of), args.table).show(LATEST[args.table][1], False)
+        rows = lake.newest(args.table, LATEST[args.table][1], args.as_of)
+        latest(rows, args.table).show(LATEST[args.table][1], False)
     else:
         for row in lake.snapshots(args.table).toLocalIterator():  # all of them, never at once
             print(*row, sep="\t")

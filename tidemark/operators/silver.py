@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -50,10 +50,8 @@ def order_events(orders: DataFrame, payments: DataFrame, refunds: DataFrame,
     )
 
 
-def tick_bars(ticks: DataFrame, zone: str = schemas.LOCAL_ZONE, time: str = "event_ts",
-              size: str = "1 second") -> DataFrame:
-    """Per symbol and exchange: counts, price range and mean, volume, notional, VWAP."""
-    bars = tumble(ticks, time, size, ["symbol", "exchange"], [
+def bar_aggregates() -> list[Column]:
+    return [
         F.count("*").alias("tick_count"),
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
@@ -63,11 +61,21 @@ def tick_bars(ticks: DataFrame, zone: str = schemas.LOCAL_ZONE, time: str = "eve
         ratio_or_zero("trade_notional", "volume").alias("vwap"),
         count_where(F.col("side") == "BUY").alias("buy_tick_count"),
         count_where(F.col("side") == "SELL").alias("sell_tick_count"),
-    ], zone)
+    ]
+
+
+def stored_bars(bars: DataFrame, zone: str) -> DataFrame:
     return conform(bars.withColumn("produced_at", processing_time(zone)),
                    "silver.crypto_ticks_1s")
 
 
+def tick_bars(ticks: DataFrame, zone: str = schemas.LOCAL_ZONE, time: str = "event_ts",
+              size: str = "1 second") -> DataFrame:
+    """Per symbol and exchange: counts, price range and mean, volume, notional, VWAP."""
+    return stored_bars(tumble(ticks, time, size, ["symbol", "exchange"], bar_aggregates(), zone),
+                       zone)
+
+
 def silver_behavior(bronze: DataFrame) -> DataFrame:
     """Behaviour events without the cart column."""
     return conform(bronze, "silver.user_behavior")

@@ -1,22 +1,30 @@
 """Bounded batch reprocessing with the transforms the streams use.
 
-Each feed is read and decoded once, into its raw table. The later layers are computed from
+Each feed is decoded into its raw table. The later layers are computed from
 the columns of that batch, and the one-minute market metrics from the one-second bars, so
 the messages are never decoded again and ticks are shuffled once. Feeds run side by side.
 
 Ranges may be cut anywhere: a window belongs to the range that holds its start, and is
 computed from all its rows. Adjacent ranges thus give what one long range gives. Where a
-bound lies within a minute, windows are computed from the feed's own rows up to the end of
-that minute.
+bound lies within a minute, the feed is read a second time (ticks: a third time) for the rows
+up to the end of that minute.
+
+The broker is asked for a range by record time, widened by a slack, so a record whose event
+time lies further than the slack from its record time may be missing from every range. Feeds
+that carry their record time (``open_feed(record_time=True)``) are checked for such strays in
+the pass that stores them. Strays that were read tell of others that were not: the run reports
+them and, above ``max_strays``, commits nothing of the feed.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.bronze import CHANGE_TABLES, bronze_behavior, bronze_changes, bronze_ticks
 from tidemark.operators.gold import (
@@ -29,9 +37,47 @@ from tidemark.operators.gold import (
 from tidemark.operators.silver import entity_events, silver_behavior, tick_bars
 from tidemark.plans.lake import Lake, in_zone
 from tidemark.plans.together import together
+from tidemark.sources.feeds import RECORD_TIME, SLACK
 from tidemark.streaming.watermarks import TIME_COLUMN
 
 
+class StraysError(ValueError):
+    """Too many records lie further from their record time than the slack."""
+
+
+class Strays:
+    """Counts records by the distance of event time and record time, as they pass."""
+
+    def __init__(self, feed: str, slack: timedelta, limit: int | None):
+        self.feed, self.slack, self.limit = feed, slack, limit
+        self.observed = Observation(f"strays-{feed}-{uuid.uuid4().hex}")
+        self.found: dict | None = None
+
+    def watch(self, opened: DataFrame) -> DataFrame:
+        event = F.unix_millis(F.col(TIME_COLUMN.get(self.feed, "event_time")))
+        apart = event - F.unix_millis(F.col(RECORD_TIME))
+        slack = self.slack // timedelta(milliseconds=1)
+        far = F.abs(apart) > slack
+        return opened.observe(
+            self.observed, F.count(F.lit(1)).alias("records"),
+            F.count_if(far & (apart < 0)).alias("event_before_record"),
+            F.count_if(far & (apart > 0)).alias("event_after_record"),
+            F.count_if(far & (F.abs(apart) > 86_400_000)).alias("over_a_day"),
+            F.max(F.when(far, F.abs(apart))).alias("farthest_ms"))
+
+    def verify(self) -> None:
+        self.found = {"feed": self.feed, **self.observed.get}
+        strays = self.found["event_before_record"] + self.found["event_after_record"]
+        if self.limit is not None and strays > self.limit:
+            raise StraysError(
+                f"{strays} records of {self.feed} lie further than {self.slack} from their record "
+                f"time, up to {self.found['farthest_ms']} ms; widen the slack or read without it")
+
+
+REPORT = ("feed string, records bigint, event_before_record bigint, event_after_record bigint, "
+          "over_a_day bigint, farthest_ms bigint")
+
+
 def in_range(df: DataFrame, feed: str, start: datetime | None, end: datetime | None) -> DataFrame:
     """Rows with event time in ``[start, end)``; the bounds are instants."""
     time = F.col(TIME_COLUMN.get(feed, "event_time"))
@@ -70,11 +116,13 @@ def writer_name(lake: Lake, run: str, start: datetime | None, end: datetime | No
 
 
 def backfill(lake: Lake, feeds: dict[str, DataFrame], run: str,
-             start: datetime | None = None, end: datetime | None = None) -> None:
+             start: datetime | None = None, end: datetime | None = None,
+             slack: timedelta = SLACK, max_strays: int | None = None) -> DataFrame:
     """Append a range of ``feeds`` (opened, bounded) to all layers under the name ``run``.
 
     Each table gets one commit. Repeating a run that broke off does only what is missing.
-    Bounds without a zone are in the lake's.
+    Bounds without a zone are in the lake's. Gives the strays (see above) of the feeds that
+    carry a record time and were stored by this call, a row per feed (``REPORT``).
     """
     zone = lake.zone
     start, end = (None if t is None else in_zone(t, zone) for t in (start, end))
@@ -83,14 +131,24 @@ def backfill(lake: Lake, feeds: dict[str, DataFrame], run: str,
     seconds = ceiling(start, seconds=1), ceiling(end, seconds=1)
     whole = minutes == (start, end)
 
-    def put(df: DataFrame, table: str, part: str = "") -> DataFrame:
+    def put(df: DataFrame, table: str, part: str = "", strays: Strays | None = None) -> DataFrame:
         name = writer + part
-        lake.append(df, table, name, 0)
+        lake.append(df, table, name, 0, spread=True, verify=strays and strays.verify)
         return lake.read_batch(table, name, 0)
 
+    def watched(opened: DataFrame, feed: str) -> tuple[DataFrame, Strays | None]:
+        if RECORD_TIME not in opened.columns:
+            return opened, None
+        strays = Strays(feed, slack, max_strays)
+        checked.append(strays)
+        return strays.watch(opened), strays
+
+    checked: list[Strays] = []
+
     def changes(feed: str, opened: DataFrame) -> None:
-        rows = in_range(opened, feed, start, end)
-        raw = put(bronze_changes(rows, feed, zone), CHANGE_TABLES[feed][0])
+        seen, strays = watched(opened, feed)
+        rows = in_range(seen, feed, start, end)
+        raw = put(bronze_changes(rows, feed, zone), CHANGE_TABLES[feed][0], strays=strays)
         raw = with_event_time(raw, feed)
         timed, op = (raw, "cdc_op") if whole else (in_range(opened, feed, *minutes), "__op")
         kpis = {
@@ -104,7 +162,9 @@ def backfill(lake: Lake, feeds: dict[str, DataFrame], run: str,
             lambda: put(kpis(), "gold.commerce_kpis_1m", f"-{feed}"))
 
     def ticks(opened: DataFrame) -> None:
-        raw = put(bronze_ticks(in_range(opened, "ticks", start, end), zone), "bronze.crypto_ticks")
+        seen, strays = watched(opened, "ticks")
+        raw = put(bronze_ticks(in_range(seen, "ticks", start, end), zone), "bronze.crypto_ticks",
+                  strays=strays)
         if whole:
             bars = put(tick_bars(raw, zone, time="event_time"), "silver.crypto_ticks_1s")
             put(market_kpis_from_bars(bars, zone), "gold.crypto_market_kpis_1m")
@@ -123,3 +183,6 @@ def backfill(lake: Lake, feeds: dict[str, DataFrame], run: str,
         return {"ticks": lambda: ticks(opened), "behavior": lambda: behavior(opened)}[feed]
 
     together(lake.spark, *[chain(feed, df) for feed, df in feeds.items()])
+    rows = sorted((s.found for s in checked if s.found), key=lambda r: r["feed"])
+    names = T.StructType.fromDDL(REPORT).names
+    return lake.spark.createDataFrame([tuple(r[n] for n in names) for r in rows], REPORT)

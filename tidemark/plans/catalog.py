@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.plans.lake import ALL_LOGS_SCHEMA, BOOKKEEPING, Lake
+from tidemark.plans.lake import ALL_LOGS_SCHEMA, Lake, stored_schema
 
 
 def _columns(schema: T.StructType) -> str:
@@ -36,8 +36,8 @@ def create_tables(lake: Lake, prefix: str = "") -> None:
     for table in schemas.TABLE_DDL:
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {prefix}lake_files.{table.replace('.', '_')} "
-            f"({_columns(schemas.table_schema(table))}, {_columns(BOOKKEEPING)}) USING parquet "
-            f"PARTITIONED BY (writer, batch_id) LOCATION '{lake.data_path(table)}'")
+            f"({_columns(stored_schema(table))}) USING parquet PARTITIONED BY (writer, batch_id, "
+            f"first_day, last_day) LOCATION '{lake.data_path(table)}'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {prefix}lake_files.snapshots ({_columns(ALL_LOGS_SCHEMA)}) "
         f"USING parquet PARTITIONED BY (table_name, writer, batch_id) "
@@ -57,7 +57,8 @@ def views(lake: Lake, prefix: str = "", name_prefix: str | None = None,
         lake.spark.sql(
             f"CREATE OR REPLACE VIEW {prefix if name_prefix is None else name_prefix}{table} AS "
             f"SELECT {names} FROM (SELECT writer, max(batch_id) AS mark "
-            f"FROM {prefix}lake_files.snapshots WHERE table_name = '{table}' {until} "
+            f"FROM {prefix}lake_files.snapshots "
+            f"WHERE array_contains(split(table_name, '[+]'), '{table}') {until} "
             f"GROUP BY writer) m JOIN {files} f ON f.writer = m.writer AND f.batch_id <= m.mark")
 
 

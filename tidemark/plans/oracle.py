@@ -469,6 +469,35 @@ SQL = {
         SELECT {LISTED}, NULL AS symbol FROM kpis
         UNION ALL SELECT {LISTED}, symbol FROM market"""),
     "stream_restart": _bronze("o"),
+    "stream_market_chained": _with("t", f"""
+        SELECT window_start, symbol, exchange, n.metric_name, n.metric_value
+        FROM (SELECT * FROM bars
+              WHERE {_window('window_start', 'minute')} + INTERVAL 1 MINUTE <=
+                    (SELECT max(event_ts) - INTERVAL 5 SECOND FROM t)),
+             unnest([{{'metric_name': 'tick_count', 'metric_value': tick_count::DOUBLE}},
+                     {{'metric_name': 'traded_volume', 'metric_value': traded_volume}},
+                     {{'metric_name': 'min_price', 'metric_value': min_price}},
+                     {{'metric_name': 'sell_tick_count', 'metric_value': sell_tick_count::DOUBLE}}
+                    ]) AS u(n)
+        UNION ALL SELECT window_start, symbol, NULL, metric_name, metric_value
+        {_closed('market', 't', 'event_ts')}""", BARS, MARKET_WIDE, MARKET),
+    "backfill_strays": _with("or", """
+        SELECT 'orders' AS feed, count(*) AS records,
+               count(*) FILTER (order_id % 97 = 0) AS event_before_record,
+               0::BIGINT AS event_after_record, 0::BIGINT AS over_a_day,
+               max(CASE WHEN order_id % 97 = 0 THEN 10800000 END)::BIGINT AS farthest_ms FROM o
+        UNION ALL
+        SELECT 'refunds', count(*), 0, count(*) FILTER (refund_id % 89 = 0),
+               count(*) FILTER (refund_id % 89 = 0),
+               max(CASE WHEN refund_id % 89 = 0 THEN 180000000 END)::BIGINT FROM r"""),
+    "commit_group": _with("o", """
+        SELECT state, table_name, count(*) AS row_count
+        FROM (VALUES ('bronze.orders_cdc'), ('silver.order_events')) AS names(table_name),
+             (SELECT 'retry' AS state FROM o
+              UNION ALL SELECT 'crash' FROM o WHERE created < TIMESTAMP '1999-01-01')
+        GROUP BY ALL"""),
+    "load_layers": _with("oprt", _counts(*LAYER_COUNTS), ORDER_WINDOWS, COMMERCE, BARS,
+                         MARKET_WIDE, MARKET, EVENT_UNION),
     "stream_late_rows": _with(
         "t", f"SELECT * {_closed('market', 't', 'event_ts')}",
         MARKET_WIDE.replace("FROM t)", f"FROM t WHERE NOT ({LATE}))"), MARKET),

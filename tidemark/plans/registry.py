@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,18 +32,18 @@ from tidemark.operators import (
     order_events,
     rejected_rows,
     silver_behavior,
-    suite_result,
     table_counts,
     tick_bars,
 )
 from tidemark.operators.bronze import CHANGE_TABLES
 from tidemark.operators.quality import Suite
-from tidemark.operators.serving import dashboard_rows
+from tidemark.operators.silver import entity_events
+from tidemark.operators.serving import LATEST, dashboard_rows
 from tidemark.plans import catalog
-from tidemark.plans.backfill import backfill
+from tidemark.plans.backfill import backfill, with_event_time
 from tidemark.plans.driver_tables import ZONE, DriverTables, feed_rows, utc
 from tidemark.plans.lake import Lake
-from tidemark.plans.quality import history, record, run_checks
+from tidemark.plans.quality import check, history, record, run_checks
 from tidemark.plans.together import together
 from tidemark.session import scratch_dir
 from tidemark.sources import (
@@ -94,8 +95,11 @@ def _feeds(d: DriverTables) -> list[DataFrame]:
     return [d.feed(f) for f in CHANGE_FEEDS]
 
 
+SLICE_DAYS = 90  # the driver's tables have a few rows a day over seven years
+
+
 def _new_lake(d: DriverTables) -> Lake:
-    return Lake(d.spark, scratch_dir(d.spark), ZONE)
+    return Lake(d.spark, scratch_dir(d.spark), ZONE, slice_days=SLICE_DAYS)
 
 
 # -- sources -----------------------------------------------------------------
@@ -364,7 +368,7 @@ def _committed_kpis(d: DriverTables) -> Lake:
     lake, start = _new_lake(d), None
     for batch_id, (end, committed_at) in enumerate(COMMITS):
         lake.append(_commerce_between(d, start, end), "gold.commerce_kpis_1m", "kpis", batch_id,
-                    F.lit(committed_at))
+                    F.lit(committed_at), spread=True)
         start = end
     return lake
 
@@ -378,7 +382,8 @@ def query_snapshots(d: DriverTables) -> DataFrame:
 @_query("time_travel")
 def query_time_travel(d: DriverTables) -> DataFrame:
     table = "gold.commerce_kpis_1m"
-    return _stored(latest(_committed_kpis(d).read(table, AS_OF), table))
+    lake = _committed_kpis(d)
+    return _stored(latest(lake.newest(table, LATEST[table][1], AS_OF), table))
 
 
 @_query("time_travel_all_rows")
@@ -416,7 +421,8 @@ def query_catalog_listing(d: DriverTables) -> DataFrame:
     prefix = f"tm_{uuid.uuid4().hex[:12]}_"
     lake = _new_lake(d)
     catalog.create_tables(lake, prefix)
-    lake.append(bronze_changes(d.feed("orders"), "orders", ZONE), "bronze.orders_cdc", "load", 0)
+    lake.append(bronze_changes(d.feed("orders"), "orders", ZONE), "bronze.orders_cdc", "load", 0,
+                spread=True)
     try:
         names = [(row["namespace"].removeprefix(prefix), row["tableName"])
                  for layer in schemas.LAYERS
@@ -441,13 +447,22 @@ def query_schema_evolution(d: DriverTables) -> DataFrame:
 
 # -- serving -----------------------------------------------------------------
 
-# The layers of one run's tables, written once per data folder and session; the serving
-# queries read stored tables, as dashboards do.
+# The layers of one run's tables, written once per session and state of the input files; the
+# serving queries read stored tables, as dashboards do.
 _LOADED: dict[tuple, Lake] = {}
 
 
+def _state(d: DriverTables, name: str) -> tuple:
+    """Number and mark of a table's files, by their names, sizes and times."""
+    files = d.table(name).select("_metadata.file_path", "_metadata.file_size",
+                                 "_metadata.file_modification_time").distinct()
+    mark = F.xxhash64("file_path", "file_size", "file_modification_time").cast("decimal(38,0)")
+    return tuple(files.agg(F.count("*"), F.sum(mark)).first())
+
+
 def _loaded(d: DriverTables) -> Lake:
-    key = (d.spark.sparkContext.applicationId, d.sf_dir)
+    key = (d.spark.sparkContext.applicationId, d.sf_dir,
+           *(_state(d, name) for name in ("orders", "lineitem")))
     if key not in _LOADED or not _LOADED[key].committed("bronze.orders_cdc"):
         lake = _new_lake(d)
         feeds, ticks = dict(zip(CHANGE_FEEDS, _feeds(d))), d.feed("ticks")
@@ -460,13 +475,25 @@ def _loaded(d: DriverTables) -> Lake:
             "gold.crypto_market_kpis_1m": market_kpis(ticks, ZONE),
         }
         together(d.spark, *[
-            lambda t=t, df=df: lake.append(df, t, "load", 0) for t, df in tables.items()])
+            lambda t=t, df=df: lake.append(df, t, "load", 0, spread=True)
+            for t, df in tables.items()])
         _LOADED[key] = lake
     return _LOADED[key]
 
 
 def _latest(d: DriverTables, table: str) -> DataFrame:
-    return _stored(latest(_loaded(d).read(table), table))
+    return _stored(latest(_loaded(d).newest(table, LATEST[table][1]), table))
+
+
+@_query("load_layers")
+def query_load_layers(d: DriverTables) -> DataFrame:
+    """The stored tables that the serving queries read, written anew."""
+    for key in [k for k in _LOADED if k[1] == d.sf_dir]:
+        del _LOADED[key]
+    lake = _loaded(d)
+    return reduce(DataFrame.unionAll, [lake.snapshots(t).select(
+        F.lit(t).alias("table_name"), F.col("added_records").alias("row_count"))
+        for t in schemas.TABLE_DDL])
 
 
 @_query("latest_ticks")
@@ -499,7 +526,8 @@ def query_latest_behavior_kpis(d: DriverTables) -> DataFrame:
     """Behaviour events are stored, and no metric is made of them."""
     lake = _new_lake(d)
     backfill(lake, {"behavior": d.feed("behavior")}, "load")
-    return _stored(latest(lake.read("gold.behavior_kpis_1m"), "gold.behavior_kpis_1m"))
+    table = "gold.behavior_kpis_1m"
+    return _stored(latest(lake.newest(table, LATEST[table][1]), table))
 
 
 @_query("dashboard_rows")
@@ -535,7 +563,8 @@ def query_freshness(d: DriverTables) -> DataFrame:
         "gold.crypto_market_kpis_1m": lambda: market_kpis(d.feed("ticks"), ZONE),
     }
     together(d.spark, *[
-        lambda t=t, f=f: lake.append(produced(f()), t, "kpis", 0) for t, f in kpis.items()])
+        lambda t=t, f=f: lake.append(produced(f()), t, "kpis", 0, spread=True)
+        for t, f in kpis.items()])
     return freshness({t: lake.read(t) for t in kpis})
 
 
@@ -567,7 +596,8 @@ def _stored_kpis(d: DriverTables, *suites: Suite) -> Lake:
         MARKET_CHECK: lambda: market_kpis(d.feed("ticks"), ZONE),
     }
     together(d.spark, *[
-        lambda s=s: lake.append(_damaged(kpis[s]()), s.table, "kpis", 0) for s in suites])
+        lambda s=s: lake.append(_damaged(kpis[s]()), s.table, "kpis", 0, spread=True)
+        for s in suites])
     return lake
 
 
@@ -577,7 +607,7 @@ def _now(d: DriverTables) -> Column:
 
 
 def _checked(d: DriverTables, suite: Suite) -> DataFrame:
-    return suite_result(_stored_kpis(d, suite).read(suite.table), suite, _now(d), ZONE)
+    return check(_stored_kpis(d, suite), suite, _now(d))
 
 
 @_query("dq_commerce")
@@ -611,7 +641,7 @@ def query_dq_conservation(d: DriverTables) -> DataFrame:
     backfill(whole, {f: d.feed(f) for f in CHANGE_FEEDS}, "load")
     backfill(broken, {f: d.feed(f) for f in CHANGE_FEEDS[:2]}, "load")
     broken.append(bronze_changes(d.feed("refunds"), "refunds", ZONE), CHANGE_TABLES["refunds"][0],
-                  "load", 0)
+                  "load", 0, spread=True)
 
     def checked(lake: Lake, name: str) -> DataFrame:
         tables = [lake.read(CHANGE_TABLES[f][0]) for f in CHANGE_FEEDS]
@@ -639,10 +669,12 @@ def query_dq_history(d: DriverTables) -> DataFrame:
 
 # -- streams -----------------------------------------------------------------
 
-def _streamed(d: DriverTables, feeds: tuple[str, ...], jobs: tuple[str, ...]) -> Lake:
+def _streamed(d: DriverTables, feeds: tuple[str, ...], jobs: tuple[str, ...],
+              chained: bool = False) -> Lake:
     """Run streaming jobs over the tables' files until all input is processed."""
     lake = _new_lake(d)
-    run_available({f: (lambda f=f: d.feed(f, streaming=True)) for f in feeds}, lake, jobs)
+    run_available({f: (lambda f=f: d.feed(f, streaming=True)) for f in feeds}, lake, jobs,
+                  chained=chained)
     return lake
 
 
@@ -678,6 +710,49 @@ def query_stream_gold_market(d: DriverTables) -> DataFrame:
     return _stored(lake.read("gold.crypto_market_kpis_1m"))
 
 
+@_query("stream_market_chained")
+def query_stream_market_chained(d: DriverTables) -> DataFrame:
+    """Market metrics, and some columns of their bars, by one query with two windows."""
+    lake = _streamed(d, ("ticks",), ("ticks_chained",), chained=True)
+    stored = lake.read_together(("silver.crypto_ticks_1s", "gold.crypto_market_kpis_1m"))
+    bars = long_metrics(stored["silver.crypto_ticks_1s"], ["window_start", "symbol", "exchange"],
+                        ["tick_count", "traded_volume", "min_price", "sell_tick_count"])
+    return bars.unionByName(stored["gold.crypto_market_kpis_1m"].select(
+        "window_start", "symbol", F.lit(None).cast("string").alias("exchange"), "metric_name",
+        "metric_value"))
+
+
+@_query("commit_group")
+def query_commit_group(d: DriverTables) -> DataFrame:
+    """Rows of both tables of a job after a crash between its two writes, and after a retry."""
+    lake, cut, tables = _new_lake(d), F.lit(COMMITS[1][0]), ("bronze.orders_cdc",
+                                                             "silver.order_events")
+    early = F.col("o_orderdate") < cut
+
+    def commit(batch_id: int, part: Column, crash: bool = False) -> None:
+        rows = computed_columns(feed_rows(d.table("orders").where(part), "orders"), "orders")
+
+        def events() -> DataFrame:
+            if crash:
+                raise InterruptedError("driver lost")
+            raw = lake.read_batch(tables[0], "orders", batch_id)
+            return entity_events(with_event_time(raw, "orders"), "orders", ZONE)
+
+        lake.commit({tables[0]: lambda: bronze_changes(rows, "orders", ZONE), tables[1]: events},
+                    "orders", batch_id, spread=True)
+
+    def counted(state: str) -> DataFrame:
+        return table_counts(lake.read_together(tables)).select(F.lit(state).alias("state"), "*")
+
+    commit(0, early)
+    try:
+        commit(1, ~early, crash=True)
+    except InterruptedError:
+        broken = counted("crash")
+    commit(1, ~early)
+    return broken.unionByName(counted("retry"))
+
+
 @_query("stream_restart")
 def query_stream_restart(d: DriverTables) -> DataFrame:
     """Early orders drained, then later ones as a new generation, which has no checkpoint yet."""
@@ -741,6 +816,20 @@ def query_backfill_ranges(d: DriverTables) -> DataFrame:
     return _stored(kpis.unionByName(lake.read("gold.crypto_market_kpis_1m")))
 
 
+@_query("backfill_strays")
+def query_backfill_strays(d: DriverTables) -> DataFrame:
+    """Records whose event time lies hours or days from their record time, by feed."""
+    hours = {"orders": (97, -3), "refunds": (89, 50)}
+
+    def feed(name: str) -> DataFrame:
+        every, apart = hours[name]
+        key = d.rows(name).columns[0]
+        wait = F.make_dt_interval(hours=F.when(F.col(key) % every == 0, apart).otherwise(0))
+        return d.feed(name).withColumn("record_time", F.col("event_time") - wait)
+
+    return backfill(_new_lake(d), {name: feed(name) for name in hours}, "load")
+
+
 @_query("stream_gold_commerce")
 def query_stream_gold_commerce(d: DriverTables) -> DataFrame:
     jobs = tuple(f"{f}_kpis" for f in CHANGE_FEEDS)

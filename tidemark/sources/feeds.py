@@ -17,16 +17,18 @@ from tidemark.sources.decode import (
 
 SLACK = timedelta(hours=1)
 AVRO_FEEDS = ("behavior", "ticks")
+RECORD_TIME = "record_time"
 
 
 def kafka_options(feed: str, servers: str, *, streaming: bool = True,
                   max_offsets: int | None = None, min_partitions: int | None = None,
                   start: datetime | None = None, end: datetime | None = None,
-                  slack: timedelta = SLACK, **extra: str) -> dict[str, str]:
+                  slack: timedelta | None = SLACK, **extra: str) -> dict[str, str]:
     """Options of the broker source: read from the earliest offset, and fail on lost data.
 
     ``start`` and ``end`` bound a batch by record time, widened by ``slack``: event times
-    may lie that far from the time the broker got the record.
+    may lie that far from the time the broker got the record. Without slack the whole topic
+    is read.
     """
     options = {
         "kafka.bootstrap.servers": servers,
@@ -36,11 +38,11 @@ def kafka_options(feed: str, servers: str, *, streaming: bool = True,
     }
     if not streaming:
         options["endingOffsets"] = "latest"
-        if start is not None:
+        if start is not None and slack is not None:
             del options["startingOffsets"]
             options["startingTimestamp"] = f"{round((start - slack).timestamp() * 1000)}"
             options["startingOffsetsByTimestampStrategy"] = "latest"
-        if end is not None:
+        if end is not None and slack is not None:
             del options["endingOffsets"]
             options["endingTimestamp"] = f"{round((end + slack).timestamp() * 1000)}"
     elif max_offsets is not None:
@@ -69,20 +71,25 @@ def file_feed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "
 
 
 def open_feed(raw: DataFrame, feed: str, *, decoded: bool = False,
-              writers: dict[int, str] | None = None) -> DataFrame:
+              writers: dict[int, str] | None = None, record_time: bool = False) -> DataFrame:
     """Typed feed rows with computed columns; a NULL where the feed declares none fails.
 
     ``raw`` holds broker messages (``value``, ``timestamp``) or, with ``decoded``, rows that
     already have the feed's columns. ``writers`` maps registry ids to writer schemas.
+    ``record_time`` keeps the messages' time beside the rows, under that name; the behaviour
+    feed takes it as its event time anyway.
     """
+    kept = ("timestamp",) if record_time else ()
     if decoded:
         rows = raw
     elif feed not in AVRO_FEEDS:
-        rows = decode_json(raw, schemas.feed_schema(feed))
+        rows = decode_json(raw, schemas.feed_schema(feed), keep=kept)
     elif feed == "behavior":
         # The payload's own event_time gives way to the record timestamp.
         rows = decode_framed_avro(raw, feed, keep=("timestamp",), writers=writers)
         rows = rows.drop("event_time")
     else:
-        rows = decode_framed_avro(raw, feed, writers=writers)
+        rows = decode_framed_avro(raw, feed, keep=kept, writers=writers)
+    if kept and not decoded and feed != "behavior":
+        rows = rows.withColumnRenamed("timestamp", RECORD_TIME)
     return computed_columns(require_columns(rows, feed), feed)

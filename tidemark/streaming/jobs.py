@@ -17,7 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.bronze import CHANGE_TABLES, bronze_behavior, bronze_changes, bronze_ticks
-from tidemark.operators.gold import market_kpis, order_kpis, payment_kpis, refund_kpis
+from tidemark.operators.gold import (
+    bars_of_minutes,
+    chained_minutes,
+    kpis_of_minutes,
+    market_kpis,
+    order_kpis,
+    payment_kpis,
+    refund_kpis,
+)
 from tidemark.operators.silver import entity_events, silver_behavior, tick_bars
 from tidemark.plans.backfill import with_event_time
 from tidemark.plans.lake import Lake
@@ -38,7 +46,8 @@ class Sink:
 
 @dataclass(frozen=True)
 class Job:
-    """One streaming query. ``windowed`` jobs aggregate on the stream and have one sink.
+    """One streaming query. ``windowed`` jobs aggregate on the stream: by their only sink's
+    transform, or by ``aggregate``, from whose rows each sink then makes its own.
 
     The first sink of other jobs takes the feed's rows; later ones take the rows it stored.
     """
@@ -47,6 +56,7 @@ class Job:
     name: str
     windowed: bool
     sinks: tuple[Sink, ...]
+    aggregate: Callable[[DataFrame], DataFrame] | None = None
 
 
 def _changes(feed: str) -> Job:
@@ -77,16 +87,26 @@ JOBS = (
     )),
 )
 
+# Bars and market metrics by one query, which reads ticks once; bars then wait for the end of
+# their minute. Both tables get a minute by one commit.
+CHAINED = Job("ticks", "ticks_chained", True, (
+    Sink("silver.crypto_ticks_1s", bars_of_minutes),
+    Sink("gold.crypto_market_kpis_1m", kpis_of_minutes),
+), chained_minutes)
+CHAINED_JOBS = (*(job for job in JOBS if job.feed != "ticks" or not job.windowed), CHAINED)
+
 
 def _write_rows(job: Job, lake: Lake, writer: str) -> Callable[[DataFrame, int], None]:
-    """Messages are decoded once, into the first table; nothing is kept in memory."""
+    """Messages are decoded once, into the first table; nothing is kept in memory. All sinks
+    of a micro-batch become visible by one commit."""
     first, *later = job.sinks
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        lake.append(first.transform(batch, lake.zone), first.table, writer, batch_id)
-        for sink in later:
-            raw = lake.read_batch(first.table, writer, batch_id)
-            lake.append(sink.transform(raw, lake.zone), sink.table, writer, batch_id)
+        def derived(sink: Sink) -> DataFrame:
+            return sink.transform(lake.read_batch(first.table, writer, batch_id), lake.zone)
+
+        lake.commit({first.table: lambda: first.transform(batch, lake.zone)}
+                    | {s.table: lambda s=s: derived(s) for s in later}, writer, batch_id)
     return write
 
 
@@ -97,15 +117,22 @@ def _write_windows(job: Job, lake: Lake, writer: str) -> Callable[[DataFrame, in
     by now, so the write alone may use it: it then sizes files by bytes instead of leaving
     one small file per state partition.
     """
-    (sink,) = job.sinks
+    def rows_of(sink: Sink, batch: DataFrame) -> DataFrame:
+        return batch if job.aggregate is None else sink.transform(batch, lake.zone)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         conf = batch.sparkSession.conf
         before = conf.get(ADAPTIVE)
         conf.set(ADAPTIVE, "true")
+        several = len(job.sinks) > 1
+        if several:  # closed windows only; without this each sink would run the batch anew
+            batch.persist()
         try:
-            lake.append(batch.hint("rebalance"), sink.table, writer, batch_id)
+            lake.commit({s.table: lambda s=s: rows_of(s, batch) for s in job.sinks}, writer,
+                        batch_id, spread=True)
         finally:
+            if several:
+                batch.unpersist()
             conf.set(ADAPTIVE, before)
     return write
 
@@ -141,7 +168,9 @@ def start(job: Job, source: DataFrame, lake: Lake, trigger: dict | None = None,
     checkpoint = lake.checkpoint_path(writer)
     _claim(job, lake, generation, checkpoint)
     if job.windowed:
-        rows = job.sinks[0].transform(watermarked(source, job.feed, delay), lake.zone)
+        late = watermarked(source, job.feed, delay)
+        rows = (job.sinks[0].transform(late, lake.zone) if job.aggregate is None
+                else job.aggregate(late))
         write = _write_windows(job, lake, writer)
     else:
         rows, write = source, _write_rows(job, lake, writer)
@@ -157,19 +186,22 @@ def start(job: Job, source: DataFrame, lake: Lake, trigger: dict | None = None,
 
 def start_all(sources: dict[str, Callable[[], DataFrame]], lake: Lake,
               trigger: dict | None = None, only: tuple[str, ...] | None = None,
-              generation: str = "") -> list[StreamingQuery]:
-    """Start every job whose feed has a source. ``sources`` opens a feed's stream anew."""
+              generation: str = "", chained: bool = False) -> list[StreamingQuery]:
+    """Start every job whose feed has a source. ``sources`` opens a feed's stream anew.
+
+    ``chained`` computes bars and market metrics by one query (see ``CHAINED``)."""
     return [
         start(job, sources[job.feed](), lake, trigger, generation=generation)
-        for job in JOBS
+        for job in (CHAINED_JOBS if chained else JOBS)
         if job.feed in sources and (only is None or job.name in only)
     ]
 
 
 def run_available(sources: dict[str, Callable[[], DataFrame]], lake: Lake,
-                  only: tuple[str, ...] | None = None, generation: str = "") -> None:
+                  only: tuple[str, ...] | None = None, generation: str = "",
+                  chained: bool = False) -> None:
     """Process all input present, then stop. A failed query raises here."""
-    queries = start_all(sources, lake, DRAIN_TRIGGER, only, generation)
+    queries = start_all(sources, lake, DRAIN_TRIGGER, only, generation, chained)
     try:
         for query in queries:
             query.awaitTermination()
