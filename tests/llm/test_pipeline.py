@@ -5,16 +5,18 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import uuid
 from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.helpers import ODD, SCHEMA, clashing, documents, prose
 from tests.llm.test_mixing import filled
 from tests.llm.test_near_dedup import changed, word_set
 from tests.llm.test_tokens import check_pieces
-from tidemark.llm import mixing, quality
+from tidemark.llm import common, mixing, quality
 from tidemark.llm.common import stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -104,6 +106,51 @@ def test_pipeline(spark, tmp_path):
     check_pieces(list(map(tuple, pieces)), [r[:2] for r in want], 2048)
 
 
+def test_finished_stages_leave_no_scratch(spark, tmp_path, monkeypatch):
+    rows = [(i, prose(i, 40), f"src{i % 3}") for i in range(60)]
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id bigint, quality int, toxic int"
+                          ).write.parquet(str(tmp_path / "labels.parquet"))
+    monkeypatch.setattr(common, "scratch_dir",
+                        lambda _: str(tmp_path / "scratch" / uuid.uuid4().hex))
+    (tmp_path / "scratch").mkdir()
+
+    def folders():
+        return {p.name for p in (tmp_path / "scratch").iterdir()}
+
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for i, (_, apply) in enumerate(corpus_pipeline.STAGES):
+        before = folders()
+        result = apply(spark, docs, str(tmp_path))
+        assert not folders() & before  # what came before is gone, this stage's own is there
+        result.write.parquet(str(tmp_path / f"stage{i}"))
+        docs = spark.read.parquet(str(tmp_path / f"stage{i}"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
+
+
+def test_scratch_that_documents_are_read_from_stays(spark, tmp_path):
+    rows = [(i, prose(i, 40), "a") for i in range(20)] + [(50, prose(1, 40), "a")]
+    first = corpus_pipeline.exact_duplicates(spark, documents(spark, rows), "")
+    near = corpus_pipeline.near_duplicates(spark, first, "")
+    with common.collecting(corpus_pipeline._KEPT):
+        docs = stored(near)
+    assert corpus_pipeline.mix(spark, docs, "").count() == 20 and docs.count() == 20
+
+
+def test_stages_take_maps_and_any_names(spark):
+    rows = [*ODD, (7, "one"), (7, "one"), (40, prose(8, 4000))]
+    docs = clashing(documents(spark, rows)).withColumns({
+        "a.b": F.col("doc_id"), "m": F.create_map(F.lit("k"), "doc_id"), "x`y": F.lit(1)})
+    for apply in (corpus_pipeline.exact_duplicates, corpus_pipeline.near_duplicates,
+                  corpus_pipeline.mix):
+        found = apply(spark, docs, "")
+        assert found.columns == docs.columns
+        assert all(r["a.b"] == r.doc_id and r.m["k"] == r.doc_id for r in found.collect())
+    seven = docs.where("doc_id = 7")  # four rows alike
+    assert corpus_pipeline.exact_duplicates(spark, seven, "").count() == 1
+    assert corpus_pipeline.near_duplicates(spark, seven, "").count() == 1
+
+
 def test_no_documents(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(

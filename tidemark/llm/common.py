@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,6 +23,47 @@ TASK_ROWS = 100_000
 LEAST_TASKS = 8
 
 
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+@contextmanager
+def collecting(paths: list[str]) -> Iterator[None]:
+    """Names of the folders that ``stored`` writes meanwhile are added to ``paths``."""
+    token = _written.set(paths)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+
+
+def read_paths(df: DataFrame) -> set[str]:
+    """Folders and files that ``df`` reads, as its plan names them."""
+    found, leaves = set(), df._jdf.queryExecution().analyzed().collectLeaves().iterator()
+    while leaves.hasNext():
+        leaf = leaves.next()
+        if leaf.getClass().getSimpleName() == "LogicalRelation":
+            paths = leaf.relation().location().rootPaths().iterator()
+            while paths.hasNext():
+                found.add(paths.next().toUri().getPath())
+    return found
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def row_mark(columns: list[str]) -> Column:
+    """A hash of the named columns, of any types and names, that tells rows apart."""
+    return F.xxhash64(F.to_json(F.struct(*map(quoted, columns)), {"ignoreNullFields": "false"}))
+
+
+def quoted(name: str) -> Column:
+    """The column of exactly that name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def stored(df: DataFrame, rows: int | None = None, **options: str) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
@@ -29,6 +72,8 @@ def stored(df: DataFrame, rows: int | None = None, **options: str) -> DataFrame:
     number of narrow rows, keeps the files from being many and tiny.
     """
     path = scratch_dir(df.sparkSession)
+    if (collected := _written.get()) is not None:
+        collected.append(path)
     if rows is not None:
         df = df.coalesce(max(LEAST_TASKS, -(-rows // TASK_ROWS)))
     df.write.options(**options).parquet(path)

@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, stored, text_or_empty
+from tidemark.llm.common import SPACE, quoted, row_mark, stored, text_or_empty
 
 SALTS = 32
 
@@ -70,14 +70,20 @@ def duplicates(docs: DataFrame, salts: int = SALTS,
 def deduplicated(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """The row with the smallest ``doc_id`` of each group, with all columns of ``docs``.
 
-    Rows with equal text and ``doc_id`` are told apart by the rest of their columns.
+    Rows with equal text and ``doc_id`` are told apart by a hash of all their columns, which
+    may have any types and names.
     """
     body = normalised()
     rest = [c for c in docs.columns if c != "doc_id"]
-    row = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"),
-                   F.struct(*rest).alias("rest"))
-    merged = docs.groupBy(
-        sha256(body).alias("digest"), body.alias("body"), _salt(salts, "doc_id").alias("salt")
-    ).agg(F.min(row).alias("row"))
-    winners = merged.groupBy("digest", "body").agg(F.min("row").alias("row"))
-    return winners.select("row.doc_id", "row.rest.*").select(*docs.columns)
+    first = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"),
+                     row_mark(rest).alias("mark"))
+    rows = docs.select(
+        first.alias("first"), F.struct(*map(quoted, rest)).alias("rest"),
+        sha256(body).alias("digest"), body.alias("body"), _salt(salts, "doc_id").alias("salt"))
+
+    def least(df: DataFrame, *keys: str) -> DataFrame:
+        return df.groupBy("digest", "body", *keys).agg(
+            F.min("first").alias("first"), F.min_by("rest", "first").alias("rest"))
+
+    winners = least(least(rows, "salt")).select(F.col("first.doc_id"), "rest.*")
+    return winners.select(*map(quoted, docs.columns))

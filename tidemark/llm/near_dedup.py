@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, stored, text_or_empty
+from tidemark.llm.common import WORD, row_mark, stored, text_or_empty
 from tidemark.llm.components import components
 
 ROWS = 4          # coordinates per band
@@ -165,10 +165,8 @@ def sets_of(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.binary()), pa.array(sets, pa.binary())], ["set_id", "hashes"])
 
-    if needed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        needed = F.broadcast(needed)
     texts = docs.select("doc_id", "text").join(
-        needed, F.col("doc_id").eqNullSafe(F.col("least"))).select("set_id", "text")
+        small(needed), F.col("doc_id").eqNullSafe(F.col("least"))).select("set_id", "text")
     return texts.mapInArrow(recompute, "set_id binary, hashes binary")
 
 
@@ -377,7 +375,7 @@ def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
     """The row with the smallest ``doc_id`` of each group, with all columns of ``docs``.
 
     Documents without words are no one's copies and stay. Where several rows have that
-    ``doc_id``, those of the group are told apart by the rest of their columns.
+    ``doc_id``, those of the group are told apart by a hash of all their columns.
     """
     @F.pandas_udf("binary")
     def set_of(texts: pd.Series) -> pd.Series:
@@ -387,20 +385,29 @@ def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
     marks = stored(labelled(docs, size, percent).where(F.col("set_id").isNotNull()).select(
         "doc_id", "set_id", "root",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("named")))
-    ids = marks.groupBy(F.col("doc_id").alias("kept_id")).agg(
-        F.count("*").alias("rows"), F.max("named").alias("named")).where("named")
+    ids = marks.groupBy(F.col("doc_id").alias("of_id")).agg(
+        F.count("*").alias("rows"), F.max("named").alias("named"))
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.col("text"))
     wordless = rows.where(~text_or_empty().rlike(WORD))
     worded = rows.where(text_or_empty().rlike(WORD))
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id"))
-    found = worded.join(stored(ids.where("rows = 1")), same, "left_semi").select("row")
-    repeated = stored(ids.where("rows > 1"))
+    same = F.col("doc_id").eqNullSafe(F.col("of_id"))
+    # Ids that go, and those of several rows: fewer than the ids that stay.
+    others = stored(ids.where(~F.col("named") | (F.col("rows") > 1)))
+    found = worded.join(small(others.select("of_id")), same, "left_anti").select("row")
+    repeated = others.where("named")
     if not repeated.isEmpty():
         sets = marks.where("named").groupBy("doc_id", "root").agg(F.min("set_id").alias("kept_set"))
         sets = sets.select(F.col("doc_id").alias("set_of_id"), "kept_set")
-        several = worded.join(repeated, same, "left_semi").withColumn("of_set", set_of("text"))
+        several = worded.join(small(repeated.select("of_id")), same, "left_semi").withColumn(
+            "of_set", set_of("text"))
         of_group = several.join(sets, F.col("doc_id").eqNullSafe(F.col("set_of_id"))
                                 & (F.col("of_set") == F.col("kept_set")))
         found = found.unionAll(
-            of_group.groupBy("doc_id", "of_set").agg(F.min("row").alias("row")).select("row"))
+            of_group.withColumn("mark", row_mark(["row"])).groupBy("doc_id", "of_set").agg(
+                F.min_by("row", "mark").alias("row")).select("row"))
     return found.unionAll(wordless.select("row")).select("row.*")
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, a table of ids, to be broadcast where it is small enough."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
