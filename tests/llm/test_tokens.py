@@ -131,6 +131,37 @@ def test_training_order(spark, tmp_path, monkeypatch):
     assert training_order.materialised(empty, PATH, str(tmp_path / "none")).count() == 0
 
 
+def test_every_slot_holds_the_sequence_that_the_permutation_names(spark, tmp_path, monkeypatch):
+    """The exact ids at every slot, against one stream cut and dealt by plain Python."""
+    monkeypatch.setattr(training_order, "SHARD", 3)
+    monkeypatch.setattr(training_order, "LENGTH", 64)
+    rows = [*ODD, *((100 + i, prose(i, 5 * i)) for i in range(40))]
+    stream = [n for _, t in rows for n in [*ids(t), training_order.END_ID]]
+    cut = [stream[i:i + 64] for i in range(0, len(stream), 64)]
+    cut[-1] += [training_order.PAD] * (64 - len(cut[-1]))
+    keys = [int(k) for k in np.random.default_rng(9).integers(0, 1 << 63, training_order.ROUNDS)]
+    half = max(1, ((len(cut) - 1).bit_length() + 1) // 2)
+
+    def slot(number):
+        while True:
+            left, right = number >> half, number & (1 << half) - 1
+            for key in keys:
+                x = (right + key) % 2 ** 64
+                x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2 ** 64
+                x = (x ^ x >> 27) * 0x94D049BB133111EB % 2 ** 64
+                left, right = right, left ^ (x ^ x >> 31) & (1 << half) - 1
+            number = left << half | right
+            if number < len(cut):
+                return number
+
+    docs, folder = documents(spark, rows).coalesce(1), str(tmp_path / "shards")
+    found = training_order.materialised(docs, PATH, folder, key=9).collect()
+    assert {r.sequence: r.slot for r in found} == {i: slot(i) for i in range(len(cut))}
+    stored = [s.tolist() for s in training_order.read_from(folder)]
+    assert len(stored) == len(cut) > training_order.RUN * 3
+    assert all(stored[slot(i)] == piece for i, piece in enumerate(cut))
+
+
 def test_wide_vocabulary(spark, tmp_path, monkeypatch):
     """Ids beyond 16 bits come back whole, and are refused where they don't fit."""
     monkeypatch.setattr(training_order, "LENGTH", 64)

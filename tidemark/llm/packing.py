@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
-from tidemark.llm.tokens import Encoder
+from tidemark.llm.tokens import encoder
 
 WINDOW = 2048
 END_ID = 1
@@ -36,7 +36,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     kind = docs.schema["doc_id"].dataType
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = Encoder(tokenizer), end_id.to_bytes(4, "little")
+        ids_of, end = encoder(tokenizer), end_id.to_bytes(4, "little")
         part, place, names = TaskContext.get().partitionId(), 0, None
         rows: list[tuple] = []
         size = 0

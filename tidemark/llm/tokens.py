@@ -24,7 +24,7 @@ RUN = re.compile(f"[{WHITE}]+")
 # Fixed value: how the byte-level pre-tokenizer splits text.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 LONG_RUN = 500_000  # white space in a row; the faster library fails from 1,000,000 on
-REMEMBERED = 400_000  # units a task keeps, the first it meets; others are encoded each time
+REMEMBERED = 1_200_000  # units a worker keeps, about 200 bytes each; others are computed anew
 
 
 class Irregular(Exception):
@@ -139,6 +139,11 @@ class Encoder:
         return len(text) >= LONG_RUN and any(
             m.end() - m.start() >= LONG_RUN for m in RUN.finditer(text))
 
+    def count(self, text: str | None) -> int:
+        if self.fast is None or self.long_run(text or ""):
+            return len(self.array(text))
+        return len(self.fast.encode_to_numpy(text or "", allowed_special="all"))
+
     def array(self, text: str | None) -> np.ndarray:
         if self.fast is None or self.long_run(text or ""):
             found = self.library.encode(text or "", add_special_tokens=False).ids
@@ -147,3 +152,9 @@ class Encoder:
 
     def __call__(self, text: str | None) -> bytes:
         return self.array(text).tobytes()
+
+
+@lru_cache(maxsize=4)
+def encoder(path: str, dtype: str = "<u4") -> Encoder:
+    """An encoder that the tasks of a worker process share."""
+    return Encoder(path, dtype)

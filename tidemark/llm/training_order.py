@@ -6,7 +6,7 @@ training order: a balanced Feistel network over the smallest square power of two
 them all, walked along its cycle until the slot is inside the range. Every slot is taken
 once, and no table of slots exists.
 
-Slots are dealt out by ranges; each range is sorted and written as shards of a fixed number
+Slots are dealt out by ranges, ``RUN`` shards each; a range is sorted and written as shards of a fixed number
 of sequences with a fixed stride, so slot ``s`` lies in shard ``s // SHARD`` at byte
 ``(s % SHARD) * stride``. A reader that stops at a slot goes on there by one seek.
 
@@ -33,10 +33,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
 from tidemark.llm.files import Output, Ranges, locate
-from tidemark.llm.tokens import Encoder, largest_id
+from tidemark.llm.tokens import encoder, largest_id
 
 LENGTH = 2048     # tokens per sequence
 SHARD = 8192      # sequences per shard
+RUN = 4           # consecutive shards that one task writes
 END_ID = 50256
 PAD = 50256
 ROUNDS = 6
@@ -95,9 +96,9 @@ class Permutation:
 def token_totals(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``(part, sequences)``: sequences that each task of the second pass will have."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, total = Encoder(tokenizer, id_type(tokenizer)), 0
+        encode, total = encoder(tokenizer, id_type(tokenizer)), 0
         for batch in batches:
-            total += sum(len(encode.array(t)) + 1 for t in batch.column(0).to_pylist())
+            total += sum(encode.count(t) + 1 for t in batch.column(0).to_pylist())
         if total:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([TaskContext.get().partitionId()], pa.int32()),
@@ -112,7 +113,7 @@ def sequences(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dtype, names = np.dtype(id_type(tokenizer)), None
-        encode, part = Encoder(tokenizer, dtype), TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer, dtype.str), TaskContext.get().partitionId()
         rows: list[tuple] = []
         held, members, filled, place = [], [], 0, 0
 
@@ -181,19 +182,21 @@ def materialised(docs: DataFrame, tokenizer: str, folder: str, key: int = 1) ->
         if out is not None:
             out.close()
 
-    shards = -(-count // SHARD) or 1
+    tasks = -(-count // (SHARD * RUN)) or 1
     placed = (
         sequences(docs, tokenizer).join(starts, "part")
         .withColumn("sequence", F.col("before") + F.col("place"))
         .withColumn("slot", slot_of("sequence"))
         .select("slot", "sequence", F.floor(F.col("slot") / SHARD).alias("shard"), "doc_ids",
                 "n_tokens", F.crc32("ids").alias("crc"), "ids")
-        .repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("slot")
+        .repartitionById(tasks, F.floor(F.col("shard") / RUN).cast("int"))
+        .sortWithinPartitions("slot")
     )
     written = stored(placed.mapInArrow(
         write, f"slot bigint, sequence bigint, shard bigint, doc_ids array<{kind}>, "
                "n_tokens bigint, crc bigint"))
-    taken = written.agg(F.count("*"), F.max("slot"), F.sum("slot")).first()
+    total = F.sum(F.col("slot").cast("decimal(38,0)"))  # beyond a long from 4.3e9 slots on
+    taken = written.agg(F.count("*"), F.max("slot"), total).first()
     if count and tuple(taken) != (count, count - 1, count * (count - 1) // 2):
         raise ValueError("the two passes saw different rows; store the documents first")
     system, path = locate(folder)
