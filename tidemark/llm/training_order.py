@@ -6,7 +6,7 @@ training order: a balanced Feistel network over the smallest square power of two
 them all, walked along its cycle until the slot is inside the range. Every slot is taken
 once, and no table of slots exists.
 
-Slots are dealt out by ranges, ``RUN`` shards each; a range is sorted and written as shards of a fixed number
+Slots are dealt out by ranges of ``run`` shards; a range is sorted and written as shards of a fixed number
 of sequences with a fixed stride, so slot ``s`` lies in shard ``s // SHARD`` at byte
 ``(s % SHARD) * stride``. A reader that stops at a slot goes on there by one seek.
 
@@ -37,7 +37,7 @@ from tidemark.llm.tokens import encoder, largest_id
 
 LENGTH = 2048     # tokens per sequence
 SHARD = 8192      # sequences per shard
-RUN = 4           # consecutive shards that one task writes
+RUN = 1           # consecutive shards that one task sorts and writes
 END_ID = 50256
 PAD = 50256
 ROUNDS = 6
@@ -150,10 +150,12 @@ def sequences(docs: DataFrame, tokenizer: str) -> DataFrame:
         cut, f"part int, place bigint, doc_ids array<{kind}>, n_tokens bigint, ids binary")
 
 
-def materialised(docs: DataFrame, tokenizer: str, folder: str, key: int = 1) -> DataFrame:
+def materialised(docs: DataFrame, tokenizer: str, folder: str, key: int = 1,
+                 run: int = RUN) -> DataFrame:
     """Write the shards; ``(slot, sequence, shard, offset, doc_ids, n_tokens, ids_crc32)``.
 
-    ``folder`` also gets ``layout.json`` with what a reader needs.
+    ``folder`` also gets ``layout.json`` with what a reader needs. ``run`` consecutive shards are
+    one task's: more make fewer tasks, and need more memory in each.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     totals = token_totals(docs, tokenizer)
@@ -182,14 +184,14 @@ def materialised(docs: DataFrame, tokenizer: str, folder: str, key: int = 1) ->
         if out is not None:
             out.close()
 
-    tasks = -(-count // (SHARD * RUN)) or 1
+    tasks = -(-count // (SHARD * run)) or 1
     placed = (
         sequences(docs, tokenizer).join(starts, "part")
         .withColumn("sequence", F.col("before") + F.col("place"))
         .withColumn("slot", slot_of("sequence"))
         .select("slot", "sequence", F.floor(F.col("slot") / SHARD).alias("shard"), "doc_ids",
                 "n_tokens", F.crc32("ids").alias("crc"), "ids")
-        .repartitionById(tasks, F.floor(F.col("shard") / RUN).cast("int"))
+        .repartitionById(tasks, F.floor(F.col("shard") / run).cast("int"))
         .sortWithinPartitions("slot")
     )
     written = stored(placed.mapInArrow(
