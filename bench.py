@@ -16,7 +16,7 @@ from tidemark.session import build_session  # noqa: E402
 
 HEADLINE = (
     "gold_market", "gold_commerce", "silver_ticks_1s", "silver_order_events", "bronze_ticks",
-    "scan_orders_cdc", "cdc_unwrap", "json_tolerant_decode", "latest_ticks",
+    "scan_orders_cdc", "cdc_unwrap", "json_tolerant_decode", "load_layers", "latest_ticks",
     "latest_market_kpis", "table_counts", "dq_checkpoint", "freshness", "time_travel",
     "create_tables", "stream_gold_market", "stream_silver_order_events",
 )
