@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 from rows import values
@@ -11,10 +12,11 @@ from tidemark.operators import (
     MARKET_SUITE,
     checkpoint,
     conservation,
+    content_conservation,
     rejected_rows,
     suite_result,
 )
-from tidemark.operators.quality import CHECKPOINT
+from tidemark.operators.quality import CHECKPOINT, fingerprint
 from tidemark.plans.quality import history, record, run_checks
 
 NOW = datetime(2026, 3, 13, 12, 0)
@@ -96,6 +98,36 @@ def test_conservation(spark):
     assert values(conservation([spark.range(2)], spark.range(5))) == [(2, 5, False)]
 
 
+def test_contents_tell_a_swap_from_equal_counts(spark):
+    ddl = "entity_type string, event_time timestamp_ntz, event_id string, amount decimal(12,2)"
+    day = datetime(2026, 3, 13, 12)
+    rows = [("order", day, "1", None), ("order", day, "2", None), ("order", day, None, None),
+            ("order", None, "3", None), ("refund", day, "1", None)]
+
+    def compared(found):
+        df = content_conservation(
+            spark.createDataFrame(rows, ddl), spark.createDataFrame(found, ddl),
+            ("entity_type", "event_time", "event_id", "amount"))
+        return {(r[0], r[1] and r[1].day): tuple(r[2:]) for r in df.collect()}
+
+    same = {("order", 13): (3, 3, True), ("order", None): (1, 1, True),
+            ("refund", 13): (1, 1, True)}
+    assert compared(rows[::-1]) == same
+    swap = [rows[0], rows[0], *rows[2:]]
+    assert compared(swap) == same | {("order", 13): (3, 3, False)}
+    moved = [rows[0], rows[1], ("order", day, None, Decimal("1.00")), *rows[3:]]
+    assert compared(moved) == same | {("order", 13): (3, 3, False)}
+    assert compared(rows[:-1]) == same | {("refund", 13): (1, 0, False)}
+    assert compared([*rows, ("refund", None, "7", None)]) == same | {("refund", None): (0, 1, False)}
+    assert all(not r[2] for r in compared([]).values())
+
+
+def test_a_null_is_no_empty_place_in_the_mark(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None)], "x string, y string")
+    marks = df.groupBy("x", "y").agg(fingerprint("x", "y").alias("m")).select("m").distinct()
+    assert marks.count() == 2
+
+
 def test_results_are_kept_per_run(spark, lake):
     at = datetime(2026, 3, 13, 12, 0)
     lake.append(commerce(spark, GOOD), "gold.commerce_kpis_1m", "w", 0)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 from datetime import datetime, timedelta, timezone
 from decimal import Decimal
 
@@ -16,6 +17,7 @@ from tidemark.sources import (
     computed_columns,
     decode_json,
     file_feed,
+    hand_over,
     kafka_options,
     open_feed,
     query_batch,
@@ -160,6 +162,68 @@ def test_snapshot_rows_come_first_with_op_r(spark):
         (1, ms(1), ms(2), "r", ms(60)), (2, ms(70), ms(70), "c", ms(70))]
 
 
+def handed_over(spark, snapshot, changes, **bounds):
+    rows = spark.createDataFrame(snapshot, "k bigint, __op string, at bigint")
+    log = spark.createDataFrame(changes, "k bigint, __op string, at bigint, note string")
+    return hand_over(rows, log, "k", "at", **bounds)
+
+
+def test_handover_counts_each_change_once(spark):
+    snapshot = [(1, "r", 100), (2, "r", 110), (3, "r", None), (4, "r", 105), (4, "r", 109)]
+    kept = [(1, "u", 101), (2, "d", 111), (3, "u", 104), (4, "u", 110), (9, "c", 105),
+            (9, "d", 108), (5, "c", 500), (1, "u", 900), (6, "u", None), (None, "c", 107)]
+    held = [(1, "u", 100), (2, "c", 110), (2, "u", 104), (4, "u", 106), (8, "c", 100),
+            (7, "c", 3)]
+    got = handed_over(spark, snapshot, [(*r, "n") for r in kept + held])
+    assert values(got) == sorted([(*r, None) for r in snapshot] + [(*r, "n") for r in kept],
+                                 key=repr)
+
+
+def test_handover_of_an_empty_side(spark):
+    changes = [(1, "c", 5, "n"), (2, "c", 50, "n"), (3, "c", None, "n")]
+    assert handed_over(spark, [], changes).count() == 3
+    assert values(handed_over(spark, [], changes, begun=F.lit(5)), "k") == [(2,), (3,)]
+    assert values(handed_over(spark, [(1, "r", 5)], []), "k") == [(1,)]
+
+
+def test_handover_joins_only_what_the_snapshot_may_hold(spark, tmp_path):
+    spark.range(100).selectExpr("id AS k", "'u' AS __op", "id AS at").write.parquet(f"{tmp_path}/l")
+    log = spark.read.parquet(f"{tmp_path}/l")
+    snapshot = spark.range(3).selectExpr("id AS k", "'r' AS __op", "40 + id AS at")
+    plan = hand_over(snapshot, log, "k", "at", F.lit(40), F.lit(42))._jdf.queryExecution().toString()
+    assert "GreaterThan(at,40), LessThanOrEqual(at,42)" in plan
+    assert "GreaterThan(at,42)" in plan
+
+
+def test_handover_gives_the_state_of_the_whole_log(spark):
+    """Rows read at any time while the log goes on: the last operation per key is the log's."""
+    rng = random.Random(7)
+    log, rows = [], []
+    for key in range(60):
+        times = sorted(rng.sample(range(1, 300), rng.randint(1, 4)))
+        ops = ["c"] + ["u"] * (len(times) - 1)
+        if len(times) > 1 and rng.random() < 0.5:
+            ops[-1] = "d"
+        log += [(key, op, at, "n") for op, at in zip(ops, times)]
+        read_at = 100 + key
+        seen = [op for op, at in zip(ops, times) if at <= read_at]
+        if seen and seen[-1] != "d":
+            rows.append((key, "r", read_at))
+    got = handed_over(spark, rows, log, begun=F.lit(100)).collect()
+
+    def alive(entries):
+        last = {}
+        for key, op, at, *_ in sorted(entries, key=lambda r: r[2]):
+            last[key] = op
+        return {k for k, op in last.items() if op != "d"}
+
+    assert alive(got) == alive(log)
+    seen = [r for r in got if r["__op"] != "r"]
+    read = {k: at for k, _, at in rows}
+    assert all(r["at"] > read.get(r["k"], 100) for r in seen)
+    assert len(seen) == sum(at > read.get(k, 100) for k, _, at, _ in log)
+
+
 def test_routing_keeps_listed_tables(spark):
     log = spark.createDataFrame(
         [("public", "orders", 1), ("public", "refunds", 2), ("public", "users", 3),

@@ -13,6 +13,7 @@ from tidemark.operators.quality import (
     MARKET_SUITE,
     checkpoint,
     conservation,
+    content_conservation,
     rejected_rows,
     suite_result,
 )
@@ -35,6 +36,7 @@ __all__ = [
     "commerce_kpis",
     "conform",
     "conservation",
+    "content_conservation",
     "freshness",
     "latest",
     "latest_per_entity",

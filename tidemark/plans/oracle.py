@@ -348,6 +348,22 @@ SQL = {
                CASE WHEN created >= TIMESTAMP '1999-01-01' THEN __source_ts_ms END
                    AS __source_ts_ms
         FROM o"""),
+    "snapshot_handover": """
+        WITH o AS (SELECT o_orderkey AS order_id, epoch_ms(o_orderdate) AS placed,
+                          CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount,
+                          epoch_ms(TIMESTAMP '1997-01-01') AS begun,
+                          epoch_ms(TIMESTAMP '1997-01-01') + (o_orderkey % 60) * 86400000
+                              AS read_at FROM orders),
+        log AS (SELECT *, 'c' AS __op, placed AS position FROM o
+                UNION ALL SELECT *, 'u', placed + 20 * 86400000::BIGINT FROM o WHERE order_id % 3 = 0
+                UNION ALL SELECT *, 'd', placed + 40 * 86400000::BIGINT FROM o WHERE order_id % 5 = 0),
+        snapshot AS (SELECT * FROM o WHERE placed <= read_at
+                     AND NOT (order_id % 5 = 0 AND placed + 40 * 86400000::BIGINT <= read_at))
+        SELECT order_id, total_amount, 'r' AS __op, read_at AS position FROM snapshot
+        UNION ALL
+        SELECT order_id, total_amount, __op, position FROM log
+        WHERE position > begun
+          AND NOT (order_id IN (SELECT order_id FROM snapshot) AND position <= read_at)""",
     "cdc_route": _with("opr", """
         SELECT 'raw.cdc.commerce.public.orders' AS topic, order_id AS entity_id, __op FROM o
         UNION ALL SELECT 'raw.cdc.commerce.public.payments', payment_id, __op FROM p
@@ -437,6 +453,17 @@ SQL = {
               SELECT 'broken', (SELECT count(*) FROM o) + (SELECT count(*) FROM p)
                      + (SELECT count(*) FROM r),
                      (SELECT count(*) FROM o) + (SELECT count(*) FROM p))""", EVENT_UNION),
+    "dq_contents": _with("opr", """
+        SELECT load, entity_type, day, n AS expected_rows, n AS found_rows,
+               load = 'whole' OR entity_type <> 'order' OR day NOT IN (SELECT day FROM ends)
+                   AS equal
+        FROM days, (VALUES ('whole'), ('swapped')) AS loads(load)""", EVENT_UNION, """
+        ends AS (SELECT CAST(event_time AS DATE) AS day, min(CAST(event_id AS BIGINT)) AS first,
+                        max(CAST(event_id AS BIGINT)) AS last
+                 FROM order_events WHERE entity_type = 'order' AND day(event_time) = 7
+                 GROUP BY 1 HAVING first < last)""", """
+        days AS (SELECT entity_type, CAST(event_time AS DATE) AS day, count(*) AS n
+                 FROM order_events GROUP BY ALL)"""),
     "dq_last_day": _both(CHECKPOINT, *LAST_DAY),
     "dq_history": _both(f"""
         SELECT suite, observed_rows, success

@@ -24,6 +24,7 @@ from tidemark.operators import (
     bronze_ticks,
     commerce_kpis,
     conservation,
+    content_conservation,
     freshness,
     latest,
     latest_per_entity,
@@ -50,6 +51,7 @@ from tidemark.sources import (
     allow_listed,
     computed_columns,
     decode_json,
+    hand_over,
     open_feed,
     query_batch,
     read_evolved,
@@ -192,6 +194,37 @@ def query_snapshot_bootstrap(d: DriverTables) -> DataFrame:
     return snapshot_then_changes(snapshot_rows(table, "orders"), changes)
 
 
+# The snapshot of the handover is read in chunks by key, a day after the other from this one on;
+# the log begins before it.
+SNAPSHOT_DAY, SNAPSHOT_CHUNKS, LOG_DAY = date(1997, 1, 1), 60, date(1996, 11, 1)
+UPDATED_AFTER, DELETED_AFTER = 20, 40  # days
+
+
+@_query("snapshot_handover")
+def query_snapshot_handover(d: DriverTables) -> DataFrame:
+    """A snapshot read in chunks while orders are created, updated and deleted, and their log."""
+    orders = feed_rows(d.table("orders"), "orders")
+    key, day = F.col("order_id"), F.lit(86_400_000).cast("bigint")
+    placed = F.col("created_at_ms")
+
+    def changes(op: str, days: int, part: Column) -> DataFrame:
+        return orders.where(part).select(
+            "order_id", "total_amount", F.lit(op).alias("__op"),
+            (placed + days * day).alias("position"))
+
+    begun = F.unix_millis(F.lit(SNAPSHOT_DAY).cast("timestamp"))
+    read_at = begun + F.pmod(key, F.lit(SNAPSHOT_CHUNKS)) * day
+    deleted = F.pmod(key, F.lit(5)) == 0
+    log = (changes("c", 0, F.lit(True))
+           .unionAll(changes("u", UPDATED_AFTER, F.pmod(key, F.lit(3)) == 0))
+           .unionAll(changes("d", DELETED_AFTER, deleted)))
+    present = (placed <= read_at) & ~(deleted & (placed + DELETED_AFTER * day <= read_at))
+    snapshot = orders.where(present).select(
+        "order_id", "total_amount", F.lit("r").alias("__op"), read_at.alias("position"))
+    kept = log.where(F.col("position") >= F.unix_millis(F.lit(LOG_DAY).cast("timestamp")))
+    return hand_over(snapshot, kept, "order_id", "position", begun)
+
+
 @_query("cdc_route")
 def query_cdc_route(d: DriverTables) -> DataFrame:
     """A mixed change log; lines of shipments come from a table that is not captured."""
@@ -651,6 +684,33 @@ def query_dq_conservation(d: DriverTables) -> DataFrame:
     return checked(whole, "whole").unionByName(checked(broken, "broken"))
 
 
+@_query("dq_contents")
+def query_dq_contents(d: DriverTables) -> DataFrame:
+    """Event tables against the change tables they are made from, by entity and day. In one
+    load the 7th of each month has lost its first order event and holds its last one twice."""
+    lake = _new_lake(d)
+    backfill(lake, {f: d.feed(f) for f in CHANGE_FEEDS}, "load")
+    expected = reduce(DataFrame.unionByName, [
+        entity_events(with_event_time(lake.read(CHANGE_TABLES[f][0]), f), f, ZONE)
+        for f in CHANGE_FEEDS])
+    events = lake.read("silver.order_events")
+
+    number = F.col("event_id").cast("bigint")
+    on_7th = (F.col("entity_type") == "order") & (F.dayofmonth("event_time") == 7)
+    ends = events.where(on_7th).groupBy(F.col("event_time").cast("date").alias("day")).agg(
+        F.min(number).alias("first"), F.max(number).alias("last")).where("first < last")
+    day = F.when(on_7th, F.col("event_time").cast("date"))
+    copies = (F.when(number == F.col("first"), 0).when(number == F.col("last"), 2)
+              .otherwise(1))
+    swapped = events.withColumn("event_day", day).join(
+        ends, F.col("event_day") == ends["day"], "left").withColumn(
+        "copy", F.explode(F.sequence(F.lit(1), F.lit(2)))).where(
+        F.col("copy") <= F.when(F.col("first").isNull(), 1).otherwise(copies))
+    return reduce(DataFrame.unionByName, [
+        content_conservation(expected, found).select(F.lit(load).alias("load"), "*")
+        for load, found in (("whole", events), ("swapped", swapped))])
+
+
 @_query("dq_last_day")
 def query_dq_last_day(d: DriverTables) -> DataFrame:
     """Both suites as they ship: the last day before the newest order."""

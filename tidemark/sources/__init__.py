@@ -1,5 +1,6 @@
 from tidemark.sources.changes import (
     allow_listed,
+    hand_over,
     route,
     snapshot_rows,
     snapshot_then_changes,
@@ -22,6 +23,7 @@ __all__ = [
     "decode_framed_avro",
     "decode_json",
     "file_feed",
+    "hand_over",
     "kafka_feed",
     "kafka_options",
     "open_feed",

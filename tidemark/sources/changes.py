@@ -66,6 +66,40 @@ def snapshot_then_changes(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
     return snapshot.unionByName(changes, allowMissingColumns=True)
 
 
+def hand_over(snapshot: DataFrame, changes: DataFrame, key: str, position: str,
+              begun: Column | None = None, ended: Column | None = None) -> DataFrame:
+    """Snapshot rows, then the changes that they do not hold yet.
+
+    ``position`` orders the source's log. A snapshot row has the position at which it was read,
+    so that chunks read one after another may differ, and a change its own. Both sides may
+    overlap. A change is in the snapshot already, and left out,
+
+    - at or below the position of its key's row, or
+    - at or below ``begun``, where the snapshot was opened, whatever its key.
+
+    A key without a row was absent when its chunk was read: what happened to it since ``begun``
+    is nowhere else, so its changes stay. The same goes for changes without a position. A row
+    without one counts as read at ``begun``; of rows that repeat a key the last position counts.
+
+    ``begun`` and ``ended`` are the first and last positions of the snapshot, by default the
+    rows' own. Changes above ``ended`` can't be in it: only those between the two are joined,
+    so the shuffle is bounded by the time that the snapshot took, not by the log.
+    """
+    read = snapshot.select(F.col(key).alias("read_key"), F.col(position).alias("read_at"))
+    # Both are NULL without rows: then there is nothing that a change could repeat.
+    begun = read.agg(F.min("read_at")).scalar() if begun is None else begun
+    ended = read.agg(F.max("read_at")).scalar() if ended is None else ended
+    at, last = F.col(position), F.greatest(begun, ended)
+    after = changes.where(at.isNull() | (at > last) | last.isNull())
+    within = changes.where((at > begun) & (at <= ended))
+    newest = read.where("read_key IS NOT NULL").groupBy("read_key").agg(
+        F.max("read_at").alias("read_at"))
+    unread = within.join(newest, (F.col(key) == F.col("read_key")) & (at <= F.col("read_at")),
+                         "left_anti")
+    return (snapshot.unionByName(unread, allowMissingColumns=True)
+            .unionByName(after, allowMissingColumns=True))
+
+
 def allow_listed(df: DataFrame, tables: tuple[str, ...] = schemas.CAPTURED_TABLES,
                  prefix: str = schemas.TOPIC_PREFIX) -> DataFrame:
     """Keep changes of the listed ``schema.table`` names and add their ``topic``."""
