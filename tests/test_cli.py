@@ -28,6 +28,11 @@ def test_check_reports_the_verdict_and_latest_shows_rows(spark, tmp_path, capsys
     assert "orders_created" in capsys.readouterr().out
     assert main(["snapshots", *common, "--table", "gold.commerce_kpis_1m"]) == 0
     assert "w-0" in capsys.readouterr().out
+    entry = ("orders_rows", "r", 0, start, 1, 41, 40, None, 0, 0)
+    lake.append(spark.createDataFrame([entry], schemas.table_schema("ops.job_batches")),
+                "ops.job_batches", "log", 0)
+    assert main(["accounts", *common]) == 0
+    assert "orders_rows" in capsys.readouterr().out
 
 
 def test_arguments():

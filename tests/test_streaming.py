@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -14,7 +15,8 @@ from tidemark.operators import commerce_kpis, market_kpis, order_events, tick_ba
 from tidemark.operators.gold import chained_minutes
 from tidemark.plans.lake import Lake
 from tidemark.sources import file_feed, open_feed
-from tidemark.streaming import jobs
+from tidemark.streaming import accounts, jobs
+from tidemark.streaming.accounts import TABLE, BatchLog, account, totals
 from tidemark.streaming.watermarks import watermarked
 
 MARKET = "gold.crypto_market_kpis_1m"
@@ -327,3 +329,65 @@ def test_a_crash_between_the_sinks_of_a_job_shows_neither(spark, lake, topic, mo
     assert [df.count() for df in lake.read_together(tables).values()] == [0, 0]
     run(lake, t, only=("orders_rows",))
     assert [df.count() for df in lake.read_together(tables).values()] == [7, 7]
+
+
+def test_accounts_tell_dropped_rows_from_open_ones(spark, lake, topic):
+    t = topic("ticks").add(tick(1, 1, 1, 30)).add(tick(2, 1, 1, 70))
+    t.add(tick(3, 1, 1, 40), tick(4, 1, 1, 71))
+    # Three late rows of two windows, which Spark's own figure counts as two.
+    t.add(tick(5, 1, 1, 50), tick(6, 1, 1, 51), tick(7, 1, 1, 52, symbol="E"), tick(8, 1, 1, 200))
+    only = ("ticks_kpis_1m", "ticks_bars_1s")
+    jobs.run_available({"ticks": t.stream}, lake, only, counted=True)
+    row = account(lake, "ticks_kpis_1m", MARKET).first()
+    assert (row["rows"], row["closed_rows"], row["open_rows"], row["dropped_rows"]) == (8, 4, 1, 3)
+    assert row["dropped_groups"] == 2
+    t.add(tick(9, 1, 1, 53), tick(10, 1, 1, 400))  # goes on in the next run
+    jobs.run_available({"ticks": t.stream}, lake, only, counted=True)
+    # Both jobs closed the windows of ticks 1 to 4 and 8, and have that of tick 10 open.
+    for job, table in (("ticks_kpis_1m", MARKET), ("ticks_bars_1s", BARS)):
+        row = account(lake, job, table).first()
+        got = (row["rows"], row["closed_rows"], row["open_rows"], row["dropped_rows"])
+        assert got == (10, 5, 1, 4), job
+
+
+def test_rejects_are_counted_per_job(spark, lake, topic):
+    o = topic("orders").add(order(1, 5, 0), "not json", "[]").add("null", order(2, 5, 100), "{}")
+    jobs.run_available({"orders": o.stream}, lake, ("orders_rows",), counted=True)
+    row = totals(lake).first()
+    assert (row["job"], row["records"], row["rows"], row["rejects"]) == ("orders_rows", 6, 3, 3)
+    assert (row["batches"], row["missing_batches"]) == (2, 0)
+
+
+def test_gaps_in_the_accounts_are_shown(spark, lake, topic):
+    t = topic("ticks").add(tick(1, 1, 1, 0)).add(tick(2, 1, 1, 100))
+    run(lake, t, only=("ticks_kpis_1m",))  # nobody listened
+    assert account(lake, "ticks_kpis_1m", MARKET).count() == 0
+    t.add(tick(3, 1, 1, 300))
+    jobs.run_available({"ticks": t.stream}, lake, ("ticks_kpis_1m",), counted=True)
+    assert totals(lake).first()["missing_batches"] > 0
+    assert account(lake, "ticks_kpis_1m", MARKET).first()["dropped_rows"] is None
+
+
+def test_a_batch_that_ran_again_counts_once(spark, lake):
+    at = datetime(2026, 3, 13)
+    schema = schemas.table_schema(TABLE)
+
+    def entry(run, batch, later, records):
+        return ("j", run, batch, at + timedelta(seconds=later), 1, records, records, None, 0, 0)
+
+    lake.append(spark.createDataFrame([entry("a", 0, 0, 5), entry("a", 1, 1, 7)], schema),
+                TABLE, "log-a", 0)
+    lake.append(spark.createDataFrame([entry("b", 1, 9, 8)], schema), TABLE, "log-b", 0)
+    row = totals(lake).first()
+    assert (row["batches"], row["records"], row["missing_batches"]) == (2, 13, 0)
+
+
+def test_the_log_of_batches_is_stored_when_it_is_full(spark, lake, topic, monkeypatch):
+    monkeypatch.setattr(accounts, "KEPT_ROWS", 1)
+    o = topic("orders").add(order(1, 5, 0)).add(order(2, 5, 100))
+    with BatchLog(lake) as log:
+        for query in jobs.start_all({"orders": o.stream}, lake, jobs.DRAIN_TRIGGER,
+                                    ("orders_rows",), counted=True):
+            query.awaitTermination()
+    assert not log._rows and totals(lake).first()["batches"] == 2
+    assert len(lake.committed(TABLE)) == 1

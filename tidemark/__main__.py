@@ -19,6 +19,7 @@ from tidemark.plans.quality import record
 from tidemark.session import build_session
 from tidemark.sources import kafka_feed, open_feed
 from tidemark.streaming import jobs
+from tidemark.streaming.accounts import BatchLog, totals
 
 
 def writer_schemas(path: str) -> dict[int, str]:
@@ -67,6 +68,7 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--end", type=datetime.fromisoformat)
     sub = command("check", "run the quality suites and keep the results")
     sub.add_argument("--run-id", type=int, required=True)
+    command("accounts", "show what the streaming jobs took, left out and dropped")
     sub = command("latest", "show the newest rows of a table")
     sub.add_argument("--table", choices=list(LATEST), required=True)
     sub.add_argument("--as-of", help="time with zone, as 2026-03-13 12:00:00 Asia/Seoul")
@@ -85,12 +87,13 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "stream":
         if args.state_partitions:
             spark.conf.set("spark.sql.shuffle.partitions", args.state_partitions)
-        jobs.await_all(jobs.start_all({
-            feed: lambda feed=feed: open_feed(kafka_feed(
-                spark, feed, args.servers, max_offsets=args.max_offsets,
-                min_partitions=args.min_partitions), feed, writers=args.writers)
-            for feed in args.feeds
-        }, lake, generation=args.generation))
+        with BatchLog(lake) as log:
+            jobs.await_all(jobs.start_all({
+                feed: lambda feed=feed: open_feed(kafka_feed(
+                    spark, feed, args.servers, max_offsets=args.max_offsets,
+                    min_partitions=args.min_partitions), feed, writers=args.writers)
+                for feed in args.feeds
+            }, lake, generation=args.generation, counted=True), log=log)
     elif args.command == "backfill":
         start, end = (t and in_zone(t, lake.zone) for t in (args.start, args.end))
         bounded = args.slack_minutes >= 0
@@ -110,6 +113,8 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "latest":
         rows = lake.newest(args.table, LATEST[args.table][1], args.as_of)
         latest(rows, args.table).show(LATEST[args.table][1], False)
+    elif args.command == "accounts":
+        totals(lake).orderBy("job").show(1000, False)  # a row per job
     else:
         for row in lake.snapshots(args.table).toLocalIterator():  # all of them, never at once
             print(*row, sep="\t")

@@ -349,6 +349,13 @@ class Lake:
             back = 2 * back + max(self.slice_days, 1)
         return self._resolved(table, as_of, log)
 
+    def read_writer(self, table: str, writer: str, last: int) -> DataFrame:
+        """Committed rows of one writer up to batch ``last``."""
+        mark = self.committed(table).get(writer, -1)
+        rows = self._read(stored_schema(table), self.data_path(table))
+        return rows.where(marks_filter({writer: min(mark, last)})).select(
+            *schemas.table_schema(table).names)
+
     def read_batch(self, table: str, writer: str, batch_id: int) -> DataFrame:
         """Rows of one batch."""
         leaf = self._leaf(self.data_path(table), writer, batch_id)

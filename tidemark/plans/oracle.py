@@ -528,6 +528,21 @@ SQL = {
     "stream_late_rows": _with(
         "t", f"SELECT * {_closed('market', 't', 'event_ts')}",
         MARKET_WIDE.replace("FROM t)", f"FROM t WHERE NOT ({LATE}))"), MARKET),
+    # The closed windows of the late rows' stream, and those that its watermark has not passed.
+    "stream_dropped_rows": _with("t", f"""
+        SELECT job, count(*) AS rows, count(*) FILTER (NOT late AND closed) AS closed_rows,
+               count(*) FILTER (NOT late AND NOT closed) AS open_rows,
+               count(*) FILTER (late) AS dropped_rows
+        FROM (SELECT job, {LATE} AS late, time_bucket(size, event_ts) + size <= (
+                  SELECT max(event_ts) - INTERVAL 5 SECOND FROM t) AS closed
+              FROM t, (VALUES ('ticks_kpis_1m', INTERVAL 1 MINUTE),
+                              ('ticks_bars_1s', INTERVAL 1 SECOND)) AS jobs(job, size))
+        GROUP BY job"""),
+    "stream_rejects": _with("o", """
+        SELECT 'orders_rows' AS job, 0::BIGINT AS missing_batches, count(*) AS records,
+               count(*) FILTER (order_id % 11 <> 0) AS rows,
+               count(*) FILTER (order_id % 11 = 0) AS rejects, 0::BIGINT AS dropped_groups
+        FROM o"""),
     "stream_idle_feed": _with("opr", " UNION ALL ".join((
         f"SELECT {LISTED} {_closed('kpis', 'o', 'event_time')} "
         "AND metric_name IN ('orders_created', 'gross_order_value')",

@@ -60,6 +60,7 @@ from tidemark.sources import (
     table_scan,
     unwrap,
 )
+from tidemark.streaming.accounts import account, totals
 from tidemark.streaming.jobs import run_available
 
 CHANGE_FEEDS = ("orders", "payments", "refunds")
@@ -827,7 +828,8 @@ def query_stream_restart(d: DriverTables) -> DataFrame:
     return _stored(lake.read("bronze.orders_cdc"))
 
 
-def _drained(d: DriverTables, jobs: tuple[str, ...], *parts: dict[str, DataFrame]) -> Lake:
+def _drained(d: DriverTables, jobs: tuple[str, ...], *parts: dict[str, DataFrame],
+             counted: bool = False) -> Lake:
     """Feed rows that arrive part after part; all that has come is processed each time."""
     lake, root = _new_lake(d), scratch_dir(d.spark)
 
@@ -839,19 +841,47 @@ def _drained(d: DriverTables, jobs: tuple[str, ...], *parts: dict[str, DataFrame
     for part in parts:
         for feed, rows in part.items():
             rows.write.mode("append").parquet(f"{root}/{feed}")
-        run_available(sources, lake, jobs)
+        run_available(sources, lake, jobs, counted=counted)
     return lake
 
 
-@_query("stream_late_rows")
-def query_stream_late_rows(d: DriverTables) -> DataFrame:
+def _late_ticks(d: DriverTables, jobs: tuple[str, ...], counted: bool = False) -> Lake:
     """Every tenth order's early ticks arrive after later ticks have closed their windows."""
     shipped, cut = d.table("lineitem"), F.lit(COMMITS[0][0])
     early = F.col("l_shipdate") < cut
     late = early & (F.col("l_orderkey") % 10 == 0)
-    lake = _drained(d, ("ticks_kpis_1m",), *[
-        {"ticks": feed_rows(shipped.where(part), "ticks")} for part in (early & ~late, ~early, late)])
-    return _stored(lake.read("gold.crypto_market_kpis_1m"))
+    return _drained(d, jobs, *[
+        {"ticks": feed_rows(shipped.where(part), "ticks")}
+        for part in (early & ~late, ~early, late)], counted=counted)
+
+
+@_query("stream_late_rows")
+def query_stream_late_rows(d: DriverTables) -> DataFrame:
+    return _stored(_late_ticks(d, ("ticks_kpis_1m",)).read("gold.crypto_market_kpis_1m"))
+
+
+@_query("stream_dropped_rows")
+def query_stream_dropped_rows(d: DriverTables) -> DataFrame:
+    """What became of the rows of ``stream_late_rows``, by job."""
+    jobs = {"ticks_kpis_1m": "gold.crypto_market_kpis_1m",
+            "ticks_bars_1s": "silver.crypto_ticks_1s"}
+    lake = _late_ticks(d, tuple(jobs), counted=True)
+    found = reduce(DataFrame.unionByName, [account(lake, j, t) for j, t in jobs.items()])
+    return found.drop("dropped_groups")
+
+
+@_query("stream_rejects")
+def query_stream_rejects(d: DriverTables) -> DataFrame:
+    """Order messages as a stream, every eleventh cut short: records, rows and rejects."""
+    root = scratch_dir(d.spark)
+    text = F.when(F.col("key") % 11 == 0, F.substring("value", 1, 40)).otherwise(F.col("value"))
+    d.messages("orders").select(text.alias("value")).write.parquet(root)
+    lake = _new_lake(d)
+    messages = d.spark.readStream.schema("value string")
+    run_available({"orders": lambda: open_feed(messages.parquet(root), "orders")}, lake,
+                  ("orders_rows",), counted=True)
+    return totals(lake).select("job", "missing_batches", "records", "rows", "rejects",
+                               "dropped_groups")
 
 
 @_query("stream_idle_feed")

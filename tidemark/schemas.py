@@ -149,10 +149,15 @@ AVRO_RECORDS = {
 }
 
 # --------------------------------------------------------------------------
-# End of fixed values. The quality result table is this library's own.
+# End of fixed values. The tables of quality results and of jobs are this library's own.
 # --------------------------------------------------------------------------
 
 QUALITY_DDL = "suite STRING, observed_rows BIGINT, success BOOLEAN, checked_at TIMESTAMP_NTZ"
+BATCHES_DDL = """
+    job STRING, run_id STRING, batch BIGINT, started_at TIMESTAMP_NTZ, duration_ms BIGINT,
+    records BIGINT, rows BIGINT, watermark TIMESTAMP_NTZ, dropped_groups BIGINT,
+    state_rows BIGINT"""
+OWN_DDL = {"quality.results": QUALITY_DDL, "ops.job_batches": BATCHES_DDL}
 
 
 @cache
@@ -165,9 +170,7 @@ def feed_schema(feed: str) -> T.StructType:
 
 
 def table_schema(table: str) -> T.StructType:
-    if table == "quality.results":
-        return parse(QUALITY_DDL)
-    return parse(TABLE_DDL[table])
+    return parse(OWN_DDL[table] if table in OWN_DDL else TABLE_DDL[table])
 
 
 def envelope_schema(row: T.StructType) -> T.StructType:

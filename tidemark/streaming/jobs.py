@@ -8,7 +8,9 @@ restart are recognised, so each batch lands once.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -29,6 +31,7 @@ from tidemark.operators.gold import (
 from tidemark.operators.silver import entity_events, silver_behavior, tick_bars
 from tidemark.plans.backfill import with_event_time
 from tidemark.plans.lake import Lake
+from tidemark.streaming.accounts import BatchLog, observed
 from tidemark.streaming.watermarks import watermarked
 
 LIVE_TRIGGER = {"processingTime": "30 seconds"}
@@ -158,15 +161,20 @@ def _claim(job: Job, lake: Lake, generation: str, checkpoint: str) -> None:
 
 
 def start(job: Job, source: DataFrame, lake: Lake, trigger: dict | None = None,
-          delay: str | None = None, generation: str = "") -> StreamingQuery:
+          delay: str | None = None, generation: str = "",
+          counted: bool = False) -> StreamingQuery:
     """Start one job on ``source``, the opened stream of its feed.
 
+    ``counted`` has the rows of each micro-batch counted behind the decoder, for a ``BatchLog``.
+
     A ``generation`` has its own checkpoint and its own batches: naming a new one is how to
     start over, or to replay input into the same lake.
     """
     writer = writer_of(job, generation)
     checkpoint = lake.checkpoint_path(writer)
     _claim(job, lake, generation, checkpoint)
+    if counted:
+        source = observed(source)
     if job.windowed:
         late = watermarked(source, job.feed, delay)
         rows = (job.sinks[0].transform(late, lake.zone) if job.aggregate is None
@@ -186,12 +194,13 @@ def start(job: Job, source: DataFrame, lake: Lake, trigger: dict | None = None,
 
 def start_all(sources: dict[str, Callable[[], DataFrame]], lake: Lake,
               trigger: dict | None = None, only: tuple[str, ...] | None = None,
-              generation: str = "", chained: bool = False) -> list[StreamingQuery]:
+              generation: str = "", chained: bool = False,
+              counted: bool = False) -> list[StreamingQuery]:
     """Start every job whose feed has a source. ``sources`` opens a feed's stream anew.
 
     ``chained`` computes bars and market metrics by one query (see ``CHAINED``)."""
     return [
-        start(job, sources[job.feed](), lake, trigger, generation=generation)
+        start(job, sources[job.feed](), lake, trigger, generation=generation, counted=counted)
         for job in (CHAINED_JOBS if chained else JOBS)
         if job.feed in sources and (only is None or job.name in only)
     ]
@@ -199,22 +208,31 @@ def start_all(sources: dict[str, Callable[[], DataFrame]], lake: Lake,
 
 def run_available(sources: dict[str, Callable[[], DataFrame]], lake: Lake,
                   only: tuple[str, ...] | None = None, generation: str = "",
-                  chained: bool = False) -> None:
-    """Process all input present, then stop. A failed query raises here."""
-    queries = start_all(sources, lake, DRAIN_TRIGGER, only, generation, chained)
-    try:
-        for query in queries:
-            query.awaitTermination()
-    finally:
-        for query in queries:
-            query.stop()
+                  chained: bool = False, counted: bool = False) -> None:
+    """Process all input present, then stop. A failed query raises here.
+
+    ``counted`` stores the accounts of each micro-batch (see ``BatchLog``)."""
+    with BatchLog(lake) if counted else nullcontext():
+        queries = start_all(sources, lake, DRAIN_TRIGGER, only, generation, chained, counted)
+        try:
+            for query in queries:
+                query.awaitTermination()
+        finally:
+            for query in queries:
+                query.stop()
 
 
-def await_all(queries: list[StreamingQuery], poll_seconds: int = 5) -> None:
-    """Wait on live queries; the first one that ends stops the others, and a failure raises."""
+def await_all(queries: list[StreamingQuery], poll_seconds: int = 5,
+              log: BatchLog | None = None, store_seconds: int = 300) -> None:
+    """Wait on live queries; the first one that ends stops the others, and a failure raises.
+    Accounts in ``log`` are stored every ``store_seconds``."""
+    stored = time.monotonic()
     try:
         while queries and all(query.isActive for query in queries):
             queries[0].awaitTermination(poll_seconds)
+            if log is not None and time.monotonic() - stored >= store_seconds:
+                log.flush()
+                stored = time.monotonic()
         for query in queries:
             if not query.isActive:
                 query.awaitTermination()
