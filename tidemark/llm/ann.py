@@ -8,13 +8,13 @@ steps is most likely to hold near vectors: the sum of the squared distances to t
 step borders, least first. Vectors from all visited buckets are merged, and compared by
 their true inner product in double precision.
 
-Vectors are dealt out in slices by a hash of their id, so equal vectors and full buckets
-spread over all tasks. Blocks of queries visit every slice; each task yields the best ``k``
+Vectors are dealt out in slices by a hash of their row's number, so equal vectors, repeated
+ids and full buckets spread over all tasks. Blocks of queries visit every slice; each task yields the best ``k``
 per query, and these are merged. Nothing but the largest length reaches the driver.
 
 Defined cases: vectors that are null, empty, zero, of another length than most, or that hold
-null or non-finite numbers take no part, nor do rows without an id. Of rows that repeat an
-id the smallest vector counts. Ties go to the smaller id. A slice in which a query's buckets
+null or non-finite numbers take no part, nor do rows without an id. Rows that repeat an id are
+each a query and a candidate of their own, also of one another. Ties go to the smaller id. A slice in which a query's buckets
 hold fewer than ``LEAST * k`` vectors is compared whole, so small tables are answered exactly. An
 empty table gives an empty result.
 """
@@ -82,18 +82,18 @@ class Hasher:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """``(vec_id, vector)`` of the vectors that take part."""
+    """``(vec_id, vector)`` of the rows that take part."""
     number = F.col("vector")
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vector")).where(
+    return vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vector")).where(
         F.col("vec_id").isNotNull() & number.isNotNull()
         & F.forall(number, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists(number, lambda x: x != 0))
-    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
 
 
 def indexed(vectors: DataFrame) -> tuple[DataFrame, Hasher | None]:
-    """``(vec_id, vector, keys)`` of every usable vector, stored, and the hasher."""
-    rows = stored(usable(vectors))
+    """``(vec_id, vector, row, keys)`` of every usable row, stored, and the hasher. ``row``
+    is a number that tells rows apart; it is stored before anything uses it."""
+    rows = stored(usable(vectors).withColumn("row", F.monotonically_increasing_id()))
     sizes = rows.groupBy(F.size("vector").alias("size")).count()
     dimension = sizes.orderBy(F.desc("count"), "size").limit(1).first()
     if dimension is None:
@@ -108,11 +108,11 @@ def indexed(vectors: DataFrame) -> tuple[DataFrame, Hasher | None]:
             keys = hasher.stored_keys(matrix(batch.column(1)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(list(keys), pa.list_(pa.int64()))],
-                ["vec_id", "vector", "keys"])
+                ["vec_id", "vector", "row", "keys"])
 
     kind = rows.schema["vec_id"].dataType.simpleString()
     return stored(rows.mapInArrow(
-        hash_all, f"vec_id {kind}, vector array<double>, keys array<bigint>")), hasher
+        hash_all, f"vec_id {kind}, vector array<double>, row bigint, keys array<bigint>")), hasher
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -135,8 +135,9 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 class Slice:
     """A slice of the index: its vectors, and their places by bucket key."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, keys: np.ndarray):
-        self.ids, self.vectors = ids, vectors
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, vectors: np.ndarray,
+                 keys: np.ndarray):
+        self.ids, self.rows, self.vectors = ids, rows, vectors
         flat = keys.ravel()
         order = np.argsort(flat, kind="stable")
         self.sorted, self.places = flat[order], order // keys.shape[1]
@@ -150,8 +151,8 @@ class Slice:
                 found[self.places[i:j]] = True
         return found
 
-    def nearest(self, query_id: int, query: np.ndarray, probes: np.ndarray, k: int):
-        other = self.ids != query_id
+    def nearest(self, row: int, query: np.ndarray, probes: np.ndarray, k: int):
+        other = self.rows != row
         found = np.flatnonzero(self.visited(probes) & other)
         if len(found) < LEAST * k:
             found = np.flatnonzero(other)
@@ -169,7 +170,7 @@ class Slice:
 def nearest(index: DataFrame, hasher: Hasher | None, queries: DataFrame, k: int) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest of each row of ``queries``."""
     kind = index.schema["vec_id"].dataType.simpleString()
-    schema = f"query_id {kind}, vec_id {kind}, score double"
+    schema = f"query_row bigint, query_id {kind}, vec_id {kind}, score double"
     if hasher is None:
         return index.sparkSession.createDataFrame([], schema).select(
             "query_id", F.lit(0).alias("rank"), "vec_id", "score")
@@ -179,7 +180,7 @@ def nearest(index: DataFrame, hasher: Hasher | None, queries: DataFrame, k: int)
             keys = [hasher.probes(v) for v in matrix(batch.column(1))] if len(batch) else []
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(keys, pa.list_(pa.int64()))],
-                ["vec_id", "vector", "keys"])
+                ["vec_id", "vector", "row", "keys"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in by_task(batches):
@@ -188,34 +189,37 @@ def nearest(index: DataFrame, hasher: Hasher | None, queries: DataFrame, k: int)
             if not len(stock) or not len(asked):
                 continue
             ids = stock.column("vec_id").to_numpy(zero_copy_only=False)
-            part = Slice(ids, matrix(stock.column("vector")), matrix(stock.column("keys")))
+            part = Slice(ids, stock.column("row").to_numpy(), matrix(stock.column("vector")),
+                         matrix(stock.column("keys")))
             vectors, probes = matrix(asked.column("vector")), matrix(asked.column("keys"))
-            for at, name in enumerate(asked.column("vec_id").to_pylist()):
-                found, scores = part.nearest(name, vectors[at], probes[at], k)
+            names, rows = (asked.column(c).to_pylist() for c in ("vec_id", "row"))
+            for at, (name, row) in enumerate(zip(names, rows)):
+                found, scores = part.nearest(row, vectors[at], probes[at], k)
                 if len(found):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([name] * len(found), asked.schema.field("vec_id").type),
+                        [pa.array([row] * len(found), pa.int64()),
+                         pa.array([name] * len(found), asked.schema.field("vec_id").type),
                          pa.array(found, asked.schema.field("vec_id").type), pa.array(scores)],
-                        ["query_id", "vec_id", "score"])
+                        ["query_row", "query_id", "vec_id", "score"])
 
     asked = stored(queries.mapInArrow(
-        probe, f"vec_id {kind}, vector array<double>, keys array<bigint>"))
+        probe, f"vec_id {kind}, vector array<double>, row bigint, keys array<bigint>"))
     slices, blocks = (max(1, -(-df.count() // SLICE)) for df in (index, asked))
 
     def dealt(salt: int, count: int):
-        return F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(count)).cast("int")
+        return F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(count)).cast("int")
 
     def every(count: int):
         return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
-    columns = ("vec_id", "vector", "keys")
+    columns = ("vec_id", "vector", "row", "keys")
     tasks = index.select(dealt(1, slices).alias("slice"), every(blocks).alias("block"),
                          F.lit(False).alias("asking"), *columns).unionAll(
         asked.select(every(slices).alias("slice"), dealt(2, blocks).alias("block"),
                      F.lit(True).alias("asking"), *columns))
     found = (tasks.repartition(slices * blocks, "slice", "block")
              .sortWithinPartitions("slice", "block").mapInArrow(search, schema))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
 
@@ -239,5 +243,5 @@ def by_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 def search(vectors: DataFrame, every_nth: int, k: int) -> DataFrame:
     """Search for the rows of ``vectors`` whose id is divisible by ``every_nth``."""
     index, hasher = indexed(vectors)
-    queries = index.where(F.col("vec_id") % every_nth == 0).select("vec_id", "vector")
+    queries = index.where(F.col("vec_id") % every_nth == 0).select("vec_id", "vector", "row")
     return nearest(index, hasher, queries, k)
