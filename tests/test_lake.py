@@ -1,7 +1,8 @@
 from __future__ import annotations
 
 import time
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -452,3 +453,24 @@ def test_a_backfill_reports_records_beyond_the_slack(spark, lake):
     # A range's report covers what was read for it, also outside the range.
     part = backfill(lake, {"orders": orders}, "c", end=datetime(2026, 3, 13, 3, 0, 1))
     assert part.first()["records"] == 10 and lake.read("bronze.orders_cdc").count() == 21
+
+
+def test_a_repeated_hour_is_kept_apart(spark, tmp_path):
+    """01:30 comes twice in New York on 2026-11-01: two minutes, two bars, two sums."""
+    lake = Lake(spark, str(tmp_path / "l"), "America/New_York")
+    first = int(datetime(2026, 11, 1, 5, 30, tzinfo=timezone.utc).timestamp() * 1000)
+    ticks = [(f"t{i}", "BTC-USD", "x", float(i), 1.0, "BUY", f"x{i}", "test", first + ms)
+             for i, ms in enumerate([0, 1, 3_600_000, 3_600_001, 3_600_002, 7_200_000])]
+    orders = [(i, 7, "CREATED", 5, "KRW", None, ms, ms, "c", ms)
+              for i, ms in enumerate([first, first + 3_600_000])]
+    feeds = {"ticks": feed(spark, "ticks", ticks), "orders": feed(spark, "orders", [
+        (*r[:3], Decimal(5), *r[4:]) for r in orders])}
+    backfill(lake, feeds, "a")
+    at = datetime(2026, 11, 1, 1, 30)
+    counts = lake.read("gold.crypto_market_kpis_1m").where("metric_name = 'tick_count_1m'")
+    assert values(counts, "window_start", "metric_value") == [
+        (at, 2.0), (at, 3.0), (at + timedelta(hours=1), 1.0)]
+    bars = lake.read("silver.crypto_ticks_1s")
+    assert sorted(r.tick_count for r in bars.collect()) == [1, 2, 3]
+    created = lake.read(KPIS).where("metric_name = 'orders_created'")
+    assert values(created, "window_start", "metric_value") == [(at, 1.0), (at, 1.0)]

@@ -7,8 +7,16 @@ from pyspark.sql import functions as F
 from rows import feed, order, payment, refund, values
 
 from tidemark import schemas
-from tidemark.operators import freshness, latest, latest_per_entity, table_counts
-from tidemark.operators.serving import ROW_LIMIT, dashboard_rows
+from tidemark.operators import (
+    freshness,
+    lag_sketches,
+    latest,
+    latest_per_entity,
+    merged_freshness,
+    table_counts,
+)
+from tidemark.operators.serving import RANK_ERROR, ROW_LIMIT, dashboard_rows
+from tidemark.plans.freshness import TABLE, by_day, measure
 
 START = datetime(2026, 3, 13, 12, 0)
 
@@ -68,3 +76,42 @@ def test_freshness(spark):
     assert (row["measured_rows"], row["max_lag_ms"], row["rows_in_target"]) == (3, 11000, 2)
     assert row["avg_lag_ms"] == pytest.approx(5000) and row["p95_lag_ms"] == 11000
     assert freshness({"t": df.where(F.lit(False))}).count() == 0
+
+
+def test_merged_sketches_are_within_the_rank_error(spark):
+    """40,000 lags of four days in 96 hourly sketches; one lag has a third of all rows."""
+    rows = spark.range(40_000).select(
+        F.timestamp_add("SECOND", (F.col("id") * 8).cast("int"),
+                        F.lit(START).cast("timestamp_ntz")).alias("window_end"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.pmod(F.xxhash64("id"), F.lit(100_000)))
+        .alias("lag"))
+    rows = rows.withColumn("produced_at", F.timestamp_add("SECOND", F.col("lag").cast("int"),
+                                                          F.col("window_end")))
+    hours = lag_sketches(rows, [])
+    assert hours.count() == 89
+    lags = sorted(r[0] * 1000 for r in rows.select("lag").collect())
+    for percentile in (0.05, 0.5, 0.95, 0.99):
+        got = merged_freshness(hours, percentile=percentile).first()
+        below = sum(v < got.percentile_ms for v in lags) / len(lags)
+        upto = sum(v <= got.percentile_ms for v in lags) / len(lags)
+        assert below - RANK_ERROR <= percentile <= upto + RANK_ERROR
+    assert (got.measured_rows, got.timed_rows, got.max_lag_ms) == (40_000, 40_000, lags[-1])
+    assert got.avg_lag_ms == pytest.approx(sum(lags) / len(lags))
+
+
+def test_freshness_takes_each_batch_once(spark, lake):
+    table, tables = "gold.commerce_kpis_1m", ("gold.commerce_kpis_1m",)
+    late = [(START + timedelta(days=d), f"m{m}", 1, START + timedelta(days=d, seconds=60 + m))
+            for d in (0, 1) for m in (1, 2, 9)]
+    assert not measure(lake, tables)
+    lake.append(kpis(spark, late[:4]), table, "a", 0)
+    assert measure(lake, tables) and not measure(lake, tables)
+    lake.append(kpis(spark, late[4:]), table, "b", 0)
+    lake.append(kpis(spark, [(START, "x", 1, None), (None, "y", 1, START)]), table, "a", 1)
+    assert measure(lake, tables)
+    assert lake.read(TABLE).select("source_writer", "source_batch").distinct().count() == 3
+    got = {r.day and r.day.day: r for r in by_day(lake).collect()}
+    assert [(d, r.measured_rows, r.timed_rows, r.max_lag_ms, r.rows_in_target, r.percentile_ms)
+            for d, r in sorted(got.items(), key=lambda x: x[0] or 0)] == [
+        (None, 1, 0, None, 0, None), (13, 4, 3, 9000, 2, 9000), (14, 3, 3, 9000, 2, 9000)]
+    assert got[13].avg_lag_ms == 4000

@@ -1,7 +1,9 @@
 from tidemark.functions.aggregates import count_where, mean, null_safe_sum, ratio_or_zero
 from tidemark.functions.times import (
+    clock_goes_back,
     epoch_ms_to_ts,
     first_event_time,
+    hour_floor,
     millis_between,
     minute_floor,
     processing_time,
@@ -12,9 +14,11 @@ from tidemark.functions.times import (
 )
 
 __all__ = [
+    "clock_goes_back",
     "count_where",
     "epoch_ms_to_ts",
     "first_event_time",
+    "hour_floor",
     "mean",
     "millis_between",
     "minute_floor",

@@ -7,6 +7,9 @@ so the session zone (and its DST gaps) never enters.
 
 from __future__ import annotations
 
+from datetime import date, datetime, time, timedelta, timezone
+from zoneinfo import ZoneInfo
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,5 +64,25 @@ def zoned_instant(text: str) -> Column:
     return F.lit(text).cast("timestamp")
 
 
+def hour_floor(ntz: Column) -> Column:
+    """The full hour of a wall-clock time, without a detour over the session zone."""
+    hours = F.floor(millis_between(F.expr(EPOCH), ntz) / 3_600_000).cast("int")
+    return F.timestamp_add("HOUR", hours, F.expr(EPOCH))
+
+
+def clock_goes_back(zone: str, first: date, last: date) -> bool:
+    """Whether some wall-clock time of these days comes twice in ``zone``."""
+    here, day = ZoneInfo(zone), timedelta(days=1)
+    at = datetime.combine(max(first, date.min + 2 * day), time(), timezone.utc) - day
+    end = datetime.combine(min(last, date.max - 3 * day), time(), timezone.utc) + 2 * day
+    offset = at.astimezone(here).utcoffset()
+    while at < end:
+        at += day
+        before, offset = offset, at.astimezone(here).utcoffset()
+        if offset < before:
+            return True
+    return False
+
+
 def minute_floor(ts: Column) -> Column:
     return F.date_trunc("minute", ts)

@@ -19,8 +19,10 @@ from tidemark.operators.quality import (
 )
 from tidemark.operators.serving import (
     freshness,
+    lag_sketches,
     latest,
     latest_per_entity,
+    merged_freshness,
     table_counts,
 )
 from tidemark.operators.silver import order_events, silver_behavior, tick_bars
@@ -38,11 +40,13 @@ __all__ = [
     "conservation",
     "content_conservation",
     "freshness",
+    "lag_sketches",
     "latest",
     "latest_per_entity",
     "long_metrics",
     "market_kpis",
     "market_kpis_from_bars",
+    "merged_freshness",
     "order_events",
     "order_kpis",
     "payment_kpis",

@@ -109,7 +109,9 @@ def market_kpis_from_bars(bars: DataFrame, zone: str = schemas.LOCAL_ZONE) -> Da
     """The same metrics from one-second bars.
 
     A backfill that has just written the bars reads them instead of all ticks. Counts and
-    price ranges are equal; sums of doubles may differ in the last place.
+    price ranges are equal; sums of doubles may differ in the last place. Stored bars have
+    wall-clock times: where a clock goes back, two of them may be the same, and minutes must
+    be made from the instants of ticks (``market_kpis``), as ``backfill`` does there.
     """
     wide = tumble(bars, "window_start", MINUTE, ["symbol"], _kpis_of_bars(), zone)
     return _long(wide, ["symbol"], schemas.MARKET_METRICS, "gold.crypto_market_kpis_1m", zone)

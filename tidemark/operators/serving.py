@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import millis_between
+from tidemark.functions import hour_floor, millis_between
+
+# Size of stored lag sketches: a percentile's rank is off by at most RANK_ERROR, but for about
+# one sketch in a hundred. Groups of fewer rows than K are exact.
+K, RANK_ERROR = 800, 0.005
 
 ROW_LIMIT = 5000  # rows a dashboard query returns unless it asks for another number
 
@@ -88,3 +92,35 @@ def freshness(tables: dict[str, DataFrame], target_ms: int = 5000) -> DataFrame:
         F.percentile_approx("lag_ms", 0.95).alias("p95_lag_ms"),
         F.sum(F.when(F.col("lag_ms") <= target_ms, 1).otherwise(0)).alias("rows_in_target"),
     )
+
+
+def lag_sketches(rows: DataFrame, keys: list[Column | str], target_ms: int = 5000) -> DataFrame:
+    """What ``freshness`` measures, per ``keys`` and hour of ``window_end``, in a form that adds
+    up: counts, sums and a quantile sketch of fixed size."""
+    lag = millis_between(F.col("window_end"), F.col("produced_at"))
+    timed = rows.select(*keys, hour_floor(F.col("window_end")).alias("hour"), lag.alias("lag"))
+    names = [c for c in timed.columns if c != "lag"]
+    return timed.groupBy(*names).agg(
+        F.count("*").alias("measured_rows"),
+        F.count("lag").alias("timed_rows"),
+        F.sum("lag").alias("lag_ms"),
+        F.max("lag").alias("max_lag_ms"),
+        F.count_if(F.col("lag") <= target_ms).alias("rows_in_target"),
+        F.kll_sketch_agg_bigint("lag", K).alias("lags"),
+    )
+
+
+def merged_freshness(hours: DataFrame, *keys: Column | str, percentile: float = 0.95) -> DataFrame:
+    """Rows of ``lag_sketches`` merged per ``keys``. Rows without both times count as measured
+    and have no lag; a group of nothing else has NULL lags."""
+    merged = hours.groupBy(*keys).agg(
+        F.sum("measured_rows").alias("measured_rows"),
+        F.sum("timed_rows").alias("timed_rows"),
+        (F.sum("lag_ms") / F.sum("timed_rows")).alias("avg_lag_ms"),
+        F.max("max_lag_ms").alias("max_lag_ms"),
+        F.sum("rows_in_target").alias("rows_in_target"),
+        F.kll_merge_agg_bigint("lags", K).alias("lags"),
+    )
+    quantile = F.kll_sketch_get_quantile_bigint("lags", F.lit(percentile))
+    return merged.withColumn(
+        "percentile_ms", F.when(F.col("timed_rows") > 0, quantile)).drop("lags")

@@ -7,7 +7,8 @@ the messages are never decoded again and ticks are shuffled once. Feeds run side
 Ranges may be cut anywhere: a window belongs to the range that holds its start, and is
 computed from all its rows. Adjacent ranges thus give what one long range gives. Where a
 bound lies within a minute, the feed is read a second time (ticks: a third time) for the rows
-up to the end of that minute.
+up to the end of that minute; so it is where the lake's zone sets its clock back within the
+range, since stored times don't tell the two passes of the repeated hour apart.
 
 The broker is asked for a range by record time, widened by a slack, so a record whose event
 time lies further than the slack from its record time may be missing from every range. Feeds
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions import clock_goes_back
 from tidemark.operators.bronze import CHANGE_TABLES, bronze_behavior, bronze_changes, bronze_ticks
 from tidemark.operators.gold import (
     market_kpis,
@@ -131,6 +133,14 @@ def backfill(lake: Lake, feeds: dict[str, DataFrame], run: str,
     seconds = ceiling(start, seconds=1), ceiling(end, seconds=1)
     whole = minutes == (start, end)
 
+    def timely(raw: DataFrame) -> bool:
+        """Whether windows may be cut on stored event times: no bound lies within a minute, and
+        no wall-clock time of these days stands for two instants."""
+        if not whole:
+            return False
+        days = raw.agg(F.min("event_time").cast("date"), F.max("event_time").cast("date")).first()
+        return days[0] is None or not clock_goes_back(zone, *days)
+
     def put(df: DataFrame, table: str, part: str = "", strays: Strays | None = None) -> DataFrame:
         name = writer + part
         lake.append(df, table, name, 0, spread=True, verify=strays and strays.verify)
@@ -150,7 +160,7 @@ def backfill(lake: Lake, feeds: dict[str, DataFrame], run: str,
         rows = in_range(seen, feed, start, end)
         raw = put(bronze_changes(rows, feed, zone), CHANGE_TABLES[feed][0], strays=strays)
         raw = with_event_time(raw, feed)
-        timed, op = (raw, "cdc_op") if whole else (in_range(opened, feed, *minutes), "__op")
+        timed, op = (raw, "cdc_op") if timely(raw) else (in_range(opened, feed, *minutes), "__op")
         kpis = {
             "orders": lambda: order_kpis(timed, zone, op=op),
             "payments": lambda: payment_kpis(timed, zone),
@@ -165,7 +175,7 @@ def backfill(lake: Lake, feeds: dict[str, DataFrame], run: str,
         seen, strays = watched(opened, "ticks")
         raw = put(bronze_ticks(in_range(seen, "ticks", start, end), zone), "bronze.crypto_ticks",
                   strays=strays)
-        if whole:
+        if timely(raw):
             bars = put(tick_bars(raw, zone, time="event_time"), "silver.crypto_ticks_1s")
             put(market_kpis_from_bars(bars, zone), "gold.crypto_market_kpis_1m")
         else:

@@ -320,16 +320,26 @@ class Lake:
         day = F.lit(since.date().isoformat()).cast("date")
         reaching = self._entries(table, as_of, log).where("added_records > 0").where(
             (F.col("last_day") >= day) | F.col("last_day").isNull()).select(*BOOKKEEPING.names)
-        named = reaching.limit(LITERAL_BATCHES + 1).collect()
-        path, schema = self.data_path(table), stored_schema(table)
-        if len(named) <= LITERAL_BATCHES:
-            rows = self._read(schema, *(self._leaf(path, *row) for row in named), base=path)
-        else:
-            rows = self._read(schema, path).join(reaching, BOOKKEEPING.names, "left_semi")
+        rows = self._of_batches(table, reaching)
         when = F.lit(since.isoformat(" ")).cast("timestamp_ntz")
         return rows.where((F.col("last_day") >= day) & (F.col(TIMES[table]) >= when)).select(
             *schemas.table_schema(table).names)
 
+    def _of_batches(self, table: str, batches: DataFrame) -> DataFrame:
+        """Rows of ``batches``, committed ones, with the columns of the folders around them."""
+        named = batches.limit(LITERAL_BATCHES + 1).collect()
+        path, schema = self.data_path(table), stored_schema(table)
+        if len(named) <= LITERAL_BATCHES:
+            return self._read(schema, *(self._leaf(path, *row) for row in named), base=path)
+        return self._read(schema, path).join(batches, BOOKKEEPING.names, "left_semi")
+
+    def unseen(self, table: str, seen: DataFrame) -> DataFrame:
+        """Committed rows of the batches that ``seen`` (``writer, batch_id``) doesn't name, with
+        their writer and batch."""
+        batches = self._entries(table).where("added_records > 0").select(*BOOKKEEPING.names)
+        rows = self._of_batches(table, batches.join(seen, BOOKKEEPING.names, "left_anti"))
+        return rows.select(*schemas.table_schema(table).names, *BOOKKEEPING.names)
+
     def newest(self, table: str, count: int, as_of: str | datetime | None = None) -> DataFrame:
         """Committed rows of ``table`` among which its ``count`` newest are, ties included.
 

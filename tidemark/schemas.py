@@ -157,7 +157,15 @@ BATCHES_DDL = """
     job STRING, run_id STRING, batch BIGINT, started_at TIMESTAMP_NTZ, duration_ms BIGINT,
     records BIGINT, rows BIGINT, watermark TIMESTAMP_NTZ, dropped_groups BIGINT,
     state_rows BIGINT"""
-OWN_DDL = {"quality.results": QUALITY_DDL, "ops.job_batches": BATCHES_DDL}
+LAGS_DDL = """
+    table_name STRING, source_writer STRING, source_batch BIGINT, hour TIMESTAMP_NTZ,
+    measured_rows BIGINT, timed_rows BIGINT, lag_ms BIGINT, max_lag_ms BIGINT,
+    rows_in_target BIGINT, lags BINARY"""
+OWN_DDL = {
+    "quality.results": QUALITY_DDL,
+    "ops.job_batches": BATCHES_DDL,
+    "ops.freshness_hours": LAGS_DDL,
+}
 
 
 @cache
