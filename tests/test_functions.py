@@ -1,14 +1,16 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import (
+    clock_goes_back,
     count_where,
     epoch_ms_to_ts,
     first_event_time,
+    hour_floor,
     mean,
     minute_floor,
     null_safe_sum,
@@ -114,3 +116,20 @@ def test_scratch_goes_to_the_shared_folder_of_the_session():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(_Session(**{"spark.master": "yarn"}))
     assert "tidemark-" in scratch_dir(_Session(**{"spark.master": "local[4]"}))
+
+
+def test_clocks_that_go_back():
+    autumn = date(2026, 11, 1)
+    assert clock_goes_back("America/New_York", autumn, autumn)
+    assert not clock_goes_back("America/New_York", date(2026, 2, 1), date(2026, 10, 29))
+    assert clock_goes_back("Australia/Lord_Howe", date(2026, 4, 1), date(2026, 4, 8))
+    assert not clock_goes_back("Asia/Seoul", date(1992, 1, 1), date(2026, 12, 31))
+    assert not clock_goes_back("UTC", date.min, date.min) and not clock_goes_back(
+        "UTC", date.max, date.max)
+
+
+def test_hours_in_any_session_zone(zoned):
+    for at, want in ((datetime(2026, 3, 8, 2, 59, 59, 999000), datetime(2026, 3, 8, 2)),
+                     (datetime(1969, 12, 31, 23, 30), datetime(1969, 12, 31, 23))):
+        stamp = F.lit(at.isoformat(" ")).cast("timestamp_ntz")
+        assert one(zoned, hour_floor(stamp)) == want

@@ -280,6 +280,23 @@ def _lag(name: str, source: str) -> str:
         FROM (SELECT CAST(floor(metric_value) AS BIGINT) % 9 * 1000 AS lag_ms FROM {source})"""
 
 
+def _lag_days(name: str, source: str) -> str:
+    return f"""
+        SELECT '{name}' AS table_name, CAST(window_end AS DATE) AS day,
+               count(*) AS measured_rows, avg(lag_ms) AS avg_lag_ms, max(lag_ms) AS max_lag_ms,
+               CAST(sum(CASE WHEN lag_ms <= 5000 THEN 1 ELSE 0 END) AS BIGINT)
+                   AS rows_in_target, true AS p95_in_bounds
+        FROM (SELECT window_end, CAST(floor(metric_value) AS BIGINT) % 9 * 1000 AS lag_ms
+              FROM {source})
+        GROUP BY CAST(window_end AS DATE)"""
+
+
+def _hashed(*tables: tuple[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count, true AS one_file_a_key "
+        f"FROM {source}" for name, source in tables)
+
+
 TIME_TRAVEL = f"SELECT {LISTED} FROM kpis WHERE window_start < TIMESTAMP '1999-01-01'"
 NEWEST_50 = "ORDER BY window_start DESC, metric_name LIMIT 50"
 LAYER_COUNTS = (
@@ -435,6 +452,16 @@ SQL = {
                               MARKET_WIDE, MARKET, EVENT_UNION),
     "freshness": _both(" UNION ALL ".join((
         _lag("gold.commerce_kpis_1m", "kpis"), _lag("gold.crypto_market_kpis_1m", "market")))),
+    "freshness_by_day": _both(" UNION ALL ".join((
+        _lag_days("gold.commerce_kpis_1m", "kpis"),
+        _lag_days("gold.crypto_market_kpis_1m", "market")))),
+    "hashed_writes": _with("oprt", _hashed(
+        ("bronze.orders_cdc", "o"), ("bronze.payments_cdc", "p"), ("bronze.refunds_cdc", "r"),
+        ("bronze.crypto_ticks", "t"), ("bronze.user_behavior_events", "events"))),
+    "processing_time": _with(
+        "t", "SELECT count(*) AS stamped_rows, CAST(1 AS BIGINT) AS stamps, "
+             "true AS of_this_hour FROM t"),
+    "minute_floor": _with("t", "SELECT tick_id, date_trunc('minute', event_ts) AS minute FROM t"),
     "dq_commerce": _commerce(CHECK_COMMERCE, DIRTY_COMMERCE),
     "dq_market": _both(CHECK_MARKET, DIRTY_MARKET),
     "dq_checkpoint": _both(CHECKPOINT, DIRTY_COMMERCE, DIRTY_MARKET,

@@ -15,7 +15,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions import epoch_ms_to_ts, first_event_time, to_wall_clock
+from tidemark.functions import (
+    epoch_ms_to_ts,
+    first_event_time,
+    millis_between,
+    minute_floor,
+    to_wall_clock,
+)
 from tidemark.operators import (
     COMMERCE_SUITE,
     MARKET_SUITE,
@@ -39,11 +45,12 @@ from tidemark.operators import (
 from tidemark.operators.bronze import CHANGE_TABLES
 from tidemark.operators.quality import Suite
 from tidemark.operators.silver import entity_events
-from tidemark.operators.serving import LATEST, dashboard_rows
+from tidemark.operators.serving import LATEST, RANK_ERROR, dashboard_rows
 from tidemark.plans import catalog
 from tidemark.plans.backfill import backfill, with_event_time
 from tidemark.plans.driver_tables import ZONE, DriverTables, feed_rows, utc
-from tidemark.plans.lake import Lake
+from tidemark.plans.freshness import by_day as stored_days, measure
+from tidemark.plans.lake import HASH_COLUMNS, Lake
 from tidemark.plans.quality import check, history, record, run_checks
 from tidemark.plans.together import together
 from tidemark.session import scratch_dir
@@ -295,6 +302,47 @@ def query_silver_ticks_1s(d: DriverTables) -> DataFrame:
     return _stored(tick_bars(d.feed("ticks"), ZONE))
 
 
+@_query("hashed_writes")
+def query_hashed_writes(d: DriverTables) -> DataFrame:
+    """Raw tables hashed over files: rows of one key are in one file, whatever task read them."""
+    lake = replace(_new_lake(d), files_per_batch=8)
+    raw = {
+        **{CHANGE_TABLES[f][0]: lambda f=f: bronze_changes(d.feed(f), f, ZONE)
+           for f in CHANGE_FEEDS},
+        "bronze.crypto_ticks": lambda: bronze_ticks(d.feed("ticks"), ZONE),
+        "bronze.user_behavior_events": lambda: bronze_behavior(d.feed("behavior"), ZONE),
+    }
+    together(d.spark, *[
+        lambda t=t, f=f: lake.append(f(), t, "load", 0) for t, f in raw.items()])
+
+    def counted(table: str) -> DataFrame:
+        keys = lake.read(table).withColumn("file", F.input_file_name()).groupBy(
+            *HASH_COLUMNS[table]).agg(F.count("*").alias("n"),
+                                      (F.min("file") == F.max("file")).alias("together"))
+        return keys.agg(F.sum("n").alias("row_count"), F.every("together").alias("one_file_a_key")
+                        ).select(F.lit(table).alias("table_name"), "*")
+
+    return reduce(lambda a, b: a.unionByName(b), map(counted, raw))
+
+
+@_query("processing_time")
+def query_processing_time(d: DriverTables) -> DataFrame:
+    """Stored receipt times: one per batch, and of this hour."""
+    lake = _new_lake(d)
+    lake.append(bronze_ticks(d.feed("ticks"), ZONE), "bronze.crypto_ticks", "load", 0)
+    age = millis_between(F.col("ingest_time"), to_wall_clock(F.current_timestamp(), ZONE))
+    return lake.read("bronze.crypto_ticks").agg(
+        F.count("ingest_time").alias("stamped_rows"),
+        F.countDistinct("ingest_time").alias("stamps"),
+        F.every(age.between(0, 3_600_000)).alias("of_this_hour"))
+
+
+@_query("minute_floor")
+def query_minute_floor(d: DriverTables) -> DataFrame:
+    return utc(d.feed("ticks").select("tick_id", minute_floor(F.col("event_ts")).alias("minute")),
+               "minute")
+
+
 @_query("silver_behavior")
 def query_silver_behavior(d: DriverTables) -> DataFrame:
     return _stored(silver_behavior(bronze_behavior(d.feed("behavior"), ZONE)))
@@ -584,24 +632,53 @@ def query_table_counts(d: DriverTables) -> DataFrame:
         "gold.crypto_market_kpis_1m")})
 
 
-@_query("freshness")
-def query_freshness(d: DriverTables) -> DataFrame:
-    """Stored rows, produced some seconds after their window, by their value."""
+def _produced_kpis(d: DriverTables) -> dict[str, Callable[[], DataFrame]]:
+    """KPI rows by table, produced some seconds after their window, by their value."""
     def produced(kpis: DataFrame) -> DataFrame:
         wait = F.make_dt_interval(secs=F.pmod(F.floor("metric_value"), F.lit(9)))
         return kpis.withColumn("produced_at", F.col("window_end") + wait)
 
-    lake = _new_lake(d)
-    kpis = {
-        "gold.commerce_kpis_1m": lambda: commerce_kpis(*_feeds(d), ZONE),
-        "gold.crypto_market_kpis_1m": lambda: market_kpis(d.feed("ticks"), ZONE),
+    return {
+        "gold.commerce_kpis_1m": lambda: produced(commerce_kpis(*_feeds(d), ZONE)),
+        "gold.crypto_market_kpis_1m": lambda: produced(market_kpis(d.feed("ticks"), ZONE)),
     }
+
+
+@_query("freshness")
+def query_freshness(d: DriverTables) -> DataFrame:
+    """Freshness of stored rows."""
+    lake, kpis = _new_lake(d), _produced_kpis(d)
     together(d.spark, *[
-        lambda t=t, f=f: lake.append(produced(f()), t, "kpis", 0, spread=True)
-        for t, f in kpis.items()])
+        lambda t=t, f=f: lake.append(f(), t, "kpis", 0, spread=True) for t, f in kpis.items()])
     return freshness({t: lake.read(t) for t in kpis})
 
 
+@_query("freshness_by_day")
+def query_freshness_by_day(d: DriverTables) -> DataFrame:
+    """Days put together from sketches of two loads, and whether the percentile's rank among
+    the day's rows is the one asked for."""
+    lake, kpis = _new_lake(d), _produced_kpis(d)
+    for load in (0, 1):
+        part = F.pmod(F.dayofmonth("window_start"), F.lit(2)) == load
+        together(d.spark, *[
+            lambda t=t, f=f: lake.append(f().where(part), t, "kpis", load, spread=True)
+            for t, f in kpis.items()])
+        measure(lake, tuple(kpis))
+    rows = reduce(lambda a, b: a.unionByName(b), [
+        lake.read(t).select(
+            F.lit(t).alias("table_name"), F.col("window_end").cast("date").alias("day"),
+            millis_between(F.col("window_end"), F.col("produced_at")).alias("lag"))
+        for t in kpis])
+    keys = ["table_name", "day"]
+    below, upto = (F.avg(F.when(holds, 1.0).otherwise(0.0)) for holds in (
+        F.col("lag") < F.col("percentile_ms"), F.col("lag") <= F.col("percentile_ms")))
+    days = stored_days(lake)
+    ranks = rows.join(days.select(*keys, "percentile_ms"), keys).groupBy(*keys).agg(
+        ((below <= 0.95 + RANK_ERROR) & (upto >= 0.95 - RANK_ERROR)).alias("p95_in_bounds"))
+    return days.join(ranks, keys, "left").select(
+        *keys, "measured_rows", "avg_lag_ms", "max_lag_ms", "rows_in_target", "p95_in_bounds")
+
+
 # -- quality -----------------------------------------------------------------
 
 def _damaged(kpis: DataFrame) -> DataFrame:
