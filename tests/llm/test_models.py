@@ -12,7 +12,7 @@ LABELS = "doc_id bigint, quality int, toxic int"
 
 
 def drawn(docs, labels, **options):
-    return quality.drawn(stored(quality.scored(docs, labels, **options)))
+    return quality.drawn(stored(quality.scored(docs, labels, **options)), labels)
 
 
 def test_held_out_labels(spark):
@@ -29,7 +29,8 @@ def test_held_out_labels(spark):
 def test_draw_against_brute_force(spark):
     rows = [(i, prose(i, 30)) for i in range(40)] + [(100 + i, "buy!!! now!!! " * 20) for i in range(9)]
     rows += ODD
-    labels = [(i, 1, 0) for i in range(30)] + [(None, 1, 0), (5, None, 0)]
+    labels = [(i, 1, 0) for i in range(30)] + [(None, 1, 0), (5, None, 0), (9, 0, 0)]
+    labels += [(100 + i, 0, 1) for i in range(4)] + [(104, None, 1), (999, 0, 0)]
     docs = clashing(documents(spark, rows))
     found = drawn(docs, spark.createDataFrame(labels, LABELS)).collect()
     hashes, raw, target = quality.Hashes(), np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)
@@ -44,13 +45,55 @@ def test_draw_against_brute_force(spark):
         b = quality.ngram_buckets(text, hashes)
         weights[doc_id, text] = ratios[b].sum() / (len(b) + quality.SHORT)
     assert all(abs(weights[r.row.doc_id, r.row.text] - r.log_weight) < 1e-9 for r in found)
-    k = sum(w > quality.FLOOR for w in (weights[row] for row in rows))
+    known = [(weights[row], row[0] < 30) for row in rows
+             if row[0] is not None and (row[0] in range(30) or 100 <= row[0] < 104)]
+    slope, start = quality.logistic(*(np.array(x, float) for x in zip(*known)))
+    k = round(sum(1 / (1 + np.exp(-slope * weights[row] - start)) for row in rows))
     least = sorted((r.score for r in found), reverse=True)[k - 1]
     assert {r.selected for r in found if r.score >= least} == {True}
     assert not any(r.selected for r in found if r.score < least)
     assert not any(r.selected for r in found if (r.row.doc_id or 0) >= 100)
 
 
+def test_logistic_solves_its_equations():
+    rng = np.random.default_rng(3)
+    for weights, good in (
+            (rng.normal(size=500), None),
+            (np.concatenate([np.full(9, -0.8), np.full(30, 0.03)]), np.arange(39) >= 9),
+            (np.linspace(-1, 1, 40), np.arange(40) >= 17),
+            (np.zeros(10), np.arange(10) < 3)):
+        if good is None:
+            good = rng.random(500) < 1 / (1 + np.exp(2 - 3 * weights))
+        slope, start = quality.logistic(weights, good.astype(float))
+        chance = 1 / (1 + np.exp(-slope * weights - start))
+        assert abs(chance.sum() - good.sum()) < 1e-6  # as many good ones as there are
+        assert abs(weights @ (chance - good) + quality.RIDGE * slope) < 1e-6
+
+
+def test_draws_follow_the_weights(spark):
+    """Documents near the border come and go with the seed, as often as draws one by one by
+    weight would take them; a share given is the share drawn."""
+    count, k, seeds = 60, 20, 400
+    weights = np.linspace(-0.03, 0.03, count)
+    rows = spark.createDataFrame([(i, float(w)) for i, w in enumerate(weights)],
+                                 "id bigint, log_weight double")
+    scores = rows.select("id", "log_weight", F.explode(F.sequence(F.lit(1), F.lit(seeds)))
+                         .alias("seed")).withColumn("noise", quality.gumbel(F.col("seed"), F.col("id")))
+    found = scores.select("seed", "id", quality.score().alias("score")).toPandas()
+    best = found.sort_values("score", ascending=False).groupby("seed").head(k)
+    often = best["id"].value_counts().reindex(range(count), fill_value=0).to_numpy() / seeds
+    rng, want = np.random.default_rng(5), np.zeros(count)
+    chance = np.exp(weights * quality.SCALE)
+    for _ in range(4000):
+        want[rng.choice(count, k, replace=False, p=chance / chance.sum())] += 1 / 4000
+    assert np.abs(often - want).max() < 0.1 and np.abs(often - want).mean() < 0.025
+    assert ((often > 0.05) & (often < 0.95)).sum() > count / 2
+    one = stored(scores.where("seed = 7").select("id", "log_weight", quality.score().alias("score")))
+    drawn_ids = {r.id for r in quality.drawn(one, None, share=1 / 3).where("selected").collect()}
+    assert drawn_ids == set(best[best["seed"] == 7]["id"])
+    assert quality.drawn(one, None, share=0).where("selected").count() == 0
+
+
 def test_nothing_to_go_by(spark):
     docs = documents(spark, ODD)
     assert drawn(docs, spark.createDataFrame([], LABELS)).where("selected").count() == len(ODD)

@@ -27,7 +27,7 @@ def uniform(seed, doc_id):
     return int(hashlib.sha256(key.encode()).hexdigest()[:13], 16)
 
 
-def good(rows, good_ids):
+def good(rows, good_ids, bad_ids):
     hashes, raw, target = quality.Hashes(), np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)
     found = [quality.ngram_buckets(r[1], hashes) for r in rows]
     for row, buckets in zip(rows, found):
@@ -39,7 +39,9 @@ def good(rows, good_ids):
     weights = [ratios[b].sum() / (len(b) + quality.SHORT) for b in found]
     scores = [w * quality.SCALE - math.log(-math.log((uniform(quality.SEED, r[0]) + 0.5) / 2 ** 52))
               for r, w in zip(rows, weights)]
-    k = sum(w > quality.FLOOR for w in weights)
+    known = [(w, r[0] in good_ids) for r, w in zip(rows, weights) if r[0] in good_ids | bad_ids]
+    slope, start = quality.logistic(*(np.array(x, float) for x in zip(*known)))
+    k = round(sum(round(1e6 / (1 + math.exp(-slope * w - start))) for w in weights) / 1e6)
     least = sorted(scores, reverse=True)[k - 1]
     return [r for r, s in zip(rows, scores) if s >= least]
 
@@ -90,12 +92,12 @@ def test_pipeline(spark, tmp_path):
             rows.append((200 + i, base.replace(" ", "  "), f"src{i % 3}"))
             rows.append((300 + i, changed(base, i, 0.02), "src9"))
     rows += [(400 + i, "buy!!! now!!! " * 30, "src1") for i in range(5)]
-    good_ids = set(range(100, 130))
+    good_ids, bad_ids = set(range(100, 130)), {400, 401, 402}
     clashing(documents(spark, rows)).write.parquet(str(tmp_path / "documents.parquet"))
-    spark.createDataFrame([(i, 1, 0) for i in good_ids], "doc_id bigint, quality int, toxic int"
-                          ).write.parquet(str(tmp_path / "labels.parquet"))
+    labels = [(i, 1, 0) for i in good_ids] + [(i, 0, 0) for i in bad_ids]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     want, docs = rows, spark.read.parquet(str(tmp_path / "documents.parquet"))
-    steps = [lambda r: good(r, good_ids), one_per_text, one_per_component, mixed]
+    steps = [lambda r: good(r, good_ids, bad_ids), one_per_text, one_per_component, mixed]
     for (name, stage), step in zip(corpus_pipeline.STAGES, steps):
         columns = docs.columns
         docs, want = stored(stage(spark, docs, str(tmp_path))), step(want)

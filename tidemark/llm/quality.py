@@ -12,12 +12,17 @@ so every run draws the same.
   documents (``SHORT`` n-grams of ratio 1).
 - The weight's exponent is ``SCALE`` n-grams, for all documents alike. An exponent of the
   document's own length would let long documents win or lose by length alone.
-- k is the number of documents whose log weight per n-gram is above ``FLOOR``.
-
-Defined cases: null, empty and white-space texts have no n-grams and weight 1; without any
-label of good quality all weights are 1 and every document is drawn; rows that tie with the
-last one drawn are all drawn; rows that repeat a ``doc_id`` share their noise. Other columns
-never matter to the draw and pass through. An empty table gives an empty draw.
+- k is a share of the rows, given by the caller, or else the size of the target within the raw
+  text: the expected number of good documents. A logistic regression of the label on the log
+  weight, fitted on at most ``TARGETS`` labelled documents, gives each document's probability;
+  k is their sum over all documents.
+
+Defined cases: null, empty and white-space texts have no n-grams and weight 1; without labels
+of both qualities the target's size is unknown and, unless a share is given, every document is
+drawn; without any label of good quality all weights are 1; an id with several labels is good
+if one of them is; rows that tie with the last one drawn are all drawn; rows that repeat a
+``doc_id`` share their noise. Other columns never matter to the draw and pass through. An empty
+table gives an empty draw.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
@@ -38,7 +43,7 @@ TARGETS = 20_000
 PRIOR = 10
 SHORT = 20
 SCALE = 100
-FLOOR = -0.15
+RIDGE = 1e-3      # keeps the slope finite where one weight tells all labels apart
 SEED = 29
 REMEMBERED = 400_000
 
@@ -103,7 +108,7 @@ def log_ratios(docs: DataFrame, labels: DataFrame, targets: int = TARGETS) -> np
 
 def scored(docs: DataFrame, labels: DataFrame, targets: int = TARGETS,
            seed: int = SEED) -> DataFrame:
-    """``docs`` in a column ``row``, with ``log_weight`` (per n-gram) and ``score``."""
+    """``docs`` in a column ``row``, with ``id``, ``log_weight`` (per n-gram) and ``score``."""
     ratios = log_ratios(docs, labels, targets)
 
     @F.pandas_udf("double")
@@ -113,13 +118,22 @@ def scored(docs: DataFrame, labels: DataFrame, targets: int = TARGETS,
             found = (ratios[ngram_buckets(t if isinstance(t, str) else "", hashes)] for t in texts)
             yield pd.Series([r.sum() / (len(r) + SHORT) for r in found], dtype="float64")
 
-    key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"),
+                       weight("text").alias("log_weight"),
+                       gumbel(F.lit(seed), F.col("doc_id")).alias("noise"))
+    return rows.select("row", "id", "log_weight", score().alias("score"))
+
+
+def gumbel(seed: Column, doc_id: Column) -> Column:
+    """Standard Gumbel noise, a hash of the seed and the id."""
+    key = F.concat(seed.cast("string"), F.lit(":"),
+                   F.coalesce(doc_id.cast("string"), F.lit("null")))
     bits = F.conv(F.substring(F.sha2(key, 256), 1, 13), 16, 10).cast("double")
-    noise = -F.log(-F.log((bits + 0.5) / F.lit(2.0 ** 52)))
-    rows = docs.select(F.struct("*").alias("row"), weight("text").alias("log_weight"),
-                       noise.alias("noise"))
-    return rows.select("row", "log_weight",
-                       (F.col("log_weight") * SCALE + F.col("noise")).alias("score"))
+    return -F.log(-F.log((bits + 0.5) / F.lit(2.0 ** 52)))
+
+
+def score() -> Column:
+    return F.col("log_weight") * SCALE + F.col("noise")
 
 
 def kth_largest(rows: DataFrame, column: str, k: int) -> float:
@@ -139,8 +153,49 @@ def kth_largest(rows: DataFrame, column: str, k: int) -> float:
     return low
 
 
-def drawn(rows: DataFrame) -> DataFrame:
-    """Stored rows of ``scored`` with the column ``selected``."""
-    k = rows.where(F.col("log_weight") > FLOOR).count()
+def logistic(weights: np.ndarray, good: np.ndarray) -> tuple[float, float]:
+    """Slope and intercept of the label's log odds, by Newton's method."""
+    columns = np.column_stack([weights, np.ones(len(weights))])
+    ridge, found = np.diag([RIDGE, 0.0]), np.zeros(2)
+
+    def loss(at: np.ndarray) -> float:
+        odds = columns @ at
+        return np.logaddexp(0, odds).sum() - odds @ good + at @ ridge @ at / 2
+
+    for _ in range(100):
+        chance = 0.5 * (1 + np.tanh(columns @ found / 2))
+        slope = columns.T @ (chance - good) + ridge @ found
+        bend = (columns * (chance * (1 - chance))[:, None]).T @ columns + ridge
+        step = np.linalg.solve(bend + 1e-12 * np.eye(2), slope)
+        size = 1.0
+        while loss(found - size * step) > loss(found) and size > 1e-9:
+            size /= 2
+        found = found - size * step
+        if np.abs(size * step).max() < 1e-9 * (1 + np.abs(found).max()):
+            break
+    return found[0], found[1]
+
+
+def target_size(rows: DataFrame, labels: DataFrame, targets: int = TARGETS) -> int:
+    """Expected number of good documents among stored rows of ``scored``."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy(
+        F.col("doc_id").alias("labelled")).agg(F.max(F.col("quality") == 1).alias("good"))
+    order = [F.xxhash64("labelled"), "labelled"]
+    sample = known.orderBy(*order).limit(targets)
+    found = rows.join(F.broadcast(sample), F.col("id") == F.col("labelled")).select(
+        *order, "log_weight", "good").orderBy(*order, "log_weight").limit(2 * targets).collect()
+    good = np.array([r.good for r in found], float)
+    if not len(good) or good.min() == good.max():
+        return rows.count()
+    a, b = logistic(np.array([r.log_weight for r in found]), good)
+    chance = 1 / (1 + F.exp(-(F.col("log_weight") * float(a) + float(b))))
+    millionths = F.round(chance * 1e6).cast("bigint")  # sums of doubles depend on their order
+    return round((rows.agg(F.sum(millionths)).first()[0] or 0) / 1e6)
+
+
+def drawn(rows: DataFrame, labels: DataFrame, share: float | None = None) -> DataFrame:
+    """Stored rows of ``scored`` with the column ``selected``: ``share`` of them, or as many as
+    the target is estimated to have."""
+    k = target_size(rows, labels) if share is None else round(share * rows.count())
     least = kth_largest(rows, "score", k) if k else float("inf")
     return rows.withColumn("selected", F.col("score") >= least)

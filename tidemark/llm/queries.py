@@ -43,8 +43,9 @@ def op1_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return quality.drawn(stored(rows.select("row.doc_id", "log_weight", "score")))
+    labels = table(spark, sf_dir, "labels")
+    rows = stored(quality.scored(table(spark, sf_dir, "documents"), labels).drop("row"))
+    return quality.drawn(rows, labels).withColumnRenamed("id", "doc_id")
 
 
 def op3_license_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
