@@ -36,8 +36,9 @@ def stage(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
 @stage
 def good_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by their importance weight; what looks unlike the target goes."""
-    rows = stored(quality.scored(docs, table(spark, sf_dir, "labels")))
-    return quality.drawn(rows).where("selected").select("row.*")
+    labels = table(spark, sf_dir, "labels")
+    rows = stored(quality.scored(docs, labels))
+    return quality.drawn(rows, labels).where("selected").select("row.*")
 
 
 @stage
