@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import shutil
 from collections import Counter
 
 import numpy as np
@@ -9,7 +10,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, warc
+from tidemark.llm import ann, files, warc
 from tidemark.llm.queries import op6_multiprobe_search
 
 VECTORS = "vec_id bigint, embedding array<float>, label int"
@@ -118,6 +119,39 @@ def test_archives_round_trip(spark, tmp_path, monkeypatch):
                if r.record_type == "response")
 
 
+def test_a_repeated_task_adds_no_record(spark, tmp_path, monkeypatch):
+    """What another attempt leaves in the folders is read by nobody."""
+    monkeypatch.setattr(warc, "FILE_BYTES", 20_000)
+    monkeypatch.setattr(warc, "SCAN", 700)
+    rows = page_rows()
+    archives, index = tmp_path / "a", tmp_path / "i"
+    pages = spark.createDataFrame(rows, PAGES).repartition(3)
+    warc.write_index(warc.write_archives(pages, str(archives)), str(index), block_lines=5)
+    listed = warc.manifest(spark, str(archives)).collect()
+    assert len(listed) > 3 and sum(r.records for r in listed) == len(rows)
+    assert {r.file: r.bytes for r in listed} == {
+        p.name: p.stat().st_size for p in archives.glob("*.warc.gz")}
+    for path in [*archives.glob("part-*"), *index.glob("index-*")]:
+        shutil.copy(path, path.with_name(path.name.replace("-", "-9", 1)))
+    names = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    scanned = warc.records(spark, str(archives))
+    assert Counter(map(tuple, scanned.select(*names).collect())) == Counter(expected(rows))
+    found = warc.look_up(warc.index_parts(spark, str(index)), str(index), str(archives),
+                         pages.select("url", "page_id"))
+    assert Counter(map(tuple, found.select(*names, "file", "offset").collect())) == Counter(
+        map(tuple, scanned.select(*names, "file", "offset").collect()))
+    whole = (archives / listed[0].file).read_bytes()
+    (archives / listed[0].file).write_bytes(whole[:-9])
+    with pytest.raises(Exception, match="ends within a record"):
+        warc.records(spark, str(archives)).collect()
+
+
+def test_names_of_storage():
+    assert files.known_uri("s3a://lake/a:b") == "s3://lake/a:b"
+    assert files.known_uri("hdfs://n:8020/x") == "hdfs://n:8020/x"
+    assert files.known_uri("file:/x") == "file:/x" and files.known_uri("/x") == "/x"
+
+
 def test_unknown_pages_are_not_found(spark, tmp_path):
     pages = spark.createDataFrame(page_rows(), PAGES)
     parts = warc.write_index(warc.write_archives(pages, str(tmp_path / "a")), str(tmp_path / "i"))

@@ -7,18 +7,28 @@ import uuid
 from pyarrow import fs
 
 
+# Names that Spark's file systems have for storage, and what the same is called here. Access
+# comes from the executors' environment, not from Spark's settings.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def known_uri(path: str) -> str:
+    scheme, colon, rest = path.partition(":")
+    return f"{SCHEMES.get(scheme, scheme)}{colon}{rest}"
+
+
 def locate(path: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a URI or a plain path."""
     if "://" in path or path.startswith("file:"):
-        return fs.FileSystem.from_uri(path)
+        return fs.FileSystem.from_uri(known_uri(path))
     return fs.LocalFileSystem(), path
 
 
 class Output:
     """A file that appears under its name when it is complete.
 
-    A task that is lost or repeated leaves a hidden part at most; whoever finishes last has
-    the same bytes.
+    A task that is lost leaves a hidden part. Where a repeated task's bytes may differ, its
+    file needs a name of its own, and readers a list of the files that count.
     """
 
     def __init__(self, folder: str, name: str):

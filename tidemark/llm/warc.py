@@ -1,6 +1,7 @@
 """WARC archives with a two-level capture index.
 
-Records are gzip members of WARC files, one file per task. Of records with equal payloads
+Records are gzip members of WARC files, one or more per task. A repeated task writes files of
+its own; ``manifest`` in the folder lists those that count, each once. Of records with equal payloads
 the one with the smallest ``page_id`` is a response, the others are revisits that name it.
 
 The index is sorted by key: the host's labels reversed, then path and query, then the page.
@@ -32,7 +33,7 @@ from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
@@ -43,6 +44,7 @@ LEAST_REVISIT = 0
 BLOCK_LINES = 1000
 FILE_LINES = 200_000  # captures per file of blocks
 TASK_KEYS = 2000      # look-ups per task
+SCAN = 1 << 18        # bytes of an archive read at a time
 FLUSH = 16 << 20      # bytes of payload per batch that leaves a task
 FILE_BYTES = 512 << 20  # a task begins a new archive beyond that
 DATE = "2026-01-01T00:00:00Z"  # fixed: the tables have no capture time
@@ -104,9 +106,8 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return gzip.compress(head + body + b"\r\n\r\n", 6, mtime=0)
 
 
-def parsed(member: bytes) -> tuple[dict[str, str], bytes]:
+def parsed(raw: bytes) -> tuple[dict[str, str], bytes]:
     """Header fields and payload of a record; its digest must hold."""
-    raw = gzip.decompress(member)
     head, _, rest = raw.partition(b"\r\n\r\n")
     fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
     body = rest[:int(fields["Content-Length"])]
@@ -164,7 +165,52 @@ def write_archives(pages: DataFrame, folder: str,
         if out is not None:
             out.close()
 
-    return stored(with_references(pages, least_revisit).mapInArrow(write, CAPTURE_DDL))
+    captures = stored(with_references(pages, least_revisit).mapInArrow(write, CAPTURE_DDL))
+    captures.groupBy("file").agg(F.count("*").alias("records"), F.sum("length").alias("bytes")
+                                 ).write.parquet(f"{folder}/manifest")
+    return captures
+
+
+def manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The archives of a folder: ``(file, records, bytes)``."""
+    return spark.read.schema("file string, records bigint, bytes bigint").parquet(
+        f"{folder}/manifest")
+
+
+def members(archives: Ranges, name: str) -> Iterator[tuple[int, int, bytes]]:
+    """Offset, length and content of each record of an archive."""
+    size, read, begin, rest = archives.size(name), 0, 0, b""
+    inflate, content = zlib.decompressobj(31), []
+    while rest or read < size:
+        if not rest:
+            rest = archives.read(name, read, min(SCAN, size - read))
+            read += len(rest)
+        content.append(inflate.decompress(rest))
+        rest = inflate.unused_data
+        if inflate.eof:
+            end = read - len(rest)
+            yield begin, end - begin, b"".join(content)
+            begin, inflate, content = end, zlib.decompressobj(31), []
+    if begin != size:
+        raise ValueError(f"{name} ends within a record")
+
+
+def records(spark: SparkSession, folder: str) -> DataFrame:
+    """All records of a folder's archives, as ``look_up`` gives them, one archive per task."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        archives, rows, size = Ranges(folder), [], 0
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                for offset, length, content in members(archives, name):
+                    rows.append(record_row(content, (name, offset, length)))
+                    size += len(rows[-1][PAYLOAD])
+                    if size >= FLUSH:
+                        yield columns(rows, RECORD)
+                        rows, size = [], 0
+        yield columns(rows, RECORD)
+
+    files = manifest(spark, folder).select("file")
+    return files.repartition(max(1, files.count())).mapInArrow(read, RECORD_DDL)
 
 
 CAPTURE = pa.schema([("key", pa.string()), ("page", pa.string()), ("file", pa.string()),
@@ -181,13 +227,15 @@ def columns(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 # -- index -------------------------------------------------------------------
 
 PART = pa.schema([("first", pa.string()), ("last", pa.string()), ("part", pa.string())])
+PART_DDL = "first string, last string, part string"
 
 
 def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -> DataFrame:
     """Write the sorted blocks and their directories.
 
     Each range of keys has a file of blocks and a directory of one line per block. What comes
-    back, stored, is one row per range: its first and last key and its files' name.
+    back is one row per range: its first and last key and its files' name. The folder keeps it
+    as ``parts``, and readers open no file that isn't named there.
     """
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
@@ -221,8 +269,13 @@ def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
     order = ["key", "page", "file", "offset"]
     files = -(-captures.count() // FILE_LINES) or 1
     ranged = captures.repartitionByRange(files, *order).sortWithinPartitions(*order)
-    return stored(ranged.select(*CAPTURE.names).mapInArrow(
-        write, "first string, last string, part string"))
+    ranged.select(*CAPTURE.names).mapInArrow(write, PART_DDL).write.parquet(f"{folder}/parts")
+    return index_parts(captures.sparkSession, folder)
+
+
+def index_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """The ranges of keys of an index folder."""
+    return spark.read.schema(PART_DDL).parquet(f"{folder}/parts")
 
 
 class Index:
@@ -315,13 +368,8 @@ def look_up(parts: DataFrame, index_folder: str, archive_folder: str,
             places = [(line[2], int(line[3]), int(line[4]))
                       for key in batch.column(0).to_pylist() for line in index.captures(key)]
             for place in sorted(places):
-                fields, payload = parsed(archives.read(*place))
-                rows.append((
-                    page_of(fields["WARC-Record-ID"]), fields["WARC-Target-URI"],
-                    int(fields["X-Payload-Length"]),
-                    fields["WARC-Payload-Digest"].removeprefix("sha1:"), fields["WARC-Type"],
-                    page_of(fields.get("WARC-Refers-To")), payload, *place))
-                size += len(payload)
+                rows.append(record_row(gzip.decompress(archives.read(*place)), place))
+                size += len(rows[-1][PAYLOAD])
                 if size >= FLUSH:
                     yield columns(rows, RECORD)
                     rows, size = [], 0
@@ -344,6 +392,18 @@ RECORD_DDL = ("page_id bigint, url string, payload_bytes bigint, payload_digest
               "offset bigint, length bigint")
 
 
+PAYLOAD = RECORD.get_field_index("payload")
+
+
+def record_row(raw: bytes, place: tuple[str, int, int]) -> tuple:
+    """A record as a row of ``RECORD``."""
+    fields, payload = parsed(raw)
+    return (page_of(fields["WARC-Record-ID"]), fields["WARC-Target-URI"],
+            int(fields["X-Payload-Length"]),
+            fields["WARC-Payload-Digest"].removeprefix("sha1:"), fields["WARC-Type"],
+            page_of(fields.get("WARC-Refers-To")), payload, *place)
+
+
 def archived(pages: DataFrame, least_revisit: int = LEAST_REVISIT) -> DataFrame:
     """Write all pages, index them, and read every record back through the index."""
     root = scratch_dir(pages.sparkSession)
