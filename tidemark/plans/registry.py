@@ -529,8 +529,8 @@ def query_schema_evolution(d: DriverTables) -> DataFrame:
 
 # -- serving -----------------------------------------------------------------
 
-# The layers of one run's tables, written once per session and state of the input files; the
-# serving queries read stored tables, as dashboards do.
+# The layers of one run's tables, each written once per session and state of the input files, by
+# the first query that reads it; the serving queries read stored tables, as dashboards do.
 _LOADED: dict[tuple, Lake] = {}
 
 
@@ -542,29 +542,33 @@ def _state(d: DriverTables, name: str) -> tuple:
     return tuple(files.agg(F.count("*"), F.sum(mark)).first())
 
 
-def _loaded(d: DriverTables) -> Lake:
+def _layers(d: DriverTables) -> dict[str, Callable[[], DataFrame]]:
+    return {
+        **{CHANGE_TABLES[f][0]: lambda f=f: bronze_changes(d.feed(f), f, ZONE)
+           for f in CHANGE_FEEDS},
+        "bronze.crypto_ticks": lambda: bronze_ticks(d.feed("ticks"), ZONE),
+        "silver.order_events": lambda: order_events(*_feeds(d), ZONE),
+        "silver.crypto_ticks_1s": lambda: tick_bars(d.feed("ticks"), ZONE),
+        "gold.commerce_kpis_1m": lambda: commerce_kpis(*_feeds(d), ZONE),
+        "gold.crypto_market_kpis_1m": lambda: market_kpis(d.feed("ticks"), ZONE),
+    }
+
+
+def _loaded(d: DriverTables, *tables: str) -> Lake:
+    """The lake that holds ``tables``; those that it lacks are written, and no others."""
     key = (d.spark.sparkContext.applicationId, d.sf_dir,
            *(_state(d, name) for name in ("orders", "lineitem")))
-    if key not in _LOADED or not _LOADED[key].committed("bronze.orders_cdc"):
-        lake = _new_lake(d)
-        feeds, ticks = dict(zip(CHANGE_FEEDS, _feeds(d))), d.feed("ticks")
-        tables = {
-            **{CHANGE_TABLES[f][0]: bronze_changes(df, f, ZONE) for f, df in feeds.items()},
-            "bronze.crypto_ticks": bronze_ticks(ticks, ZONE),
-            "silver.order_events": order_events(*feeds.values(), ZONE),
-            "silver.crypto_ticks_1s": tick_bars(ticks, ZONE),
-            "gold.commerce_kpis_1m": commerce_kpis(*feeds.values(), ZONE),
-            "gold.crypto_market_kpis_1m": market_kpis(ticks, ZONE),
-        }
-        together(d.spark, *[
-            lambda t=t, df=df: lake.append(df, t, "load", 0, spread=True)
-            for t, df in tables.items()])
-        _LOADED[key] = lake
-    return _LOADED[key]
+    if key not in _LOADED:
+        _LOADED[key] = _new_lake(d)
+    lake, layers = _LOADED[key], _layers(d)
+    together(d.spark, *[
+        lambda t=t: lake.append(layers[t](), t, "load", 0, spread=True)
+        for t in tables if not lake.committed(t)])
+    return lake
 
 
 def _latest(d: DriverTables, table: str) -> DataFrame:
-    return _stored(latest(_loaded(d).newest(table, LATEST[table][1]), table))
+    return _stored(latest(_loaded(d, table).newest(table, LATEST[table][1]), table))
 
 
 @_query("load_layers")
@@ -572,7 +576,7 @@ def query_load_layers(d: DriverTables) -> DataFrame:
     """The stored tables that the serving queries read, written anew."""
     for key in [k for k in _LOADED if k[1] == d.sf_dir]:
         del _LOADED[key]
-    lake = _loaded(d)
+    lake = _loaded(d, *_layers(d))
     return reduce(DataFrame.unionAll, [lake.snapshots(t).select(
         F.lit(t).alias("table_name"), F.col("added_records").alias("row_count"))
         for t in schemas.TABLE_DDL])
@@ -625,11 +629,9 @@ def query_latest_entities(d: DriverTables) -> DataFrame:
 
 @_query("table_counts")
 def query_table_counts(d: DriverTables) -> DataFrame:
-    lake = _loaded(d)
-    return table_counts({table: lake.read(table) for table in (
-        "bronze.orders_cdc", "bronze.payments_cdc", "bronze.refunds_cdc", "bronze.crypto_ticks",
-        "silver.order_events", "silver.crypto_ticks_1s", "gold.commerce_kpis_1m",
-        "gold.crypto_market_kpis_1m")})
+    tables = _layers(d)
+    lake = _loaded(d, *tables)
+    return table_counts({table: lake.read(table) for table in tables})
 
 
 def _produced_kpis(d: DriverTables) -> dict[str, Callable[[], DataFrame]]:
