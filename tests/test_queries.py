@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.plans import registry
 from tidemark.plans.driver_tables import TABLES, DriverTables
@@ -42,3 +43,29 @@ def test_a_newest_row_query_writes_the_table_that_it_reads_once(tables, monkeypa
     counts = {r["table_name"]: r["row_count"] for r in registry.query_table_counts(tables).collect()}
     assert sorted(written) == sorted(counts) and len(counts) == 8
     assert counts["silver.order_events"] == 2800
+
+
+@pytest.fixture
+def as_planned(spark):
+    """No plan is changed while it runs, no side of a join is small enough to be sent, and no
+    task reads several files."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.files.maxPartitionBytes": "16k"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_contents_of_other_days_are_not_sent_to_one_task(tables, as_planned, monkeypatch):
+    found, check = [], registry.content_conservation
+    monkeypatch.setattr(registry, "content_conservation",
+                        lambda a, b: (found.append(b), check(a, b))[1])
+    days = registry.query_dq_contents(tables)
+    shares = [r["count"] for r in found[1].groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(shares) == found[0].count() == 2800
+    assert max(shares) < 0.5 * sum(shares)
+    wrong = days.where("NOT equal").select("load", "entity_type", F.dayofmonth("day")).distinct()
+    assert [tuple(r) for r in wrong.collect()] == [("swapped", "order", 7)]
