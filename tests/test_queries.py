@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from rows import feed, tick
 
+from tidemark.operators import bronze_ticks
 from tidemark.plans import registry
 from tidemark.plans.driver_tables import TABLES, DriverTables
 from tidemark.plans.lake import Lake
@@ -69,3 +73,25 @@ def test_contents_of_other_days_are_not_sent_to_one_task(tables, as_planned, mon
     assert max(shares) < 0.5 * sum(shares)
     wrong = days.where("NOT equal").select("load", "entity_type", F.dayofmonth("day")).distinct()
     assert [tuple(r) for r in wrong.collect()] == [("swapped", "order", 7)]
+
+
+def test_slices_of_a_hashed_write_are_written_by_different_tasks(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "l"), "UTC", files_per_batch=2)
+    ticks = [tick(i, 1.0, 1.0, 86_400 * (i % 4)) for i in range(400)]
+    lake.append(bronze_ticks(feed(spark, "ticks", ticks), "UTC"), "bronze.crypto_ticks", "w", 0)
+    files = list(Path(lake.data_path("bronze.crypto_ticks")).rglob("part-*.parquet"))
+    assert len(files) == 2 * 4  # as many a slice as asked for
+    assert len({re.match(r"part-(\d+)", f.name)[1] for f in files}) == 4  # shuffle partitions
+    rows = lake.read("bronze.crypto_ticks")
+    assert rows.count() == 400
+    assert rows.select(F.col("event_time").cast("date"), F.input_file_name()).distinct().count() == 8
+
+
+def test_checking_a_hashed_write_sorts_no_rows(tables, capsys):
+    found = registry.query_hashed_writes(tables)
+    found.explain()
+    assert "SortAggregate" not in capsys.readouterr().out
+    assert {r["table_name"]: (r["row_count"], r["one_file_a_key"]) for r in found.collect()} == {
+        "bronze.orders_cdc": (1200, True), "bronze.payments_cdc": (1200, True),
+        "bronze.refunds_cdc": (400, True), "bronze.crypto_ticks": (1200, True),
+        "bronze.user_behavior_events": (1200, True)}

@@ -107,12 +107,6 @@ def marks_filter(marks: dict[str, int]) -> str:
     return " OR ".join(terms) if terms else "false"
 
 
-def distributed(df: DataFrame, table: str, files: int | None) -> DataFrame:
-    """Hash the rows of a raw table over ``files`` tasks before writing; file layout only."""
-    columns = HASH_COLUMNS.get(table)
-    return df if files is None or columns is None else df.repartition(files, *columns)
-
-
 def stored_schema(table: str) -> T.StructType:
     """Columns of a table's files and of the folders around them."""
     return T.StructType([*schemas.table_schema(table).fields, *BOOKKEEPING.fields,
@@ -129,11 +123,26 @@ def sliced(df: DataFrame, table: str, days: int) -> DataFrame:
     return df.withColumns({"first_day": first, "last_day": F.date_add(first, days - 1)})
 
 
+def distributed(rows: DataFrame, table: str, files: int | None) -> DataFrame:
+    """Hash the rows of each slice of a raw table over ``files`` tasks before writing; file layout
+    only. Up to ``spark.sql.shuffle.partitions`` tasks write, so that one has few slices to sort.
+    """
+    columns = HASH_COLUMNS.get(table)
+    if files is None or columns is None:
+        return rows
+    side_by_side = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // files, 1)
+    part = F.pmod(F.hash(*columns), F.lit(files))
+    number = F.expr("datediff(first_day, DATE '1970-01-01') "
+                    "div (datediff(last_day, first_day) + 1)")
+    turn = F.pmod(F.coalesce(number, F.lit(0)), F.lit(side_by_side)).cast("int")
+    return rows.repartitionById(files * side_by_side, turn * files + part)
+
+
 @dataclass(frozen=True)
 class Lake:
     """Tables under ``root``, with times in ``zone``.
 
-    ``files_per_batch`` spreads each raw batch over that many files. Without it a batch is
+    ``files_per_batch`` spreads each raw batch over that many files a slice. Without it a batch is
     written as it arrives, one file per task and slice, and no shuffle. ``slice_days`` is the
     length of new slices; tables with few rows a day are better off with longer ones.
     """
@@ -187,8 +196,8 @@ class Lake:
                spread: bool) -> tuple[str, int, date | None, date | None]:
         """Write one batch of a table; its number of rows and its days. Commits nothing."""
         leaf = self._leaf(self.data_path(table), writer, batch_id)
-        rows = sliced(distributed(conform(df, table), table, self.files_per_batch), table,
-                      self.slice_days)
+        rows = distributed(sliced(conform(df, table), table, self.slice_days), table,
+                           self.files_per_batch)
         days = DAYS.names if table in TIMES else []
         if spread:
             rows = rows.hint("rebalance", *days)
