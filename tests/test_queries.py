@@ -49,6 +49,14 @@ def test_a_newest_row_query_writes_the_table_that_it_reads_once(tables, monkeypa
     assert counts["silver.order_events"] == 2800
 
 
+def test_newest_bars_are_stored_without_the_ticks_they_are_made_of(tables, monkeypatch):
+    monkeypatch.setattr(registry, "_LOADED", {})
+    bars = registry.query_latest_bars(tables)
+    lake, = registry._LOADED.values()
+    assert {t for t in registry._layers(tables) if lake.committed(t)} == {"silver.crypto_ticks_1s"}
+    assert bars.count() == 20
+
+
 @pytest.fixture
 def as_planned(spark):
     """No plan is changed while it runs, no side of a join is small enough to be sent, and no
