@@ -67,6 +67,56 @@ def test_prefix_tables():
             assert counts.longest(text, budget) == max(fits, default=0)
 
 
+def test_runs_of_texts_are_counted_without_merging(monkeypatch):
+    counts = token_counts.PrefixCounter(PATH)
+    monkeypatch.setattr(counts.merges, "merged", None)
+    monkeypatch.setattr(token_counts, "RUN_CHARS", 3000)
+    monkeypatch.setattr(token_counts, "REMEMBERED", 400)
+    texts = ["", *mixtures(300, 18, 5), prose(5, 3000), "don't 're'll", prose(6, 40), " " * 30 + "x",
+             "a\nb c\nd", prose(5, 3000)]
+    assert counts.totals(texts) == [len(ids(t)) for t in texts]
+    assert len(counts.tables.words) <= 400 and len(counts.pieces) <= 100
+
+
+def test_pieces_that_begin_alike_share_their_prefixes():
+    merges, counted = token_counts.Merges(PATH), []
+    pieces = sorted({w.encode() for w in prose(7, 400).split()})
+    alone = [token_counts.Merges.prefixes(merges, p) for p in reversed(pieces)][::-1]
+
+    class Counted(list):
+        def append(self, value):
+            counted.append(value)
+            super().append(value)
+
+    merges.piece, merges.counts = b"", Counted([0])
+    merges.last, merges.starts = [0], [0]
+    assert [list(merges.prefixes(p)) for p in pieces] == alone
+    assert len(counted) < 0.8 * sum(map(len, pieces))
+
+
+def test_pairs_fit_as_merging_has_it(tmp_path):
+    merges, rng = token_counts.Merges(PATH), random.Random(3)
+    tokens = list(merges.raw)
+    keys = [rng.choice(tokens[:3000]) << 20 | rng.choice(tokens[:3000]) for _ in range(3000)]
+    for token, (a, b) in list(merges.halves.items())[::7]:
+        keys += [a << 20 | b, a << 20 | token, token << 20 | b, b << 20 | a]
+    found = [merges.fit(key) for key in keys]
+    merges.halves = None
+    merges.fits.clear()
+    assert found == [merges.fit(key) for key in keys] and 0 < sum(found) < len(found)
+
+    with open(PATH, encoding="utf-8") as file:
+        content = json.load(file)
+    vocab, (x, y) = content["model"]["vocab"], ("th", "er")
+    vocab[x], vocab[y] = vocab[y], vocab[x]  # ids that don't follow the order of the merges
+    path = str(tmp_path / "swapped.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(content, file)
+    counts, texts = token_counts.PrefixCounter(path), [*mixtures(100, 18, 8), prose(8, 300)]
+    assert counts.merges.halves is None
+    assert counts.totals(texts) == [len(ids(t)) for t in texts]
+
+
 def test_token_counts(spark):
     found = token_counts.token_counts(clashing(documents(spark, ODD)), PATH, limit=50, tables=True)
     got = Counter((r.doc_id, r.n_bytes, r.n_tokens, r.over_limit) for r in found.collect())

@@ -8,6 +8,8 @@ piece yields the counts of all its prefixes.
 
 Texts fall into units (see ``tokens``) that don't influence each other. Each distinct unit's
 table is computed once per task; a text's table is the running sum of its units' tables.
+The pieces that a run of texts brings are counted in the order of their bytes: neighbours
+begin alike, and what two pieces share is counted once.
 Counts, truncation points and budget checks all read these tables; nothing is encoded again.
 
 Defined cases: a null text is empty and has 0 tokens; the tokenizer's special string counts
@@ -22,17 +24,30 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import compress, repeat
+from operator import is_, ne
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.tokens import REMEMBERED, WHITE, Values, tokenizer, vocabulary
+from tidemark.llm.tokens import (
+    REMEMBERED,
+    UNIT,
+    WHITE,
+    Irregular,
+    Values,
+    tokenizer,
+    vocabulary,
+)
 
 LIMIT = 512
 # Letters, then marks that no contraction begins with: two pre-tokens at most.
 PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@]*)")
+# Per byte, 1 if a character begins with it.
+BEGINS = bytes(not 0x80 <= b < 0xC0 for b in range(256))
+RUN_CHARS = 8_000_000  # characters of the texts whose new pieces are counted in one go
+UNKNOWN = b"\0"  # stands for the table of a word not met before
 
 
 class Merges:
@@ -44,6 +59,41 @@ class Merges:
         self.longest = max(map(len, self.ids))
         self.single = [self.ids[bytes([b])] for b in range(256)]
         self.fits: dict[int, bool] = {}
+        self.joins: dict[int, int] = {}
+        self.halves = self.split_ids()
+        # Of the piece counted last: per prefix, its tokens, its last token and where that begins.
+        self.piece, self.counts, self.last, self.starts = b"", [0], [0], [0]
+
+    def split_ids(self) -> dict[int, tuple[int, int]] | None:
+        """The two ids that each id is merged from. None where ids don't follow the order of
+        the merges, or some token's bytes merge to something else: pairs are then merged."""
+        ids, found = self.ids, {}
+        for a, b in sorted(self.ranks, key=self.ranks.get):
+            token = ids.get(a + b, -1)
+            if token <= next(reversed(found), max(self.single)):
+                return None
+            found[token] = ids[a], ids[b]
+            self.joins[ids[a] << 20 | ids[b]] = token
+        if len(found) + len(set(self.single)) != len(ids):
+            return None
+        self.halves = found
+        return found if all(self.apart(a, b, token) for token, (a, b) in found.items()) else None
+
+    def apart(self, a: int, b: int, limit: int = 1 << 40) -> bool:
+        """Whether no merge before ``limit`` spans the border of two tokens that stand side by
+        side: taken apart again, the younger one first, none of the pairs there is merged before
+        the token that one of them became part of."""
+        joins, halves = self.joins.get, self.halves.get
+        while True:
+            if joins(a << 20 | b, limit) < limit:
+                return False
+            left, right = halves(a), halves(b)
+            if left and (not right or a > b):
+                limit, a = a, left[1]
+            elif right:
+                limit, b = b + 1, right[0]
+            else:
+                return True
 
     def merged(self, piece: bytes) -> list[bytes]:
         """Tokens of a short piece, by merging."""
@@ -59,21 +109,30 @@ class Merges:
 
     def fit(self, key: int) -> bool:
         """Whether token ``key >> 20`` may stand before token ``key & 0xfffff``."""
-        pair = [self.raw[key >> 20], self.raw[key & 0xFFFFF]]
         if len(self.fits) >= REMEMBERED:
             self.fits.clear()
-        found = self.fits[key] = self.merged(b"".join(pair)) == pair
+        if self.halves is None:
+            pair = [self.raw[key >> 20], self.raw[key & 0xFFFFF]]
+            found = self.merged(b"".join(pair)) == pair
+        else:
+            found = self.apart(key >> 20, key & 0xFFFFF)
+        self.fits[key] = found
         return found
 
     def prefixes(self, piece: bytes) -> list[int]:
         """Token counts of ``piece[:1]``, ``piece[:2]``, ... ``piece``.
 
-        Only one last token fits, so the order of trials is free: first the last token made
-        longer by a byte, then that byte alone, then the rest from the longest on.
+        Prefixes that the piece counted before has, too, are not counted again. Only one last
+        token fits, so the order of trials is free: first the last token made longer by a byte,
+        then that byte alone, then the rest from the longest on.
         """
         known, fits, single = self.ids.get, self.fits.get, self.single
-        counts, last, begin = [0], [0], 0
-        for end in range(1, len(piece) + 1):
+        counts, last, starts = self.counts, self.last, self.starts
+        shorter = min(len(self.piece), len(piece))
+        same = next(compress(range(shorter), map(ne, self.piece, piece)), shorter)
+        del counts[same + 1:], last[same + 1:], starts[same + 1:]
+        self.piece, begin = piece, starts[same]
+        for end in range(same + 1, len(piece) + 1):
             token = known(piece[begin:end])
             if token is not None:
                 fit = True
@@ -85,6 +144,7 @@ class Merges:
                 if fit:
                     counts.append(counts[begin] + 1)
                     last.append(token)
+                    starts.append(begin)
                     continue
             token, start = single[piece[end - 1]], end - 1
             key = last[start] << 20 | token
@@ -93,6 +153,7 @@ class Merges:
                 start, token = self.fitting(piece, end, last)
             counts.append(counts[start] + 1)
             last.append(token)
+            starts.append(start)
             begin = start
         return counts[1:]
 
@@ -131,24 +192,54 @@ class PrefixCounter:
         library = tokenizer(path)
         self.merges = Merges(path)
         self.split = library.pre_tokenizer.pre_tokenize_str
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes | array] = {}
         self.specials = sorted(vocabulary(path)[2])
         self.cut = re.compile("|".join(map(re.escape, self.specials))) if self.specials else None
-        self.tables = Values(lambda unit: compact(self.unit(unit)), appended)
+        self.tables = Values(self.unit, appended)
 
-    def piece(self, text: str) -> list[int]:
+    def piece(self, text: str) -> bytes | array:
         """Counts at each character of one pre-token."""
         known = self.pieces.get(text)
         if known is not None:
             return known
-        raw = text.encode()
-        counts = self.merges.prefixes(raw)
-        if len(raw) != len(text):
-            counts = [counts[e - 1] for e in accumulate(len(c.encode()) for c in text)]
+        counts = self.counted(text)
         if len(self.pieces) < REMEMBERED // 4:
             self.pieces[text] = counts
         return counts
 
+    def counted(self, text: str) -> bytes | array:
+        raw = text.encode()
+        counts = self.merges.prefixes(raw)
+        if len(raw) != len(text):
+            counts = list(compress(counts, (raw[1:] + b" ").translate(BEGINS)))
+        return compact(counts)
+
+    def learn(self, words: set[str]) -> None:
+        """Tables of words that follow a blank, by way of their pieces in order."""
+        plain, pieces = [], set()
+        for word in words:
+            match = PLAIN.fullmatch(f" {word}")
+            if match:
+                plain.append((word, *match.groups()))
+                pieces.update(match.groups())
+            else:
+                for unit in UNIT.findall(f" {word}"):
+                    body = unit.lstrip(WHITE)
+                    pieces.update(self.pieces_of(f" {body}" if unit[0] == " " else body))
+        pieces.difference_update(self.pieces, ("",))
+        for piece in sorted(pieces):
+            self.pieces[piece] = self.counted(piece)
+        known = self.pieces
+        self.tables.words.update({
+            word: appended((known[body], known[marks])) if marks else known[body]
+            for word, body, marks in plain})
+
+    def forget(self) -> None:
+        """Drop what was learnt last, beyond what is kept."""
+        for known, kept in ((self.tables.words, REMEMBERED), (self.pieces, REMEMBERED // 4)):
+            while len(known) > kept:
+                known.popitem()
+
     def pieces_of(self, text: str) -> list[str]:
         """Pre-tokens of text without white space but for a leading blank."""
         plain = PLAIN.fullmatch(text)
@@ -156,8 +247,12 @@ class PrefixCounter:
             return [p for p in plain.groups() if p]
         return [text[begin:end] for _, (begin, end) in self.split(text)]
 
-    def unit(self, unit: str) -> list[int]:
+    def unit(self, unit: str) -> bytes | array:
         """Counts at each character of a run of white space and the run of others behind it."""
+        plain = PLAIN.fullmatch(unit)
+        if plain:
+            word, marks = plain.groups()
+            return appended((self.piece(word), self.piece(marks))) if marks else self.piece(word)
         body = unit.lstrip(WHITE)
         white = unit[:len(unit) - len(body)]
         found = list(self.piece(white)) if white else []
@@ -177,7 +272,7 @@ class PrefixCounter:
             found += [base + n for n in counts[skip:]] if base or skip else counts
             base += counts[-1]
             skip = 0
-        return found
+        return compact(found)
 
     @staticmethod
     def joined(tables: Iterable[bytes | array]) -> np.ndarray:
@@ -191,6 +286,40 @@ class PrefixCounter:
         """Tables of the units of a text without special strings."""
         return self.tables.per_text(text)
 
+    def totals(self, texts: list[str]) -> list[int]:
+        """Token counts of whole texts, a run of texts at a time."""
+        found, at = [], 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and size < RUN_CHARS:
+                size += len(texts[end])
+                end += 1
+            found += self.run(texts[at:end])
+            at = end
+        return found
+
+    def run(self, texts: list[str]) -> list[int]:
+        """Token counts of texts: known words are looked up, then all new ones are learnt."""
+        known, rest, fresh = self.tables.words, [], set()
+        for text in texts:
+            first, *words = text.split(" ")
+            tables = list(map(known.get, words, repeat(UNKNOWN)))
+            new = list(compress(words, map(is_, tables, repeat(UNKNOWN))))
+            fresh.update(new)
+            rest.append((first, sum([t[-1] for t in tables]), new))
+        self.learn(fresh)
+        found = []
+        for text, (first, total, new) in zip(texts, rest):
+            try:
+                if self.cut and self.cut.search(text):
+                    raise Irregular
+                total += sum([t[-1] for t in self.plain(first)])
+                found.append(total + sum([known[word][-1] for word in new]))
+            except Irregular:
+                found.append(self.total(text))
+        self.forget()
+        return found
+
     def table(self, text: str) -> np.ndarray:
         """Token count of every prefix of ``text``, by characters.
 
@@ -240,7 +369,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT,
         counts = counter(tokenizer_path)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            totals = [counts.total(t) for t in texts]
+            totals = counts.totals(texts)
             columns = {
                 "doc_id": batch.column(0),
                 "n_bytes": pa.array([len(t.encode()) for t in texts], pa.int64()),
