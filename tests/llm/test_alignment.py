@@ -115,6 +115,38 @@ def test_pieces_of_any_size_give_the_same(spark, monkeypatch):
                   for r in rows) == sorted((r[1], r[3], r[4], r[7]) for r in whole)
 
 
+def test_pieces_stay_small(spark):
+    """What a worker or a row of the JVM holds at once doesn't grow with the table."""
+    docs = documents(spark, [(i, prose(i, 10_000)) for i in range(30)]).coalesce(1)
+    rows = alignment.stored(alignment.pieces(docs, vocabulary_path(FIRST), vocabulary_path(SECOND)))
+    found = rows.select("links", "n").collect()
+    assert len(found) > 3
+    assert max(len(r.links) for r in found) < 1 << 19
+    assert all(len(r.links) <= 2 * sum(r.n) for r in found)
+
+
+def test_answers_over_many_batches(spark):
+    """A piece's answers and its row reach a worker in batches of any size."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, 7)
+    try:
+        got = ordered(alignment.aligned(documents(spark, CASES).coalesce(2), vocabulary_path(FIRST),
+                                        vocabulary_path(SECOND)).collect())
+    finally:
+        spark.conf.set(name, before)
+    assert got == ordered(brute(CASES))
+
+
+def test_links_fit_any_list_of_pairs():
+    import numpy as np
+
+    for pairs in (1, 1 << 16, (1 << 16) + 1):
+        links = np.array([0, pairs - 1, pairs // 2])
+        assert alignment.unpacked(alignment.packed(links, pairs), 3, pairs).tolist() == links.tolist()
+    assert len(alignment.unpacked(alignment.packed(np.zeros(0, np.int64), 0), 0, 0)) == 0
+
+
 def test_an_empty_table(spark):
     paths = vocabulary_path(FIRST), vocabulary_path(SECOND)
     assert alignment.aligned(spark.createDataFrame([], SCHEMA), *paths).collect() == []

@@ -15,6 +15,11 @@ All that happens on Arrow arrays of a few documents at a time:
 A piece of a task's documents, with its links as numbers into the piece's own list of pairs,
 is stored as one row. The merged counts go back to each piece by a join on the pair, one row
 per pair and piece rather than per link, and a document's sums are taken over its own links.
+The answers are dealt by piece and sorted with the piece's row behind them, so no list of them
+is built in the JVM, and a batch that a worker takes holds the rows of few pieces.
+
+Memory does not grow with the table: pieces are small, links are packed, and what Arrow has
+set aside for a piece is given back before the next one.
 
 Defined cases: texts that are null or empty, and those whose tokens of either side don't spell
 the text behind a blank (a normaliser changed it), have no tokens. Strings of special tokens
@@ -27,7 +32,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +44,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import stored
 from tidemark.llm.tokens import Encoder, byte_letters
 
-PIECE = 2 << 20     # bytes of text a task works on at once, or one text
+PIECE = 1 << 19     # bytes of text a task works on at once, or one text
 SHIFT = 1 << 20     # a pair of ids as one number: a * SHIFT + b
 BLANK = "▁"    # fixed value: how the second vocabulary writes a blank
 
@@ -48,18 +53,23 @@ class ByteTokens:
     """The first side: byte-level merges, ids and their bytes."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.encoder = Encoder(path)
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.path, self.encoder = path, Encoder(path)
         with open(path, encoding="utf-8") as file:
             words = json.load(file)["model"]["vocab"]
-        letters, raw = byte_letters(), [b""] * (self.library.get_vocab_size())
+        letters, raw = byte_letters(), [b""] * self.encoder.library.get_vocab_size()
         for token, number in words.items():
             raw[number] = bytes(letters[c] for c in token if c in letters)
         self.raw = pa.array(raw, pa.binary())
 
+    @cached_property
+    def library(self):
+        """Only for texts that the faster library can't take: special tokens are plain text."""
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(self.path)
+        library.encode_special_tokens = True
+        return library
+
     def ids(self, text: str) -> np.ndarray:
         if self.encoder.fast is None or self.encoder.long_run(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -160,6 +170,21 @@ class Aligned:
         return parents[self.cut_a - 1], pc.binary_join_element_wise(*sides, "|")
 
 
+def packed(links: np.ndarray, pairs: int) -> bytes:
+    """Numbers into a list of ``pairs``, in the narrowest type, compressed."""
+    return pa.compress(links.astype(link_type(pairs)).tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(data: bytes, links: int, pairs: int) -> np.ndarray:
+    kind = link_type(pairs)
+    return np.frombuffer(
+        pa.decompress(data, links * kind.itemsize, "zstd", asbytes=True) if links else b"", kind)
+
+
+def link_type(pairs: int) -> np.dtype:
+    return np.dtype("<u2" if pairs <= 1 << 16 else "<u4")
+
+
 def decimals(ids: pa.Array) -> pa.Array:
     return ids.cast(pa.string())
 
@@ -190,17 +215,27 @@ def piece_row(names: pa.Array, texts: list[str | None], first: ByteTokens,
         "groups_sha256": [hashlib.sha256(g.encode()).hexdigest() if g else ""
                           for g in joined.to_pylist()],
         "pair": known, "n": partial.column("count_all").to_numpy(),
-        "links": np.searchsorted(known, pairs).astype(np.uint32).tobytes(),
+        "links": packed(np.searchsorted(known, pairs), len(known)),
     }
 
 
 DOCUMENT = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
 
 
-def pieces(docs: DataFrame, first_path: str, second_path: str) -> DataFrame:
-    """A row per piece: its documents, its pairs of ids with their counts, its links."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def document_bytes(row: dict) -> bytes:
+    """What is known of a piece's documents, as an Arrow stream of one batch."""
+    kinds = {"groups_sha256": pa.string(), "doc_id": row["doc_id"].type}
+    batch = pa.RecordBatch.from_arrays(
+        [row[n] if n == "doc_id" else pa.array(row[n], kinds.get(n, pa.int64())) for n in DOCUMENT],
+        list(DOCUMENT))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
 
+def pieces(docs: DataFrame, first_path: str, second_path: str) -> DataFrame:
+    """A row per piece: its pairs of ids with their counts, its documents, its links."""
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = byte_tokens(first_path), piece_tokens(second_path)
         part, number = TaskContext.get().partitionId() << 32, 0
@@ -213,20 +248,19 @@ def pieces(docs: DataFrame, first_path: str, second_path: str) -> DataFrame:
                 end = max(begin + 1, int(np.searchsorted(sizes, taken + PIECE, "right")))
                 some = batch.slice(begin, end - begin)
                 row = piece_row(some.column(0), some.column(1).to_pylist(), first, second)
-                types = {"doc_id": some.schema.field(0).type, "groups_sha256": pa.string(),
-                         "links": pa.binary()}
-                arrays = [pa.array([part + number], pa.int64())]
-                for name in (*DOCUMENT, "pair", "n", "links"):
-                    value = row[name].to_pylist() if isinstance(row[name], pa.Array) else row[name]
-                    type_ = types.get(name, pa.int64())
-                    arrays.append(pa.array([value], type_ if name == "links" else pa.list_(type_)))
-                yield pa.RecordBatch.from_arrays(arrays, ["piece", *DOCUMENT, "pair", "n", "links"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part + number], pa.int64()),
+                     pa.array([row["pair"]], pa.list_(pa.int64())),
+                     pa.array([row["n"]], pa.list_(pa.int64())),
+                     pa.array([document_bytes(row)], pa.binary()),
+                     pa.array([row["links"]], pa.binary())],
+                    ["piece", "pair", "n", "documents", "links"])
+                del row
+                pa.default_memory_pool().release_unused()
                 begin, number = end, number + 1
 
     return docs.select("doc_id", "text").mapInArrow(
-        align, f"piece bigint, doc_id array<{kind}>, n_a array<bigint>, n_b array<bigint>, "
-               "n_groups array<bigint>, n_links array<bigint>, groups_sha256 array<string>, "
-               "pair array<bigint>, n array<bigint>, links binary")
+        align, "piece bigint, pair array<bigint>, n array<bigint>, documents binary, links binary")
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:
@@ -245,30 +279,35 @@ def aligned(docs: DataFrame, first_path: str, second_path: str) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = stored(pieces(docs, first_path, second_path), compression="zstd")
     counts = stored(pair_counts(rows))
-    asked = rows.select("piece", F.posexplode("pair").alias("place", "pair"))
-    answers = asked.join(counts, "pair").groupBy(F.col("piece").alias("of_piece")).agg(
-        F.array_sort(F.collect_list(F.struct("place", "count", "best"))).alias("answers"))
+    # The row of a piece comes behind the answers to its pairs. All columns are flat: Spark's
+    # Arrow writer takes time with the square of the rows for null lists.
+    answers = rows.select("piece", F.posexplode("pair").alias("place", "pair")).join(
+        counts, "pair").select(
+            "piece", "place", (F.col("count") * 2 + F.col("best").cast("bigint")).alias("answer"),
+            F.lit(None).cast("binary").alias("documents"), F.lit(None).cast("binary").alias("links"))
+    whole = rows.select("piece", F.size("pair").alias("place"),
+                        F.lit(None).cast("bigint").alias("answer"), "documents", "links")
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Array] = []  # answers to the piece whose row comes next
         for batch in batches:
-            for i in range(len(batch)):
-                one = {name: batch.column(name).slice(i, 1).flatten() for name in
-                       (*DOCUMENT, "count", "best")}
-                links = np.frombuffer(batch.column("links")[i].as_py(), np.uint32)
-                number = one["n_links"].to_numpy(zero_copy_only=False)
-                ends = offsets(number)
-                values = [offsets(one[name].to_numpy(zero_copy_only=False)[links].astype(np.int64))
-                          if len(links) else np.zeros(1, np.int64) for name in ("best", "count")]
-                best, total = (v[ends[1:]] - v[ends[:-1]] for v in values)
+            known, begin = batch.column("answer"), 0
+            ends_piece = batch.column("documents").is_valid().to_numpy(zero_copy_only=False)
+            for at in np.flatnonzero(ends_piece).tolist():
+                held.append(known.slice(begin, at - begin))
+                answer = pa.chunked_array(held, pa.int64()).to_numpy()
+                held, begin = [], at + 1
+                one = pa.ipc.open_stream(batch.column("documents")[at].as_py()).read_next_batch()
+                ends = offsets(one.column("n_links").to_numpy())
+                links = unpacked(batch.column("links")[at].as_py(), int(ends[-1]), len(answer))
+                best, total = (v[ends[1:]] - v[ends[:-1]] for v in (
+                    offsets(values[links]) for values in (answer & 1, answer >> 1)))
                 yield pa.RecordBatch.from_arrays(
-                    [*(one[name] for name in DOCUMENT[:5]), pa.array(best), pa.array(total),
-                     one["groups_sha256"]],
+                    [*one.columns[:5], pa.array(best), pa.array(total), one.column("groups_sha256")],
                     [*DOCUMENT[:5], "n_best", "count_sum", "groups_sha256"])
+            held.append(known.slice(begin))
 
-    columns = [*DOCUMENT, "links"]
-    return rows.select("piece", *columns).join(
-        answers, F.col("piece") == F.col("of_piece"), "left"
-    ).select(*columns, F.coalesce("answers.count", F.array().cast("array<bigint>")).alias("count"),
-             F.coalesce("answers.best", F.array().cast("array<boolean>")).alias("best")
-    ).mapInArrow(add_up, f"doc_id {kind}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
-                         "n_best bigint, count_sum bigint, groups_sha256 string")
+    return answers.union(whole).repartition("piece").sortWithinPartitions("piece", "place").select(
+        "answer", "documents", "links").mapInArrow(
+        add_up, f"doc_id {kind}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
+                "n_best bigint, count_sum bigint, groups_sha256 string")
